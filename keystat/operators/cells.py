@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keystat.operators.joins import semi_join_spread
+
 # Family and qualifier names of the cell table.
 INFO = "info"
 TAG = "tag"
@@ -40,7 +42,7 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def version_order(version: Column = F.col("version"), *tail: Column) -> Column:
+def version_order(version: Column, *tail: Column) -> Column:
     """Ordering struct of a version text: numeric value first (epoch-second
     timestamps of different lengths), then the text itself (ISO dates)."""
     return F.struct(version.try_cast("double").alias("n"), version.alias("t"), *tail)
@@ -90,11 +92,9 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     """All cells of a table build. Tags and ratings of movies absent from
     ``movies`` are dropped; movies without any are kept (title/genres only).
 
-    The restriction is a left-semi join on ``row_key`` after newest-wins has
-    shrunk the cells. The planner broadcasts the movie keys when their
-    measured size is under the broadcast threshold; otherwise it is a
-    sort-merge semi join, and AQE splits a partition made large by one hot
-    movie (skew join)."""
+    The restriction is a left-semi join on ``row_key``, salted by user id
+    (:func:`keystat.operators.joins.semi_join_spread`) so that a movie holding
+    a large share of all cells is joined by many tasks, not one."""
     parts = []
     if tags is not None:
         parts.append(user_cells(tags, TAG, "tag"))
@@ -106,8 +106,8 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     raw = parts[0]
     for p in parts[1:]:
         raw = raw.unionByName(p)
-    known = movies.select(F.col("movie_id").alias("row_key")).where(F.col("row_key").isNotNull())
-    users = newest_cells(raw).join(known, "row_key", "left_semi")
+    known = movies.select(F.col("movie_id").alias("row_key"))
+    users = semi_join_spread(newest_cells(raw), known, "row_key", spread="qualifier")
     return info.unionByName(users)
 
 

@@ -15,14 +15,12 @@ from pyspark.sql import functions as F
 from keystat.functions.text import (DOUBLE_MAX_VALUE, DOUBLE_MIN_VALUE, decimal_text,
                                     float_text, pair_line)
 
-_NAN = F.lit(float("nan"))
-
-
 def stock_report_lines(report: DataFrame) -> DataFrame:
     """``(ticker,pMean pMin pMax pVar vMean vMin vMax vVar)`` per row of a
     stock report (as :func:`keystat.operators.stocks.stock_report` returns),
     sorted by ticker; a single ``value`` column, ready for ``write.text``."""
     c = F.col
+    nan = F.lit(float("nan"))
     k = F.when(c("p_mean").isNull() | F.isnan(c("p_mean")), F.lit(None)).otherwise(
         c("v_mean") / c("p_mean"))
     # Reconstruct the legacy valuation of an empty price list: the start
@@ -33,9 +31,9 @@ def stock_report_lines(report: DataFrame) -> DataFrame:
     v_min = F.when(c("p_min").isNull(), p_min * shares).otherwise(c("v_min"))
     v_max = F.when(c("p_max").isNull(), p_max * shares).otherwise(c("v_max"))
     fields = [
-        F.coalesce(c("p_mean"), _NAN), p_min, p_max, F.coalesce(c("p_var"), _NAN),
-        F.coalesce(c("v_mean"), _NAN), F.coalesce(v_min, F.lit(float("inf"))),
-        F.coalesce(v_max, F.lit(0.0)), F.coalesce(c("v_var"), _NAN),
+        F.coalesce(c("p_mean"), nan), p_min, p_max, F.coalesce(c("p_var"), nan),
+        F.coalesce(c("v_mean"), nan), F.coalesce(v_min, F.lit(float("inf"))),
+        F.coalesce(v_max, F.lit(0.0)), F.coalesce(c("v_var"), nan),
     ]
     text = F.concat_ws(" ", *[float_text(x) for x in fields])
     return report.select(c("ticker"), pair_line("ticker", text).alias("value")) \

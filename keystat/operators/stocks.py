@@ -12,7 +12,7 @@ under the broadcast threshold).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keystat.functions.positive import (is_defined, positive_max, positive_mean,
@@ -77,10 +77,11 @@ def invalid_fundamental_tickers(fundamentals: DataFrame) -> DataFrame:
 
 # -- valuation and the report ------------------------------------------------
 
-def _valuation_columns(k=F.col("shares_mean")):
+def valuation_columns(k: Column | None = None):
     # A constant scale k per ticker: mean, min and max scale by k, the
     # population variance by k squared (var(kx) = k^2 var(x)); no second pass
     # over the price lines is needed.
+    k = F.col("shares_mean") if k is None else k
     return [(F.col("p_mean") * k).alias("v_mean"),
             (F.col("p_min") * k).alias("v_min"),
             (F.col("p_max") * k).alias("v_max"),
@@ -93,13 +94,13 @@ def _joined(prices: DataFrame, fundamentals: DataFrame) -> DataFrame:
 
 def valuation_stats(prices: DataFrame, fundamentals: DataFrame) -> DataFrame:
     """(ticker, v_mean, v_min, v_max, v_var) for tickers in both inputs."""
-    return _joined(prices, fundamentals).select("ticker", *_valuation_columns())
+    return _joined(prices, fundamentals).select("ticker", *valuation_columns())
 
 
 def stock_report(prices: DataFrame, fundamentals: DataFrame, *, ordered: bool = True) -> DataFrame:
     """Price and valuation statistics per ticker present in both inputs,
     sorted by ticker (string order)."""
-    out = _joined(prices, fundamentals).select("ticker", *PRICE_STATS, *_valuation_columns())
+    out = _joined(prices, fundamentals).select("ticker", *PRICE_STATS, *valuation_columns())
     return out.orderBy("ticker") if ordered else out
 
 

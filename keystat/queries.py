@@ -115,7 +115,7 @@ def q_stock_report_lines(spark, sf):
     coverage = cov.ticker_coverage(*_stock_inputs(spark, sf))
     report = coverage.where(F.col("has_prices") & F.col("fundamentals_valid")).select(
         "ticker", "p_mean", "p_min", "p_max", "p_var", "shares_mean",
-        *S._valuation_columns())
+        *S.valuation_columns())
     return R.stock_report_lines(report)
 
 
