@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import semi_join_spread
+from keystat.operators.joins import restrict_to_keys
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -42,19 +42,22 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def version_order(version: Column, *tail: Column) -> Column:
-    """Ordering struct of a version text: numeric value first (epoch-second
-    timestamps of different lengths), then the text itself (ISO dates)."""
-    return F.struct(version.try_cast("double").alias("n"), version.alias("t"), *tail)
+def version_number(version: Column) -> Column:
+    """A digits-only version (epoch seconds or milliseconds) as a number, else
+    NULL. Checked with a pattern first: a failing cast per row is costly."""
+    return F.when(version.rlike("^[0-9]{1,18}$"), version.cast("long"))
 
 
 def newest_cells(cells: DataFrame, priority: str | None = None) -> DataFrame:
-    """One row per cell identity: the newest version, then higher
-    ``priority`` (if given), then the greater value."""
-    tail = [F.col(priority).alias("p")] if priority else []
-    order = version_order(F.col("version"), *tail, F.col("value").alias("v"))
+    """One row per cell identity: the newest version (numerically when both
+    are digits-only, e.g. epoch seconds of different lengths, else as text),
+    then higher ``priority`` (if given), then the greater value."""
+    order = [version_number(F.col("version")).alias("n"), F.col("version")]
+    if priority:
+        order.append(F.col(priority).alias("p"))
+    order.append(F.col("value"))
     return (cells.groupBy(*CELL_KEY)
-            .agg(F.max(F.struct(order.alias("o"), F.col("value"), F.col("version"))).alias("w"))
+            .agg(F.max(F.struct(*order)).alias("w"))
             .select(*CELL_KEY, F.col("w.value").alias("value"), F.col("w.version").alias("version")))
 
 
@@ -92,9 +95,11 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     """All cells of a table build. Tags and ratings of movies absent from
     ``movies`` are dropped; movies without any are kept (title/genres only).
 
-    The restriction is a left-semi join on ``row_key``, salted by user id
-    (:func:`keystat.operators.joins.semi_join_spread`) so that a movie holding
-    a large share of all cells is joined by many tasks, not one."""
+    The restriction is a left-semi join on ``row_key``
+    (:func:`keystat.operators.joins.restrict_to_keys`): a broadcast when the
+    measured movie-key set fits the broadcast threshold, otherwise salted by
+    user id so that a movie holding a large share of all cells is joined by
+    many tasks, not one."""
     parts = []
     if tags is not None:
         parts.append(user_cells(tags, TAG, "tag"))
@@ -107,7 +112,7 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     for p in parts[1:]:
         raw = raw.unionByName(p)
     known = movies.select(F.col("movie_id").alias("row_key"))
-    users = semi_join_spread(newest_cells(raw), known, "row_key", spread="qualifier")
+    users = restrict_to_keys(newest_cells(raw), known, "row_key", spread="qualifier")
     return info.unionByName(users)
 
 

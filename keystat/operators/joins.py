@@ -1,37 +1,76 @@
 """Skew-safe restriction of a large keyed table to a set of known keys.
 
-A left-semi join on a key shuffles every row of a key to one task unless the
-key set is broadcast. When one key holds a large share of the rows (a
-blockbuster movie holding a third of all ratings), that task does a third of
-the job. Here the large side carries a salt derived from a second column that
-spreads a key's rows (the user id), and the key set is replicated once per
-salt value, so the rows of one key hash to ``buckets`` different tasks. The
-replicated side is the small dimension (one row per known key), ``buckets``
-times over; the planner still broadcasts it when its measured size is under
-the broadcast threshold.
+Two ways, chosen by a measured size:
+
+* the key set is **broadcast** when its measured size (rows and key bytes, one
+  small aggregate over the key column) is within
+  ``spark.sql.autoBroadcastJoinThreshold``. A broadcast semi join filters
+  each task's rows locally: no shuffle, so no key can be hot.
+* otherwise a **salted** shuffle semi join: the large side carries a salt
+  derived from a second column that spreads a key's rows (the user id), and
+  the key set is replicated once per salt value, so the rows of one key hash
+  to ``buckets`` different tasks. A blockbuster movie holding a third of all
+  ratings is joined by ``buckets`` tasks instead of one.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALT_BUCKETS_CONF = "keystat.skew.saltBuckets"
 DEFAULT_SALT_BUCKETS = 16
+# Bytes a broadcast hash relation spends per key row beyond the key text
+# (row header, offset/length word, hash-map entry); an upper estimate.
+ROW_OVERHEAD_BYTES = 48
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def salt_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get(SALT_BUCKETS_CONF, str(DEFAULT_SALT_BUCKETS)))
 
 
+def broadcast_limit_bytes(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text)
+    if not m or m.group(2) not in _UNITS:
+        return -1
+    n = int(m.group(1))
+    return n if n < 0 else n * _UNITS[m.group(2)]
+
+
+def key_set_bytes(keys: DataFrame, key: str) -> int:
+    """Measured size of a key column as a broadcast relation (one aggregate job)."""
+    row = keys.agg(F.count(F.col(key)).alias("n"),
+                   F.coalesce(F.sum(F.octet_length(F.col(key))), F.lit(0)).alias("b")).first()
+    return int(row["b"]) + ROW_OVERHEAD_BYTES * int(row["n"])
+
+
 def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str,
                      buckets: int | None = None) -> DataFrame:
-    """Rows of ``big`` whose ``key`` appears in ``keys[key]``, the join work of
-    one key spread over ``buckets`` tasks by ``hash(spread)``."""
+    """Salted shuffle semi join: rows of ``big`` whose ``key`` is in
+    ``keys[key]``, the work of one key spread over ``buckets`` tasks by
+    ``hash(spread)``."""
     n = buckets or salt_buckets(big.sparkSession)
+    k = keys.select(key).where(F.col(key).isNotNull())
     if n <= 1:
-        return big.join(keys.select(key).where(F.col(key).isNotNull()), key, "left_semi")
+        return big.join(k, key, "left_semi")
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(n)).cast("int"))
-    replicated = (keys.select(key).where(F.col(key).isNotNull())
-                  .select(key, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")))
+    replicated = k.select(key, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt"))
     return salted.join(replicated, [key, "_salt"], "left_semi").drop("_salt")
+
+
+def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str,
+                     buckets: int | None = None) -> DataFrame:
+    """Rows of ``big`` whose ``key`` appears in ``keys``: broadcast when the
+    key set's measured size fits the broadcast threshold, else salted."""
+    limit = broadcast_limit_bytes(big.sparkSession)
+    k = keys.select(key).where(F.col(key).isNotNull())
+    if limit >= 0 and key_set_bytes(k, key) <= limit:
+        return big.join(F.broadcast(k), key, "left_semi")
+    return semi_join_spread(big, k, key, spread, buckets)

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keystat import schemas
 from keystat.operators.cells import RATING, TAG, newest_cells, user_cells
-from keystat.operators.joins import semi_join_spread
+from keystat.operators.joins import restrict_to_keys
 
 _SCHEMAS = {RATING: schemas.RATINGS_CSV, TAG: schemas.TAGS_CSV}
 _VALUE = {RATING: "rating", TAG: "tag"}
@@ -44,7 +44,9 @@ def batch_writer(movies: DataFrame, updates_dir: str):
     known = movies.select(F.col("movie_id").alias("row_key"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cells = semi_join_spread(newest_cells(batch), known, "row_key", spread="qualifier")
+        # the size check (broadcast or salted) runs per batch: the movie
+        # table may have grown since the query started
+        cells = restrict_to_keys(newest_cells(batch), known, "row_key", spread="qualifier")
         cells.write.mode("overwrite").parquet(f"{updates_dir.rstrip('/')}/batch={batch_id}")
 
     return write

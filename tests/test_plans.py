@@ -40,11 +40,22 @@ def test_genre_stats_folds_movies_without_joins(spark):
     plan = _plan(QUERIES["genre_stats"](spark, SF_SMALL))
     joins = [line for line in plan.splitlines() if "Join" in line]
     # per-movie folding is a grouped pass over the cells; the only joins are the
-    # salted known-movie semi joins of the build (one per pushed-down branch)
-    assert joins and all("LeftSemi" in j and "xxhash64" in j for j in joins)
+    # known-movie semi joins of the build (one per pushed-down branch)
+    assert joins and all("LeftSemi" in j for j in joins)
 
 
-def test_known_movie_join_is_salted(spark):
+def test_known_movie_join_broadcast_when_small(spark):
     plan = _plan(QUERIES["movie_cells"](spark, SF_SMALL))
     semi = [line for line in plan.splitlines() if "LeftSemi" in line]
-    assert semi and all("_salt" in j for j in semi)
+    assert semi and all("BroadcastHashJoin" in j for j in semi)
+
+
+def test_known_movie_join_salted_when_large(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(QUERIES["movie_cells"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("_salt" in j and "SortMergeJoin" in j for j in semi)

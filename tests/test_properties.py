@@ -76,3 +76,13 @@ def test_upsert_delta_wins_equal_version(spark):
     base = spark.createDataFrame([("1", "info", "title", "Old", "")], schema)
     delta = spark.createDataFrame([("1", "info", "title", "A newer title", "")], schema)
     assert C.upsert_cells(base, delta).first().value == "A newer title"
+
+
+def test_salted_and_broadcast_restriction_agree(spark):
+    from keystat.operators.joins import restrict_to_keys, semi_join_spread
+    r = C.user_cells(T.ratings(spark, SF_SMALL), C.RATING, "rating")
+    keys = T.movies(spark, SF_SMALL).where(F.col("movie_id") % 2 == 0).select(
+        F.col("movie_id").alias("row_key"))
+    a = _bag(restrict_to_keys(r, keys, "row_key", "qualifier"))
+    b = _bag(semi_join_spread(r, keys, "row_key", "qualifier", buckets=7))
+    assert a == b and len(a) > 0
