@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import restrict_to_keys
+from keystat.operators.joins import fits_broadcast, restrict_to_keys
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -34,6 +34,7 @@ TITLE = "title"
 GENRES = "genres"
 
 CELL_KEY = ["row_key", "family", "qualifier"]
+BASE_BATCH = -(1 << 62)  # batch number of a base version: older than any update batch
 CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "version"]
 
 
@@ -116,12 +117,38 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     return info.unionByName(users)
 
 
-def upsert_cells(base: DataFrame, delta: DataFrame) -> DataFrame:
+def merge_cells(base: DataFrame, delta: DataFrame, priority: str, *,
+                strategy: str = "auto") -> DataFrame:
+    """Apply ``delta`` (cells with a numeric ``priority`` column, higher =
+    later batch) to ``base`` (cells, treated as the oldest batch).
+
+    ``shuffle``: newest-wins over the union of both, a full shuffle of the
+    base by cell identity. ``broadcast``: only the base cells whose identity
+    occurs in the delta are merged; the delta's cell identities are broadcast,
+    the base is split map-side into untouched cells (anti join, passed
+    through unshuffled) and touched ones (semi join, merged with the delta).
+    ``auto`` measures the delta's key set against the broadcast threshold.
+    """
+    d = delta.select(*CELL_COLUMNS, F.col(priority).cast("long").alias("_batch"))
+    if strategy == "auto":
+        strategy = "broadcast" if fits_broadcast(d.select(*CELL_KEY), CELL_KEY) else "shuffle"
+    b = base.select(*CELL_COLUMNS)
+    oldest = F.lit(BASE_BATCH).cast("long")
+    if strategy == "shuffle":
+        return newest_cells(b.withColumn("_batch", oldest).unionByName(d), priority="_batch")
+    if strategy != "broadcast":
+        raise ValueError(f"strategy must be auto, shuffle or broadcast, not {strategy!r}")
+    keys = F.broadcast(d.select(*CELL_KEY))
+    untouched = b.join(keys, CELL_KEY, "left_anti")
+    touched = b.join(keys, CELL_KEY, "left_semi").withColumn("_batch", oldest)
+    merged = newest_cells(touched.unionByName(d), priority="_batch")
+    return untouched.unionByName(merged)
+
+
+def upsert_cells(base: DataFrame, delta: DataFrame, *, strategy: str = "auto") -> DataFrame:
     """Merge ``delta`` into ``base``: cells absent from ``delta`` stay,
     the rest resolve newest-version-wins, the delta winning equal versions."""
-    both = (base.select(*CELL_COLUMNS).withColumn("_batch", F.lit(0))
-            .unionByName(delta.select(*CELL_COLUMNS).withColumn("_batch", F.lit(1))))
-    return newest_cells(both, priority="_batch")
+    return merge_cells(base, delta.withColumn("_delta", F.lit(1)), "_delta", strategy=strategy)
 
 
 def family_cells(cells: DataFrame, family: str) -> DataFrame:

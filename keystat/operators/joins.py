@@ -44,13 +44,22 @@ def broadcast_limit_bytes(spark: SparkSession) -> int:
     return n if n < 0 else n * _UNITS[m.group(2)]
 
 
-def key_set_bytes(keys: DataFrame, key: str) -> int:
-    """Measured size of a key column as a broadcast relation (one aggregate job)."""
-    row = keys.agg(F.count(F.col(key)).alias("n"),
-                   F.coalesce(F.sum(F.octet_length(F.col(key))), F.lit(0)).alias("b")).first()
+def key_set_bytes(keys: DataFrame, key: str | list[str]) -> int:
+    """Measured size of key columns as a broadcast relation (one aggregate job)."""
+    cols = [key] if isinstance(key, str) else list(key)
+    length = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols[1:]),
+                 F.coalesce(F.octet_length(F.col(cols[0]).cast("string")), F.lit(0)))
+    row = keys.agg(F.count(F.lit(1)).alias("n"),
+                   F.coalesce(F.sum(length), F.lit(0)).alias("b")).first()
     return int(row["b"]) + ROW_OVERHEAD_BYTES * int(row["n"])
 
 
+def fits_broadcast(keys: DataFrame, key: str | list[str]) -> bool:
+    """True when the measured key set is within the broadcast threshold."""
+    limit = broadcast_limit_bytes(keys.sparkSession)
+    return limit >= 0 and key_set_bytes(keys, key) <= limit
+
+
 def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str,
                      buckets: int | None = None) -> DataFrame:
     """Salted shuffle semi join: rows of ``big`` whose ``key`` is in
@@ -69,8 +78,7 @@ def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str,
                      buckets: int | None = None) -> DataFrame:
     """Rows of ``big`` whose ``key`` appears in ``keys``: broadcast when the
     key set's measured size fits the broadcast threshold, else salted."""
-    limit = broadcast_limit_bytes(big.sparkSession)
     k = keys.select(key).where(F.col(key).isNotNull())
-    if limit >= 0 and key_set_bytes(k, key) <= limit:
+    if fits_broadcast(k, key):
         return big.join(F.broadcast(k), key, "left_semi")
     return semi_join_spread(big, k, key, spread, buckets)

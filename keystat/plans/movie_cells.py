@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keystat.operators.cells import build_cells, upsert_cells
 from keystat.sources.cell_store import read_cells_with_updates, write_cells
+from keystat.session import checkpoint_dir, get_session
 from keystat.sources.csv_inputs import read_movie_inputs
 
 
@@ -26,15 +27,22 @@ def build(spark: SparkSession, input_dir: str, *, base: str | None = None,
     movies, tags, ratings = read_movie_inputs(spark, input_dir, header=header)
     cells = build_cells(movies, tags, ratings)
     if base:
-        cells = upsert_cells(read_cells_with_updates(spark, base, updates), cells)
+        # The delta is read by the size check and by the merge: checkpoint it
+        # once into the shared checkpoint folder (lineage cut, survives the
+        # loss of the executors that computed it).
+        checkpoint_dir(spark)
+        cells = upsert_cells(read_cells_with_updates(spark, base, updates), cells.checkpoint())
     return cells
 
 
 def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None = None,
-        updates: str | None = None, header: bool = False) -> None:
+        updates: str | None = None, header: bool = False, recluster: bool = False) -> None:
+    """Build (or upsert) and write a new table version. An upsert keeps the
+    base's file clustering unless ``recluster`` (a full range shuffle)."""
     if base and base.rstrip("/") == output.rstrip("/"):
         raise ValueError("the output table must be a new directory, not the base being read")
-    write_cells(build(spark, input_dir, base=base, updates=updates, header=header), output)
+    cells = build(spark, input_dir, base=base, updates=updates, header=header)
+    write_cells(cells, output, cluster=recluster or not base)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -44,11 +52,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--base", help="existing cell table to merge into")
     ap.add_argument("--updates", help="directory of streamed update batches to fold in")
     ap.add_argument("--header", action="store_true")
+    ap.add_argument("--recluster", action="store_true",
+                    help="range-cluster the whole output again (full shuffle)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
-    from keystat.session import get_session
     spark = get_session(args.master, "keystat-movie-cells")
-    run(spark, args.input_dir, args.output, base=args.base, updates=args.updates, header=args.header)
+    run(spark, args.input_dir, args.output, base=args.base, updates=args.updates,
+        header=args.header, recluster=args.recluster)
     return 0
 
 

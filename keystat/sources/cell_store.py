@@ -18,21 +18,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystat import schemas
-from keystat.operators.cells import CELL_COLUMNS, newest_cells
+from keystat.operators.cells import CELL_COLUMNS, merge_cells
 
 UPDATE_SCHEMA = T.StructType(list(schemas.CELLS.fields) + [T.StructField("batch", T.LongType())])
 
 
-def write_cells(cells: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+def write_cells(cells: DataFrame, path: str, *, mode: str = "errorifexists",
+                cluster: bool = True) -> None:
     """Write cells partitioned by family, files clustered by row key.
 
-    Range-partitioning on ``(family, row_key)`` gives each task a contiguous
-    key range, mostly of one family, so few files per task and sorted files
-    whose row-key min/max statistics let later scans skip row groups.
+    Range-partitioning on ``(family, row_key, qualifier)`` gives each task a
+    contiguous key range, mostly of one family, so few files per task and
+    sorted files whose row-key min/max statistics let later scans skip row
+    groups. The qualifier in the range key lets the sampler split one movie
+    with a huge number of cells over several tasks.
+
+    ``cluster=False`` skips the range shuffle and only sorts each task's
+    output: for an upsert whose untouched cells stream through in the base's
+    file order, re-clustering the whole table would cost a full shuffle.
     """
-    (cells.select(*CELL_COLUMNS)
-     .repartitionByRange("family", "row_key")
-     .sortWithinPartitions("family", "row_key", "qualifier")
+    out = cells.select(*CELL_COLUMNS)
+    if cluster:
+        out = out.repartitionByRange("family", "row_key", "qualifier")
+    (out.sortWithinPartitions("family", "row_key", "qualifier")
      .write.mode(mode).partitionBy("family").parquet(path))
 
 
@@ -51,13 +59,13 @@ def read_cell_updates(spark: SparkSession, updates_dir: str) -> DataFrame:
 def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | None,
                             families: list[str] | None = None) -> DataFrame:
     """The base version with every update batch applied: newest version wins,
-    then the later batch (the base counts as batch -1)."""
+    then the later batch (the base counts as older than every batch). Small
+    update sets are merged without shuffling the base (see
+    :func:`keystat.operators.cells.merge_cells`)."""
     base = read_cells(spark, path, families)
     if not updates_dir:
         return base
     ups = read_cell_updates(spark, updates_dir)
     if families:
         ups = ups.where(F.col("family").isin(families))
-    both = (base.withColumn("batch", F.lit(-1).cast("long"))
-            .unionByName(ups.select(*CELL_COLUMNS, "batch")))
-    return newest_cells(both, priority="batch")
+    return merge_cells(base, ups, "batch")

@@ -86,3 +86,27 @@ def test_salted_and_broadcast_restriction_agree(spark):
     a = _bag(restrict_to_keys(r, keys, "row_key", "qualifier"))
     b = _bag(semi_join_spread(r, keys, "row_key", "qualifier", buckets=7))
     assert a == b and len(a) > 0
+
+
+def test_upsert_strategies_agree(spark):
+    m, t, r = T.movies(spark, SF_SMALL), T.tags(spark, SF_SMALL), T.ratings(spark, SF_SMALL)
+    base = C.build_cells(m, t, r.where(F.col("ts") < "1997-01-01"))
+    delta = C.build_cells(m, None, r.where(F.col("ts") >= "1997-01-01"))
+    shuffled = _bag(C.upsert_cells(base, delta, strategy="shuffle"))
+    broadcast = _bag(C.upsert_cells(base, delta, strategy="broadcast"))
+    full = _bag(C.build_cells(m, t, r))
+    assert shuffled == broadcast == full
+
+
+def test_broadcast_upsert_does_not_shuffle_base(spark):
+    schema = "row_key string, family string, qualifier string, value string, version string"
+    base = T.table(spark, SF_SMALL, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("row_key"), F.lit("rating").alias("family"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("qualifier"),
+        F.lit("1|x").alias("value"), F.lit("x").alias("version"))
+    delta = spark.createDataFrame([("1", "rating", "9-9", "5|y", "y")], schema)
+    plan = C.upsert_cells(base, delta)._jdf.queryExecution().executedPlan().toString()
+    # the only hash exchange is the merge of the (small) touched cells and the delta
+    assert "BroadcastExchange" in plan
+    scans = [line for line in plan.splitlines() if "lineitem.parquet" in line]
+    assert len(scans) == 2
