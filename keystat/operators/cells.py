@@ -145,6 +145,38 @@ def merge_cells(base: DataFrame, delta: DataFrame, priority: str, *,
     return untouched.unionByName(merged)
 
 
+def merge_aligned(base: DataFrame, delta: DataFrame) -> DataFrame:
+    """Upsert as a full outer join on the cell identity, for a ``base`` read
+    as a table bucketed by that identity
+    (:func:`keystat.sources.cell_store.bucketed_cells`).
+
+    The join keys equal the bucket columns, so the planner keeps the base's
+    bucketed scan unshuffled and hash-shuffles only the delta into the same
+    buckets; the build side of each task's hash join is the delta bucket.
+    Every output task holds one bucket, so the result can be written
+    bucket-aligned without another shuffle. Newest version wins, the delta
+    wins equal versions.
+    """
+    d = newest_cells(delta.select(*CELL_COLUMNS))
+    # A delta holding one family would let the optimizer fold the family key
+    # into a filter and join on two keys, losing the bucket alignment.
+    d = d.select("row_key", F.when(F.col("row_key").isNotNull(), F.col("family")).alias("family"),
+                 "qualifier", F.col("value").alias("_d_value"), F.col("version").alias("_d_version"),
+                 F.lit(True).alias("_d"))
+    b = base.select(*CELL_KEY, F.col("value").alias("_b_value"),
+                    F.col("version").alias("_b_version"), F.lit(True).alias("_b"))
+    j = b.join(d.hint("shuffle_hash"), CELL_KEY, "full_outer")
+
+    def side(present: str, value: str, version: str, rank: int):
+        v = F.col(version)
+        return F.when(F.col(present), F.struct(version_number(v).alias("n"), v.alias("t"),
+                                               F.lit(rank).alias("p"), F.col(value).alias("value"),
+                                               v.alias("version")))
+
+    w = F.greatest(side("_b", "_b_value", "_b_version", 0), side("_d", "_d_value", "_d_version", 1))
+    return j.select(*CELL_KEY, w["value"].alias("value"), w["version"].alias("version"))
+
+
 def upsert_cells(base: DataFrame, delta: DataFrame, *, strategy: str = "auto") -> DataFrame:
     """Merge ``delta`` into ``base``: cells absent from ``delta`` stay,
     the rest resolve newest-version-wins, the delta winning equal versions."""

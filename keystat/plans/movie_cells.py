@@ -6,7 +6,8 @@ Without ``--base`` the output holds the cells of the inputs. With it, the
 inputs are merged into the base version (cells the inputs do not touch stay;
 touched ones resolve newest-wins) and the result is written to the new
 ``OUTPUT_TABLE`` directory; ``--updates`` folds streamed update batches in
-as well.
+as well. Tables are bucketed by cell identity (see
+:mod:`keystat.sources.cell_store`), so an upsert shuffles only the new cells.
 """
 
 from __future__ import annotations
@@ -14,35 +15,49 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from keystat.operators.cells import build_cells, upsert_cells
-from keystat.sources.cell_store import read_cells_with_updates, write_cells
+from keystat.operators.cells import (CELL_COLUMNS, build_cells, merge_aligned, newest_cells,
+                                     upsert_cells)
 from keystat.session import checkpoint_dir, get_session
+from keystat.sources.cell_store import (bucket_count, bucketed_cells, read_cell_updates,
+                                        read_cells_with_updates, write_cells)
 from keystat.sources.csv_inputs import read_movie_inputs
 
 
-def build(spark: SparkSession, input_dir: str, *, base: str | None = None,
-          updates: str | None = None, header: bool = False) -> DataFrame:
-    movies, tags, ratings = read_movie_inputs(spark, input_dir, header=header)
-    cells = build_cells(movies, tags, ratings)
-    if base:
-        # The delta is read by the size check and by the merge: checkpoint it
-        # once into the shared checkpoint folder (lineage cut, survives the
-        # loss of the executors that computed it).
-        checkpoint_dir(spark)
-        cells = upsert_cells(read_cells_with_updates(spark, base, updates), cells.checkpoint())
-    return cells
-
-
 def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None = None,
-        updates: str | None = None, header: bool = False, recluster: bool = False) -> None:
-    """Build (or upsert) and write a new table version. An upsert keeps the
-    base's file clustering unless ``recluster`` (a full range shuffle)."""
+        updates: str | None = None, header: bool = False, buckets: int | None = None) -> None:
+    """Build a table version from the inputs, or upsert them into ``base``.
+
+    Upsert into a bucketed base: the new cells (with any streamed update
+    batches folded in first) are the delta of a bucket-aligned merge join;
+    the base is read in place, only the delta is shuffled, and the output is
+    written bucket by bucket with the base's bucket count.
+    """
     if base and base.rstrip("/") == output.rstrip("/"):
         raise ValueError("the output table must be a new directory, not the base being read")
-    cells = build(spark, input_dir, base=base, updates=updates, header=header)
-    write_cells(cells, output, cluster=recluster or not base)
+    movies, tags, ratings = read_movie_inputs(spark, input_dir, header=header)
+    cells = build_cells(movies, tags, ratings)
+    if not base:
+        write_cells(cells, output, buckets=buckets)
+        return
+    # The delta is read by the size checks and by the merge: checkpoint it
+    # once into the shared checkpoint folder (lineage cut, survives the loss
+    # of the executors that computed it).
+    checkpoint_dir(spark)
+    delta = cells.checkpoint()
+    n = bucket_count(spark, base)
+    if n is None:  # a table without bucket layout: DataFrame-level upsert
+        write_cells(upsert_cells(read_cells_with_updates(spark, base, updates), delta), output,
+                    buckets=buckets)
+        return
+    if updates:
+        # update batches are newer than the base and older than these inputs
+        pending = read_cell_updates(spark, updates).select(*CELL_COLUMNS, "batch")
+        delta = newest_cells(pending.unionByName(delta.withColumn("batch", F.lit(1 << 62))),
+                             priority="batch")
+    write_cells(merge_aligned(bucketed_cells(spark, base), delta), output, buckets=n, aligned=True)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -52,13 +67,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--base", help="existing cell table to merge into")
     ap.add_argument("--updates", help="directory of streamed update batches to fold in")
     ap.add_argument("--header", action="store_true")
-    ap.add_argument("--recluster", action="store_true",
-                    help="range-cluster the whole output again (full shuffle)")
+    ap.add_argument("--buckets", type=int,
+                    help="bucket count of a new table (default keystat.cells.buckets)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = get_session(args.master, "keystat-movie-cells")
     run(spark, args.input_dir, args.output, base=args.base, updates=args.updates,
-        header=args.header, recluster=args.recluster)
+        header=args.header, buckets=args.buckets)
     return 0
 
 

@@ -1,47 +1,84 @@
-"""Parquet storage of the cell table, partitioned by family.
+"""Parquet storage of the cell table: bucketed by cell identity.
+
+Every version is a directory of Parquet files written with Spark's
+``bucketBy(N, row_key, family, qualifier)`` and sorted by
+``(family, row_key, qualifier)`` within each bucket, plus a hidden
+``_keystat_layout`` folder recording ``N`` (Spark's readers skip paths that
+start with ``_``). Plain reads are ordinary Parquet reads that split files
+freely; a family filter skips row groups through the sorted column's
+statistics.
+
+Why buckets: an upsert must bring each delta cell together with the base
+cell of the same identity. Registered as a bucketed table, the base already
+*is* hash-partitioned by the identity, so the merge join shuffles only the
+delta into the base's buckets; the base, the large side, is read in place.
+Hashing all three key columns spreads one movie's cells over every bucket.
+``N`` is fixed when a table is first built (``keystat.cells.buckets``; at
+scale about table bytes / 512 MB) and carried to every later version.
 
 A build or an upsert always writes a *new* directory: Spark cannot safely
 overwrite a path it is reading, and a finished directory is an immutable
-version that jobs and restarts can re-read. Readers pass the family list they
-need and the scan prunes the other partitions.
-
-Updates that arrive between builds (see :mod:`keystat.streaming`) are
-separate directories of cells tagged with a ``batch`` number;
-:func:`read_cells_with_updates` merges them over a base version at read time
-and a later upsert folds them in for good.
+version that jobs and restarts can re-read.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystat import schemas
-from keystat.operators.cells import CELL_COLUMNS, merge_cells
+from keystat.operators.cells import CELL_COLUMNS, CELL_KEY, merge_cells
+
+BUCKETS_CONF = "keystat.cells.buckets"
+DEFAULT_BUCKETS = 64
+LAYOUT_DIR = "_keystat_layout"
+SORT_COLUMNS = ["family", "row_key", "qualifier"]
 
 UPDATE_SCHEMA = T.StructType(list(schemas.CELLS.fields) + [T.StructField("batch", T.LongType())])
 
 
-def write_cells(cells: DataFrame, path: str, *, mode: str = "errorifexists",
-                cluster: bool = True) -> None:
-    """Write cells partitioned by family, files clustered by row key.
+def default_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
+
 
-    Range-partitioning on ``(family, row_key, qualifier)`` gives each task a
-    contiguous key range, mostly of one family, so few files per task and
-    sorted files whose row-key min/max statistics let later scans skip row
-    groups. The qualifier in the range key lets the sampler split one movie
-    with a huge number of cells over several tasks.
+def _table_name(path: str, suffix: str = "") -> str:
+    return "keystat_cells_" + hashlib.sha1((path.rstrip("/") + suffix).encode()).hexdigest()[:16]
 
-    ``cluster=False`` skips the range shuffle and only sorts each task's
-    output: for an upsert whose untouched cells stream through in the base's
-    file order, re-clustering the whole table would cost a full shuffle.
+
+def write_cells(cells: DataFrame, path: str, *, buckets: int | None = None,
+                aligned: bool = False) -> None:
+    """Write a new table version at ``path`` (which must not exist).
+
+    ``aligned=True`` states that ``cells`` is already hash-partitioned by the
+    cell identity into ``buckets`` partitions (the output of a bucketed
+    merge), so each task writes exactly one bucket file; otherwise the cells
+    are repartitioned by the identity first (one file per bucket).
     """
+    spark = cells.sparkSession
+    n = buckets or default_buckets(spark)
     out = cells.select(*CELL_COLUMNS)
-    if cluster:
-        out = out.repartitionByRange("family", "row_key", "qualifier")
-    (out.sortWithinPartitions("family", "row_key", "qualifier")
-     .write.mode(mode).partitionBy("family").parquet(path))
+    if not aligned:
+        out = out.repartition(n, *CELL_KEY)
+    name = _table_name(path, ":write")
+    (out.write.bucketBy(n, *CELL_KEY).sortBy(*SORT_COLUMNS)
+     .option("path", path).mode("errorifexists").format("parquet").saveAsTable(name))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: the files stay
+    (spark.createDataFrame([(n, ",".join(CELL_KEY))], "buckets int, keys string")
+     .coalesce(1).write.json(f"{path.rstrip('/')}/{LAYOUT_DIR}"))
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The bucket count recorded with a table version, or None if absent."""
+    try:
+        row = spark.read.schema("buckets int, keys string").json(
+            f"{path.rstrip('/')}/{LAYOUT_DIR}").first()
+    except AnalysisException:
+        return None
+    return int(row["buckets"]) if row and row["keys"] == ",".join(CELL_KEY) else None
 
 
 def read_cells(spark: SparkSession, path: str, families: list[str] | None = None) -> DataFrame:
@@ -51,6 +88,20 @@ def read_cells(spark: SparkSession, path: str, families: list[str] | None = None
     return df.select(*CELL_COLUMNS)
 
 
+def bucketed_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The table version as a bucketed table (session catalog entry over the
+    directory), so joins on the cell identity reuse its partitioning."""
+    n = bucket_count(spark, path)
+    if n is None:
+        raise ValueError(f"{path} has no bucket layout")
+    name = _table_name(path)
+    cols = ", ".join(f"{f.name} STRING" for f in schemas.CELLS.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"CLUSTERED BY ({', '.join(CELL_KEY)}) SORTED BY ({', '.join(SORT_COLUMNS)}) "
+              f"INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(name).select(*CELL_COLUMNS)
+
+
 def read_cell_updates(spark: SparkSession, updates_dir: str) -> DataFrame:
     """All update batches under ``updates_dir`` (``batch=<n>`` sub-directories)."""
     return spark.read.schema(UPDATE_SCHEMA).parquet(updates_dir)

@@ -88,3 +88,30 @@ def test_output_must_be_new_directory(spark, workdir):
     import pytest
     with pytest.raises(ValueError):
         movie_cells.run(spark, make_input(workdir), "/x/t", base="/x/t/")
+
+
+def test_upsert_reads_base_in_place(spark, workdir):
+    """The merge into a bucketed base shuffles only the new cells."""
+    from pyspark.sql import functions as F
+
+    from keystat.operators.cells import merge_aligned, upsert_cells
+    from keystat.sources.cell_store import bucket_count, bucketed_cells
+    v1 = os.path.join(workdir, "v1")
+    movie_cells.run(spark, make_input(workdir), v1, buckets=8)
+    assert bucket_count(spark, v1) == 8
+    delta = spark.createDataFrame([("1", "rating", "7", "1.0|2011-01-01", "2011-01-01"),
+                                   ("2", "rating", "5", "4.5|2011-01-01", "2011-01-01")],
+                                  "row_key string, family string, qualifier string, "
+                                  "value string, version string")
+    merged = merge_aligned(bucketed_cells(spark, v1), delta)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line and "keystat_cells_" in line]
+    assert scan and "Bucketed: true" in scan[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all(", 8)" in e for e in exchanges)  # the delta, into the 8 buckets
+    expected = sorted(tuple(r) for r in upsert_cells(read_cells(spark, v1), delta).collect())
+    assert sorted(tuple(r) for r in merged.collect()) == expected
+    one_family = delta.where(F.col("qualifier") == "7")
+    plan1 = merge_aligned(bucketed_cells(spark, v1), one_family)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Bucketed: true" in plan1
