@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystat import schemas
-from keystat.operators.cells import CELL_COLUMNS, CELL_KEY, merge_cells
+from keystat.operators.cells import (CELL_COLUMNS, CELL_KEY, merge_aligned, merge_cells,
+                                     newest_cells)
 
 BUCKETS_CONF = "keystat.cells.buckets"
 DEFAULT_BUCKETS = 64
@@ -110,13 +111,20 @@ def read_cell_updates(spark: SparkSession, updates_dir: str) -> DataFrame:
 def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | None,
                             families: list[str] | None = None) -> DataFrame:
     """The base version with every update batch applied: newest version wins,
-    then the later batch (the base counts as older than every batch). Small
-    update sets are merged without shuffling the base (see
-    :func:`keystat.operators.cells.merge_cells`)."""
-    base = read_cells(spark, path, families)
+    then the later batch (the base counts as older than every batch).
+
+    A bucketed base is merged in place (the updates, resolved among
+    themselves, are shuffled into its buckets); otherwise small update sets
+    are merged without shuffling the base, large ones by a shuffle of both
+    (see :func:`keystat.operators.cells.merge_cells`)."""
     if not updates_dir:
-        return base
+        return read_cells(spark, path, families)
     ups = read_cell_updates(spark, updates_dir)
     if families:
         ups = ups.where(F.col("family").isin(families))
-    return merge_cells(base, ups, "batch")
+    if bucket_count(spark, path) is not None:
+        base = bucketed_cells(spark, path)
+        if families:
+            base = base.where(F.col("family").isin(families))
+        return merge_aligned(base, newest_cells(ups, priority="batch"))
+    return merge_cells(read_cells(spark, path, families), ups, "batch")
