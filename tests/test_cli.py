@@ -34,3 +34,14 @@ def test_movie_and_genre_cli(spark, workdir):
     out = os.path.join(workdir, "report")
     assert genre_report.main([v2, out]) == 0
     assert read_text_dir(out)[-1] == "(Drama,3.5 1)"
+
+
+def test_turnaround_cli(spark, workdir, capsys):
+    from keystat.plans import turnaround
+    jobs = write_lines(os.path.join(workdir, "jobs.csv"), [
+        "a,2020-01-01 00:00:00,2020-01-03 00:00:00",
+        "b,2020-01-02 00:00:00,2020-01-02 12:00:00",
+        "c,2020-01-05 00:00:00,2020-01-11 00:00:00",
+    ])
+    assert turnaround.main([jobs, "--format", "csv"]) == 0
+    assert capsys.readouterr().out.strip().endswith("jobs: 3  mean turnaround (days): 2.6666666666666665")
