@@ -145,7 +145,7 @@ def merge_cells(base: DataFrame, delta: DataFrame, priority: str, *,
     return untouched.unionByName(merged)
 
 
-def merge_aligned(base: DataFrame, delta: DataFrame) -> DataFrame:
+def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False) -> DataFrame:
     """Upsert as a full outer join on the cell identity, for a ``base`` read
     as a table bucketed by that identity
     (:func:`keystat.sources.cell_store.bucketed_cells`).
@@ -155,9 +155,13 @@ def merge_aligned(base: DataFrame, delta: DataFrame) -> DataFrame:
     buckets; the build side of each task's hash join is the delta bucket.
     Every output task holds one bucket, so the result can be written
     bucket-aligned without another shuffle. Newest version wins, the delta
-    wins equal versions.
+    wins equal versions. ``unique=True`` states that the delta already holds
+    one row per cell (a build's cells, resolved update batches), which saves
+    resolving it with a shuffle of its own.
     """
-    d = newest_cells(delta.select(*CELL_COLUMNS))
+    d = delta.select(*CELL_COLUMNS)
+    if not unique:
+        d = newest_cells(d)
     # A delta holding one family would let the optimizer fold the family key
     # into a filter and join on two keys, losing the bucket alignment.
     d = d.select("row_key", F.when(F.col("row_key").isNotNull(), F.col("family")).alias("family"),

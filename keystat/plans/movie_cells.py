@@ -57,7 +57,8 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
         pending = read_cell_updates(spark, updates).select(*CELL_COLUMNS, "batch")
         delta = newest_cells(pending.unionByName(delta.withColumn("batch", F.lit(1 << 62))),
                              priority="batch")
-    write_cells(merge_aligned(bucketed_cells(spark, base), delta), output, buckets=n, aligned=True)
+    merged = merge_aligned(bucketed_cells(spark, base), delta, unique=True)
+    write_cells(merged, output, buckets=n, aligned=True)
 
 
 def main(argv: list[str] | None = None) -> int:

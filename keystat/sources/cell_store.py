@@ -126,5 +126,5 @@ def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | N
         base = bucketed_cells(spark, path)
         if families:
             base = base.where(F.col("family").isin(families))
-        return merge_aligned(base, newest_cells(ups, priority="batch"))
+        return merge_aligned(base, newest_cells(ups, priority="batch"), unique=True)
     return merge_cells(read_cells(spark, path, families), ups, "batch")
