@@ -113,7 +113,12 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     for p in parts[1:]:
         raw = raw.unionByName(p)
     known = movies.select(F.col("movie_id").alias("row_key"))
-    users = restrict_to_keys(newest_cells(raw), known, "row_key", spread="qualifier")
+    # spread by user and the winning version (an aggregate output: the join
+    # stays above newest-wins, see joins.semi_join_spread)
+    # (hot movies are counted on the raw cells' keys: a column-pruned pass,
+    # at least as many rows per movie as after newest-wins)
+    users = restrict_to_keys(newest_cells(raw), known, "row_key", spread=["qualifier", "version"],
+                             counts_source=raw.select("row_key"))
     return info.unionByName(users)
 
 

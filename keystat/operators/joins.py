@@ -6,11 +6,12 @@ Two ways, chosen by a measured size:
   small aggregate over the key column) is within
   ``spark.sql.autoBroadcastJoinThreshold``. A broadcast semi join filters
   each task's rows locally: no shuffle, so no key can be hot.
-* otherwise a **salted** shuffle semi join: the large side carries a salt
-  derived from a second column that spreads a key's rows (the user id), and
-  the key set is replicated once per salt value, so the rows of one key hash
-  to ``buckets`` different tasks. A blockbuster movie holding a third of all
-  ratings is joined by ``buckets`` tasks instead of one.
+* otherwise a **salted** shuffle semi join. Keys holding more rows than one
+  task should handle are found by a per-key count (partial aggregate, top-k
+  to the driver, bounded). Only those keys are salted: their rows carry
+  ``hash(spread) mod factor`` and the key is replicated ``factor`` times on
+  the key side, so a blockbuster movie holding a third of all ratings is
+  joined by as many tasks as its size calls for.
 """
 
 from __future__ import annotations
@@ -20,8 +21,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SALT_BUCKETS_CONF = "keystat.skew.saltBuckets"
-DEFAULT_SALT_BUCKETS = 16
+# A key is hot above this many rows (about one task's worth of work); its
+# salt factor is rows / HOT_ROWS rounded up.
+HOT_ROWS_CONF = "keystat.skew.hotKeyRows"
+DEFAULT_HOT_ROWS = 2_000_000
+MAX_HOT_KEYS_CONF = "keystat.skew.maxHotKeys"
+DEFAULT_MAX_HOT_KEYS = 10_000
 # Bytes a broadcast hash relation spends per key row beyond the key text
 # (row header, offset/length word, hash-map entry); an upper estimate.
 ROW_OVERHEAD_BYTES = 48
@@ -30,10 +35,6 @@ _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 2
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
-def salt_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get(SALT_BUCKETS_CONF, str(DEFAULT_SALT_BUCKETS)))
-
-
 def broadcast_limit_bytes(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
@@ -60,25 +61,63 @@ def fits_broadcast(keys: DataFrame, key: str | list[str]) -> bool:
     return limit >= 0 and key_set_bytes(keys, key) <= limit
 
 
-def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str,
-                     buckets: int | None = None) -> DataFrame:
+def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None,
+                    max_hot: int | None = None) -> DataFrame:
+    """Keys holding more than ``hot_rows`` rows of ``counts_source``, each with
+    a salt factor ``ceil(rows / hot_rows)``: a small, bounded table.
+
+    The per-key count is a partial + final aggregate (a hot key is one row
+    per task before the shuffle). At most ``total_rows / hot_rows`` keys can
+    qualify; the largest ``max_hot`` of them are taken (a top-k, never the
+    whole count table) and returned as a local DataFrame. Keys past the cap
+    are still joined exactly, just without extra salt.
+    """
+    spark = counts_source.sparkSession
+    hot_rows = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    max_hot = max_hot or int(spark.conf.get(MAX_HOT_KEYS_CONF, str(DEFAULT_MAX_HOT_KEYS)))
+    top = (counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > hot_rows).orderBy(F.col("n").desc()).limit(max_hot).collect())
+    key_type = counts_source.schema[key].dataType.simpleString()
+    rows = [(r[key], int(-(-r["n"] // hot_rows))) for r in top]
+    return spark.createDataFrame(rows, f"{key} {key_type}, _factor int")
+
+
+def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
+                     counts_source: DataFrame | None = None) -> DataFrame:
     """Salted shuffle semi join: rows of ``big`` whose ``key`` is in
-    ``keys[key]``, the work of one key spread over ``buckets`` tasks by
-    ``hash(spread)``."""
-    n = buckets or salt_buckets(big.sparkSession)
+    ``keys[key]``, with every hot key's rows spread over several tasks.
+
+    Hot keys and their salt factors come from :func:`hot_key_factors` over
+    ``counts_source`` (default ``big``; pass a cheaper, column-pruned source
+    with at least as many rows per key, such as the raw input of an
+    aggregate). A hot key's rows get salt ``hash(spread) mod factor`` and the
+    key is replicated ``factor`` times on the key side; every other key has
+    salt 0 and one copy, so the key side grows only by the hot keys' factors.
+    The factor table is small and bounded, hence broadcast.
+
+    When ``big`` is an aggregate, including one of its aggregate outputs in
+    ``spread`` keeps the optimizer from pushing the join below the
+    aggregate, where the aggregate would depend on the join's partitioning.
+    """
+    cols = [spread] if isinstance(spread, str) else list(spread)
     k = keys.select(key).where(F.col(key).isNotNull())
-    if n <= 1:
-        return big.join(k, key, "left_semi")
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(n)).cast("int"))
-    replicated = k.select(key, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt"))
+    factors = F.broadcast(hot_key_factors(counts_source if counts_source is not None else big, key))
+    salted = (big.join(factors, key, "left")
+              .withColumn("_salt", F.when(F.col("_factor").isNull(), F.lit(0)).otherwise(
+                  F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_factor")).cast("int")))
+              .drop("_factor"))
+    replicated = (k.join(factors, key, "left")
+                  .select(key, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_factor"), F.lit(1)) - 1))
+                          .alias("_salt")))
     return salted.join(replicated, [key, "_salt"], "left_semi").drop("_salt")
 
 
-def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str,
-                     buckets: int | None = None) -> DataFrame:
+def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
+                     counts_source: DataFrame | None = None) -> DataFrame:
     """Rows of ``big`` whose ``key`` appears in ``keys``: broadcast when the
-    key set's measured size fits the broadcast threshold, else salted."""
+    key set's measured size fits the broadcast threshold, else a shuffle
+    join with hot keys salted (:func:`semi_join_spread`)."""
     k = keys.select(key).where(F.col(key).isNotNull())
     if fits_broadcast(k, key):
         return big.join(F.broadcast(k), key, "left_semi")
-    return semi_join_spread(big, k, key, spread, buckets)
+    return semi_join_spread(big, k, key, spread, counts_source)

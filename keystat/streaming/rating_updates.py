@@ -46,7 +46,8 @@ def batch_writer(movies: DataFrame, updates_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # the size check (broadcast or salted) runs per batch: the movie
         # table may have grown since the query started
-        cells = restrict_to_keys(newest_cells(batch), known, "row_key", spread="qualifier")
+        cells = restrict_to_keys(newest_cells(batch), known, "row_key",
+                                 spread=["qualifier", "version"])
         cells.write.mode("overwrite").parquet(f"{updates_dir.rstrip('/')}/batch={batch_id}")
 
     return write

@@ -79,15 +79,38 @@ def test_upsert_delta_wins_equal_version(spark):
 
 
 def test_salted_and_broadcast_restriction_agree(spark):
-    from keystat.operators.joins import restrict_to_keys, semi_join_spread
+    from keystat.operators.joins import hot_key_factors, restrict_to_keys, semi_join_spread
     r = C.user_cells(T.ratings(spark, SF_SMALL), C.RATING, "rating")
+    # one movie holds about half of all rows
+    r = r.withColumn("row_key", F.when(F.col("qualifier").cast("int") % 2 == 0, F.lit("4"))
+                     .otherwise(F.col("row_key")))
     keys = T.movies(spark, SF_SMALL).where(F.col("movie_id") % 2 == 0).select(
         F.col("movie_id").alias("row_key"))
     a = _bag(restrict_to_keys(r, keys, "row_key", "qualifier"))
-    b = _bag(semi_join_spread(r, keys, "row_key", "qualifier", buckets=7))
+    old = spark.conf.get("keystat.skew.hotKeyRows", "2000000")
+    try:
+        spark.conf.set("keystat.skew.hotKeyRows", "100")
+        factors = {row.row_key: row._factor for row in hot_key_factors(r, "row_key").collect()}
+        assert factors and factors["4"] == max(factors.values()) > 5
+        b = _bag(semi_join_spread(r, keys, "row_key", ["qualifier", "version"]))
+    finally:
+        spark.conf.set("keystat.skew.hotKeyRows", old)
     assert a == b and len(a) > 0
 
 
+def test_hot_key_rows_spread_over_tasks(spark):
+    """The hot movie's rows land in many join partitions, not one."""
+    from keystat.operators.joins import hot_key_factors
+    r = C.user_cells(T.ratings(spark, SF_SMALL), C.RATING, "rating").withColumn(
+        "row_key", F.lit("4"))
+    factors = F.broadcast(hot_key_factors(r, "row_key", hot_rows=50))
+    salted = r.join(factors, "row_key", "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("qualifier", "version"), F.col("_factor")))
+    parts = (salted.repartition(64, "row_key", "_salt")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 8
+
+
 def test_upsert_strategies_agree(spark):
     m, t, r = T.movies(spark, SF_SMALL), T.tags(spark, SF_SMALL), T.ratings(spark, SF_SMALL)
     base = C.build_cells(m, t, r.where(F.col("ts") < "1997-01-01"))
