@@ -130,6 +130,10 @@ def sorted_values(prices: DataFrame) -> DataFrame:
 
     The values are not gathered into one list per ticker: a ticker can hold a
     large share of all lines. A global sort on ``(ticker, close)`` range-
-    partitions on both columns, so one ticker's values spread over many tasks.
+    partitions on both columns, so one ticker's values spread over many tasks;
+    the row's file position as a last sort key lets even a long run of equal
+    ``(ticker, close)`` pairs be split between range partitions.
     """
-    return price_pairs(prices).orderBy("ticker", "close")
+    seq = F.monotonically_increasing_id().alias("_seq")
+    return price_pairs(prices).select("ticker", "close", seq).orderBy("ticker", "close", "_seq") \
+        .drop("_seq")

@@ -133,3 +133,18 @@ def test_broadcast_upsert_does_not_shuffle_base(spark):
     assert "BroadcastExchange" in plan
     scans = [line for line in plan.splitlines() if "lineitem.parquet" in line]
     assert len(scans) == 2
+
+
+def test_sorted_values_split_equal_runs(spark):
+    """One (ticker, close) pair repeated many times still spans several range partitions."""
+    df = spark.range(4000).select(F.lit("T").alias("ticker"), F.lit(1.0).alias("close"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = S.sorted_values(df.repartition(4))
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1 and out.count() == 4000
