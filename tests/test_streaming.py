@@ -48,3 +48,26 @@ def test_stream_updates_then_fold(spark, workdir):
     movie_cells.run(spark, empty, v2, base=base, updates=updates)
     folded = {(r.row_key, r.family, r.qualifier): r.value for r in read_cells(spark, v2).collect()}
     assert folded == merged
+
+
+def test_stream_tag_updates(spark, workdir):
+    src = make_input(workdir)
+    base = os.path.join(workdir, "v1")
+    movie_cells.run(spark, src, base)
+    landing = os.path.join(workdir, "tags")
+    # user 5 tags movie 2 twice in one file: one cell, newest tag wins
+    write_lines(os.path.join(landing, "t.csv"), ["5,2,first,2012-01-01", "5,2,second,2012-02-01",
+                                                 "6,3,plain,2012-01-01"])
+    updates = os.path.join(workdir, "tag_updates")
+    movies = read_movies(spark, os.path.join(src, "movie.csv"))
+    q = start_updates(spark, landing, movies, updates, os.path.join(workdir, "ckpt_tags"),
+                      family="tag", available_now=True)
+    q.awaitTermination(120)
+    merged = {(r.row_key, r.family, r.qualifier): r.value
+              for r in read_cells_with_updates(spark, base, updates).collect()}
+    assert merged[("2", "tag", "5")] == "second|2012-02-01"
+    assert merged[("3", "tag", "6")] == "plain|2012-01-01"
+    out = os.path.join(workdir, "report")
+    genre_report.run(spark, base, out, updates=updates)
+    lines = read_text_dir(out)
+    assert "((no genres listed),NaN 1)" in lines and "(Drama,2.5 2)" in lines
