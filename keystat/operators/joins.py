@@ -113,11 +113,24 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
 
 
 def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
-                     counts_source: DataFrame | None = None) -> DataFrame:
-    """Rows of ``big`` whose ``key`` appears in ``keys``: broadcast when the
-    key set's measured size fits the broadcast threshold, else a shuffle
-    join with hot keys salted (:func:`semi_join_spread`)."""
+                     counts_source: DataFrame | None = None, *,
+                     probe_big_keys: bool = False) -> DataFrame:
+    """Rows of ``big`` whose ``key`` appears in ``keys``.
+
+    * the key set's measured size fits the broadcast threshold: broadcast it;
+    * ``probe_big_keys`` (``big`` is small, e.g. a streaming micro-batch) and
+      ``big``'s own distinct keys fit: broadcast those, keep the known ones
+      with one map-side pass over ``keys``, and broadcast that result (no
+      larger than ``big``'s key set) back onto ``big``. Neither side is
+      shuffled;
+    * otherwise a shuffle join with hot keys salted (:func:`semi_join_spread`).
+    """
     k = keys.select(key).where(F.col(key).isNotNull())
     if fits_broadcast(k, key):
         return big.join(F.broadcast(k), key, "left_semi")
+    if probe_big_keys:
+        mine = big.select(key).where(F.col(key).isNotNull()).distinct()
+        if fits_broadcast(mine, key):
+            found = k.join(F.broadcast(mine), key, "left_semi").distinct()
+            return big.join(F.broadcast(found), key, "left_semi")
     return semi_join_spread(big, k, key, spread, counts_source)

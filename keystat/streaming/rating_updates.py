@@ -47,7 +47,7 @@ def batch_writer(movies: DataFrame, updates_dir: str):
         # the size check (broadcast or salted) runs per batch: the movie
         # table may have grown since the query started
         cells = restrict_to_keys(newest_cells(batch), known, "row_key",
-                                 spread=["qualifier", "version"])
+                                 spread=["qualifier", "version"], probe_big_keys=True)
         cells.write.mode("overwrite").parquet(f"{updates_dir.rstrip('/')}/batch={batch_id}")
 
     return write

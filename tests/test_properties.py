@@ -148,3 +148,22 @@ def test_sorted_values_split_equal_runs(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts > 1 and out.count() == 4000
+
+
+def test_reverse_broadcast_for_small_batches(spark):
+    from keystat.operators.joins import key_set_bytes, restrict_to_keys
+    keys = T.movies(spark, SF_SMALL).select(F.col("movie_id").alias("row_key"))
+    small = T.ratings(spark, SF_SMALL).where(F.col("movie_id").isin("1", "2", "3"))
+    batch = C.newest_cells(C.user_cells(small, C.RATING, "rating"))
+    limit = (key_set_bytes(batch.select("row_key").distinct(), "row_key")
+             + key_set_bytes(keys, "row_key")) // 2
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+        out = restrict_to_keys(batch, keys, "row_key", "qualifier", probe_big_keys=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = _bag(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert got == _bag(batch.join(keys, "row_key", "left_semi")) and len(got) > 0
