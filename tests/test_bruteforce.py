@@ -7,7 +7,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from keystat.functions.text import split_pipes
 from keystat.operators import cells as C
