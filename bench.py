@@ -38,21 +38,31 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", "keystat-bench", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    failed: dict[str, str] = {}
     for name in names:
         q = QUERIES[name]
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i:  # the first run warms the JVM, file listing and codegen caches
-                samples.append(dt)
-        timings[name] = round(statistics.median(samples), 4)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i:  # the first run warms the JVM, file listing and codegen caches
+                    samples.append(dt)
+            timings[name] = round(statistics.median(samples), 4)
+        except Exception as e:  # report the failure, keep measuring the rest
+            timings[name] = None
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"bench: {name} failed: {failed[name]}", file=sys.stderr)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(timings.values()), 4),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus, "runs": runs}))
+    total = round(sum(v for v in timings.values() if v is not None), 4)
+    out = {"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
+           "queries": timings, "sf": sf, "cpus": cpus, "runs": runs}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
