@@ -65,6 +65,7 @@ def write_cells(cells: DataFrame, path: str, *, buckets: int | None = None,
     if not aligned:
         out = out.repartition(n, *CELL_KEY)
     name = _table_name(path, ":write")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # an entry left by an interrupted write
     (out.write.bucketBy(n, *CELL_KEY).sortBy(*SORT_COLUMNS)
      .option("path", path).mode("errorifexists").format("parquet").saveAsTable(name))
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: the files stay
@@ -97,7 +98,10 @@ def bucketed_cells(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"{path} has no bucket layout")
     name = _table_name(path)
     cols = ", ".join(f"{f.name} STRING" for f in schemas.CELLS.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+    # Re-created on every call from the layout on disk (external table: only
+    # the catalog entry goes), so the entry never outlives what it describes.
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
               f"CLUSTERED BY ({', '.join(CELL_KEY)}) SORTED BY ({', '.join(SORT_COLUMNS)}) "
               f"INTO {n} BUCKETS LOCATION '{path}'")
     return spark.table(name).select(*CELL_COLUMNS)
