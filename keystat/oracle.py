@@ -19,7 +19,7 @@ _FUND = """fundamentals AS (
   SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal AS shares FROM customer
   UNION ALL
   SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal + 100 AS shares FROM customer
-  WHERE c_custkey % 2 = 0)"""
+  WHERE c_mktsegment = 'BUILDING')"""
 
 _FPAIRS = """fpairs AS (
   SELECT ticker, CASE WHEN shares > 0 THEN shares ELSE 0.0::DOUBLE END AS shares
@@ -59,9 +59,9 @@ def _with(*ctes: str) -> str:
 
 _MOVIES = """movies AS (
   SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS title,
-         CASE WHEN p_size % 11 = 0 THEN NULL
+         CASE WHEN p_size > 45 THEN NULL
               ELSE p_type || '|' || replace(p_name, ' ', '|')
-                   || CASE WHEN p_size % 7 = 0 THEN '||' ELSE '' END END AS genres
+                   || CASE WHEN p_size < 8 THEN '||' ELSE '' END END AS genres
   FROM part)"""
 
 _RATINGS = """ratings AS (
@@ -74,7 +74,7 @@ _TAGS = """tags AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
          'tag' || CAST(l_linenumber AS VARCHAR) AS tag,
          strftime(l_shipdate, '%Y-%m-%d') AS ts
-  FROM lineitem WHERE l_returnflag = 'R' AND l_partkey % 3 <> 0)"""
+  FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.08)"""
 
 
 def _cells_ctes(rating_source: str = "ratings", tags: bool = True) -> str:

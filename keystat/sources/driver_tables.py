@@ -7,14 +7,15 @@ filters and the column lists reach the scan (``PushedFilters``,
 * prices(ticker, close): urgent orders; a pending order's close is 0.0, so
   some closes are nonpositive and some customers have no price at all.
 * fundamentals(ticker, shares): one row per customer and a second one
-  (balance + 100) for even customer keys; some balances are nonpositive.
+  (balance + 100) for customers of the BUILDING segment; some balances are
+  nonpositive, so some tickers mix valid and invalid rows.
 * movies(movie_id, title, genres): parts; genres = type, then the words of the
-  name, ``|``-separated, ``||`` appended for sizes divisible by 7, NULL for
-  sizes divisible by 11.
+  name, ``|``-separated, ``||`` appended for sizes under 8, NULL for sizes
+  over 45.
 * ratings(user_id, movie_id, rating, ts): finished line items, supplier as
   user, part as movie, quantity as rating, ship date as ts.
-* tags(user_id, movie_id, tag, ts): returned line items of parts whose key is
-  not divisible by 3.
+* tags(user_id, movie_id, tag, ts): returned line items with a discount of at
+  least 0.08 (leaves some movies without tags).
 * jobs(job_id, arrival, finish): line items with their order date.
 """
 
@@ -51,16 +52,16 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     bal = F.col("c_acctbal")
-    values = F.when(F.col("c_custkey") % 2 == 0, F.array(bal, bal + 100)).otherwise(F.array(bal))
+    values = F.when(F.col("c_mktsegment") == "BUILDING", F.array(bal, bal + 100)).otherwise(F.array(bal))
     return c.select(_key_text("c_custkey").alias("ticker"), F.explode(values).alias("shares"))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     genres = F.concat(F.col("p_type"), F.lit("|"), F.regexp_replace("p_name", " ", "|"),
-                      F.when(F.col("p_size") % 7 == 0, F.lit("||")).otherwise(F.lit("")))
+                      F.when(F.col("p_size") < 8, F.lit("||")).otherwise(F.lit("")))
     return p.select(_key_text("p_partkey").alias("movie_id"), F.col("p_name").alias("title"),
-                    F.when(F.col("p_size") % 11 == 0, F.lit(None).cast("string"))
+                    F.when(F.col("p_size") > 45, F.lit(None).cast("string"))
                     .otherwise(genres).alias("genres"))
 
 
@@ -74,7 +75,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 != 0))
+    return (li.where((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08))
             .select(_key_text("l_suppkey").alias("user_id"), _key_text("l_partkey").alias("movie_id"),
                     F.concat(F.lit("tag"), F.col("l_linenumber").cast("string")).alias("tag"),
                     _day_text("l_shipdate").alias("ts")))
