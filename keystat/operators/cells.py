@@ -206,14 +206,22 @@ def rating_cells(cells: DataFrame) -> DataFrame:
 
 
 def movie_summary(cells: DataFrame) -> DataFrame:
-    """One row per movie out of its cells, in one grouped pass (no join):
-    title, genres, number of tag cells (= distinct tagging users), and the
-    sum and count of its ratings."""
+    """One row per movie out of its cells: title, genres, number of tag cells
+    (= distinct tagging users), and the sum and count of its ratings.
+
+    The numbers are a hash aggregate over all cells (numeric buffers, no
+    sort); only the info family, about two cells per movie, goes through
+    the string aggregate for title and genres. The two one-row-per-movie
+    results are joined on the movie id; both are already partitioned by it.
+    """
     fam, qual = F.col("family"), F.col("qualifier")
     rating = F.when(fam == RATING, F.split_part("value", F.lit("|"), F.lit(1)).cast("float").cast("double"))
-    return (cells.groupBy(F.col("row_key").alias("movie_id"))
-            .agg(F.max(F.when((fam == INFO) & (qual == TITLE), F.col("value"))).alias("title"),
-                 F.max(F.when((fam == INFO) & (qual == GENRES), F.col("value"))).alias("genres"),
-                 F.count(F.when(fam == TAG, 1)).alias("num_tags"),
+    nums = (cells.groupBy(F.col("row_key").alias("movie_id"))
+            .agg(F.count(F.when(fam == TAG, 1)).alias("num_tags"),
                  F.sum(rating).alias("rating_sum"),
                  F.count(rating).alias("rating_cnt")))
+    info = (cells.where(fam == INFO).groupBy(F.col("row_key").alias("movie_id"))
+            .agg(F.max(F.when(qual == TITLE, F.col("value"))).alias("title"),
+                 F.max(F.when(qual == GENRES, F.col("value"))).alias("genres")))
+    return nums.join(info, "movie_id", "left").select(
+        "movie_id", "title", "genres", "num_tags", "rating_sum", "rating_cnt")

@@ -1,10 +1,10 @@
 """Per-genre statistics of the movie cell table.
 
-Plan: one grouped pass folds each movie's cells into a summary row (genres,
-rating sum and count, tag count); the genres text is split and exploded; a
-second grouped pass sums per genre. Both passes combine map-side, so a genre
-holding most movies is just a partial sum per task. No per-genre list of
-ratings is ever built.
+Plan: each movie's cells fold into a summary row (genres, rating sum and
+count, tag count; see :func:`keystat.operators.cells.movie_summary`); the
+genres text is split and exploded; a grouped pass sums per genre. Every pass
+combines map-side, so a genre holding most movies is just a partial sum per
+task. No per-genre list of ratings is ever built.
 """
 
 from __future__ import annotations

@@ -36,12 +36,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "o_orderdate" not in scan and "o_orderkey" not in scan
 
 
-def test_genre_stats_folds_movies_without_joins(spark):
+def test_genre_stats_folds_movies_by_hash_aggregate(spark):
     plan = _plan(QUERIES["genre_stats"](spark, SF_SMALL))
     joins = [line for line in plan.splitlines() if "Join" in line]
-    # per-movie folding is a grouped pass over the cells; the only joins are the
-    # known-movie semi joins of the build (one per pushed-down branch)
-    assert joins and all("LeftSemi" in j for j in joins)
+    # the known-movie semi joins of the build, plus one join of two
+    # one-row-per-movie aggregates (numbers with title/genres)
+    assert joins and all("LeftSemi" in j or "LeftOuter" in j for j in joins)
+    assert sum("LeftOuter" in j for j in joins) == 1
+    # the per-movie numbers over all cells are a hash aggregate (no sort)
+    assert any("HashAggregate(keys=[row_key" in line and "count(CASE WHEN (family" in line
+               for line in plan.splitlines())
 
 
 def test_known_movie_join_broadcast_when_small(spark):
