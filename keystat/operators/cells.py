@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, restrict_to_keys
+from keystat.operators.joins import fits_broadcast, key_set_bytes, restrict_to_keys
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -35,6 +35,8 @@ GENRES = "genres"
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 BASE_BATCH = -(1 << 62)  # batch number of a base version: older than any update batch
+HASH_BUILD_CONF = "keystat.merge.hashBuildBytesPerTask"
+DEFAULT_HASH_BUILD_BYTES = 256 << 20
 CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "version"]
 
 
@@ -150,7 +152,16 @@ def merge_cells(base: DataFrame, delta: DataFrame, priority: str, *,
     return untouched.unionByName(merged)
 
 
-def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False) -> DataFrame:
+def fits_hash_build(cells: DataFrame, buckets: int) -> bool:
+    """True when ``cells`` (measured: rows and text bytes, one aggregate) spread
+    over ``buckets`` tasks stay under ``keystat.merge.hashBuildBytesPerTask``
+    per task, small enough to hash in memory."""
+    budget = int(cells.sparkSession.conf.get(HASH_BUILD_CONF, str(DEFAULT_HASH_BUILD_BYTES)))
+    return key_set_bytes(cells, CELL_COLUMNS) <= budget * max(buckets, 1)
+
+
+def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False,
+                  buckets: int | None = None, hash_build: bool | None = None) -> DataFrame:
     """Upsert as a full outer join on the cell identity, for a ``base`` read
     as a table bucketed by that identity
     (:func:`keystat.sources.cell_store.bucketed_cells`).
@@ -163,10 +174,17 @@ def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False) ->
     wins equal versions. ``unique=True`` states that the delta already holds
     one row per cell (a build's cells, resolved update batches), which saves
     resolving it with a shuffle of its own.
+
+    Each task joins one bucket: a shuffled hash join built on the delta's
+    bucket when ``hash_build`` (or, given ``buckets``, when the measured delta
+    per bucket fits :func:`fits_hash_build`), else a sort-merge join, which
+    sorts the base bucket locally and spills as needed.
     """
     d = delta.select(*CELL_COLUMNS)
     if not unique:
         d = newest_cells(d)
+    if hash_build is None:
+        hash_build = bool(buckets) and fits_hash_build(d, buckets)
     # A delta holding one family would let the optimizer fold the family key
     # into a filter and join on two keys, losing the bucket alignment.
     d = d.select("row_key", F.when(F.col("row_key").isNotNull(), F.col("family")).alias("family"),
@@ -174,7 +192,7 @@ def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False) ->
                  F.lit(True).alias("_d"))
     b = base.select(*CELL_KEY, F.col("value").alias("_b_value"),
                     F.col("version").alias("_b_version"), F.lit(True).alias("_b"))
-    j = b.join(d.hint("shuffle_hash"), CELL_KEY, "full_outer")
+    j = b.join(d.hint("shuffle_hash") if hash_build else d, CELL_KEY, "full_outer")
 
     def side(present: str, value: str, version: str, rank: int):
         v = F.col(version)

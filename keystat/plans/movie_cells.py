@@ -57,7 +57,7 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
         pending = read_cell_updates(spark, updates).select(*CELL_COLUMNS, "batch")
         delta = newest_cells(pending.unionByName(delta.withColumn("batch", F.lit(1 << 62))),
                              priority="batch")
-    merged = merge_aligned(bucketed_cells(spark, base), delta, unique=True)
+    merged = merge_aligned(bucketed_cells(spark, base), delta, unique=True, buckets=n)
     write_cells(merged, output, buckets=n, aligned=True)
 
 

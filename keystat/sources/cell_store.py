@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystat import schemas
-from keystat.operators.cells import (CELL_COLUMNS, CELL_KEY, merge_aligned, merge_cells,
-                                     newest_cells)
+from keystat.operators.cells import (CELL_COLUMNS, CELL_KEY, fits_hash_build, merge_aligned,
+                                     merge_cells, newest_cells)
 
 BUCKETS_CONF = "keystat.cells.buckets"
 DEFAULT_BUCKETS = 64
@@ -126,9 +126,12 @@ def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | N
     ups = read_cell_updates(spark, updates_dir)
     if families:
         ups = ups.where(F.col("family").isin(families))
-    if bucket_count(spark, path) is not None:
+    n = bucket_count(spark, path)
+    if n is not None:
         base = bucketed_cells(spark, path)
         if families:
             base = base.where(F.col("family").isin(families))
-        return merge_aligned(base, newest_cells(ups, priority="batch"), unique=True)
+        # the raw batches bound the resolved ones: measure them, no dedup pass
+        return merge_aligned(base, newest_cells(ups, priority="batch"), unique=True,
+                             hash_build=fits_hash_build(ups.select(*CELL_COLUMNS), n))
     return merge_cells(read_cells(spark, path, families), ups, "batch")

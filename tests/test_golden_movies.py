@@ -115,3 +115,26 @@ def test_upsert_reads_base_in_place(spark, workdir):
     plan1 = merge_aligned(bucketed_cells(spark, v1), one_family)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Bucketed: true" in plan1
+
+
+def test_bucketed_merge_uses_sort_merge_for_large_deltas(spark, workdir):
+    from keystat.operators.cells import merge_aligned
+    from keystat.sources.cell_store import bucketed_cells
+    v1 = os.path.join(workdir, "v1")
+    movie_cells.run(spark, make_input(workdir), v1, buckets=4)
+    delta = read_cells(spark, v1)
+    small = merge_aligned(bucketed_cells(spark, v1), delta, buckets=4)
+    old = spark.conf.get("keystat.merge.hashBuildBytesPerTask", None)
+    try:
+        spark.conf.set("keystat.merge.hashBuildBytesPerTask", "1")
+        large = merge_aligned(bucketed_cells(spark, v1), delta, buckets=4)
+        large_plan = large._jdf.queryExecution().executedPlan().toString()
+        large_rows = sorted(tuple(r) for r in large.collect())
+    finally:
+        if old is None:
+            spark.conf.unset("keystat.merge.hashBuildBytesPerTask")
+        else:
+            spark.conf.set("keystat.merge.hashBuildBytesPerTask", old)
+    small_plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in small_plan and "SortMergeJoin" in large_plan
+    assert sorted(tuple(r) for r in small.collect()) == large_rows
