@@ -1,6 +1,6 @@
 """Skew-safe restriction of a large keyed table to a set of known keys.
 
-Two ways, chosen by a measured size:
+Three ways, chosen by measured sizes:
 
 * the key set is **broadcast** when its measured size (rows and key bytes, one
   small aggregate over the key column) is within
@@ -12,6 +12,9 @@ Two ways, chosen by a measured size:
   ``hash(spread) mod factor`` and the key is replicated ``factor`` times on
   the key side, so a blockbuster movie holding a third of all ratings is
   joined by as many tasks as its size calls for.
+* for a small table (a streaming micro-batch) against a large key set: its
+  own distinct keys, if they fit, are broadcast instead (see
+  :func:`restrict_to_keys`).
 """
 
 from __future__ import annotations
