@@ -13,10 +13,12 @@ Cells of one movie:
 A second write to the same cell replaces the first. Within one batch the
 newest ``version`` (the input's timestamp text, compared as a number when it
 is one) wins, ties going to the greater value; across batches (upsert) the
-newest version wins and, at equal version, the later batch. All of it is a
-``groupBy`` over the cell identity with a ``max`` of an ordering struct: a
-partial aggregate runs before the shuffle, so repeated puts of a hot cell
-are combined map-side.
+newest version wins and, at equal version, the later batch. Within a batch
+this is a ``groupBy`` over the cell identity with a ``max`` of an ordering
+struct: a partial aggregate runs before the shuffle, so repeated puts of a
+hot cell are combined map-side. Across batches the same rule is applied by
+one of three merges (:func:`merge_cells`, :func:`merge_aligned`), chosen so
+that the large base is not shuffled when it need not be.
 """
 
 from __future__ import annotations
