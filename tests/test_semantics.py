@@ -80,3 +80,15 @@ def test_same_time_ratings_resolve_deterministically(spark, workdir):  # D16
     cells = build_cells(*read_movie_inputs(spark, d))
     vals = [r.value for r in cells.collect() if r.family == "rating"]
     assert vals == ["4.5|2001"]
+
+
+def test_quoted_prices_and_lenient_fundamentals(spark, workdir):  # S5/S6, D22
+    p = write_lines(os.path.join(workdir, "q.csv"), ['2016-01-04,"A,B",1.0,2.5'])
+    assert read_prices(spark, p).collect()[0].ticker == '"A'          # split on every comma
+    assert read_prices(spark, p, quoted=True).collect()[0].asDict() == {"ticker": "A,B", "close": 2.5}
+    f = write_lines(os.path.join(workdir, "f.csv"), [f"0,AAA,{FILLER},abc", f"1,BBB,{FILLER},3.0"])
+    got = {r.ticker: r.shares for r in read_fundamentals(spark, f, on_bad="null").collect()}
+    assert got == {"AAA": None, "BBB": 3.0}
+    import pytest
+    with pytest.raises(Exception):
+        read_fundamentals(spark, f).collect()
