@@ -138,3 +138,17 @@ def test_bucketed_merge_uses_sort_merge_for_large_deltas(spark, workdir):
     small_plan = small._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in small_plan and "SortMergeJoin" in large_plan
     assert sorted(tuple(r) for r in small.collect()) == large_rows
+
+
+def test_one_file_per_bucket(spark, workdir):
+    """A build writes one file per bucket; an aligned upsert keeps that."""
+    def parquet_files(path):
+        return [f for f in os.listdir(path) if f.endswith(".parquet")]
+    v1, v2 = os.path.join(workdir, "v1"), os.path.join(workdir, "v2")
+    movie_cells.run(spark, make_input(workdir), v1, buckets=4)
+    later = make_input(workdir, movies=MOVIES[:2], tags=[], ratings=["5,2,4.5,2011-01-01"], name="in2")
+    movie_cells.run(spark, later, v2, base=v1)
+    for path in (v1, v2):
+        files = parquet_files(path)
+        buckets = {f.split("_")[-1].split(".")[0] for f in files}
+        assert 0 < len(files) == len(buckets) <= 4
