@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
+from keystat.llm.decontaminate import find_matches
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
 from keystat.llm.secrets import KINDS as SECRET_KINDS
@@ -41,6 +42,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                         table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -62,10 +71,35 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
+    "op3_decontaminate": op3_decontaminate,
     "op4_chat_format": op4_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": r"""
+        WITH doc_words AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        item_words AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+            FROM item_words, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
+        grams AS (
+            SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+            FROM doc_words, (SELECT DISTINCT k FROM windows), unnest(range(1, len(w) - k + 2)) AS u(i)
+            WHERE len(w) >= k),
+        found AS (SELECT r, i, k, item FROM grams JOIN windows USING (k, g)),
+        hits AS (SELECT r, count(DISTINCT j) AS n_hit
+                 FROM (SELECT DISTINCT r, i, k FROM found), unnest(range(i, i + k)) AS u(j) GROUP BY r),
+        items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
     # marks: 12 characters and a line feed, 10, and 11
     "op4_chat_format": r"""
         WITH rows AS (
