@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from keystat.session import checkpoint_dir
 
 #: Texts are handled in runs of whole rows of about so many bytes; a longer
-#: text is a run of its own.
+#: text is a run of its own. Runs of very short texts end after so many rows.
 RUN_BYTES = 4 << 20
+RUN_ROWS = 16384
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,7 @@ def text_runs(column: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[tuple[in
     first = 0
     while first < rows:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + run_bytes, "right")) - 1)
+        last = min(last, first + RUN_ROWS)
         yield first, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
+from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
 from keystat.llm.secrets import KINDS as SECRET_KINDS
@@ -68,14 +69,41 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat_format": op4_chat_format,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # links by counting shared shingles, components by spreading the least id
+    "op5_minhash_near_dedup": r"""
+        WITH RECURSIVE doc_words AS (
+            SELECT doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+            FROM doc_words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reached(doc_id, label) AS (
+            SELECT doc_id, doc_id FROM doc_words
+            UNION SELECT links.b, reached.label FROM reached JOIN links ON reached.doc_id = links.a),
+        least AS (SELECT doc_id, min(label) AS component_id FROM reached GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM doc_words JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
     "op3_decontaminate": r"""
         WITH doc_words AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
