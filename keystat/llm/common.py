@@ -3,7 +3,10 @@ folder, and vectorised word splitting over Arrow text columns."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +22,28 @@ RUN_ROWS = 16384
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application, so that
+    tasks can import it where it isn't installed."""
+    context = spark.sparkContext
+    if getattr(context, "_keystat_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="keystat-"), "keystat.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(path)
+    context._keystat_shipped = True
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the folder that ``spark.checkpoint.dir``
     names and read back: the lineage ends there, the rows are fixed, and a lost

@@ -13,6 +13,7 @@ from keystat.llm.decontaminate import find_matches
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
+from keystat.llm.repeats import remove_repeats
 from keystat.llm.secrets import KINDS as SECRET_KINDS
 from keystat.llm.secrets import scan_secrets
 
@@ -73,15 +74,37 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat_format": op4_chat_format,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_substring_dedup": r"""
+        WITH doc_words AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        windows AS (
+            SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g
+            FROM doc_words, unnest(range(1, len(w) - 33)) AS u(i) WHERE len(w) >= 35),
+        again AS (SELECT g FROM windows GROUP BY g HAVING count(*) > 1),
+        removed AS (
+            SELECT DISTINCT r, j FROM (SELECT r, i FROM windows JOIN again USING (g)), unnest(range(i, i + 35)) AS u(j)),
+        placed AS (SELECT r, j, w[j] AS word FROM doc_words, unnest(range(1, len(w) + 1)) AS u(j)),
+        kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n
+            FROM placed ANTI JOIN removed USING (r, j) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(text, '')) AS kept_sha256
+        FROM doc_words LEFT JOIN kept USING (r)""",
     # links by counting shared shingles, components by spreading the least id
     "op5_minhash_near_dedup": r"""
         WITH RECURSIVE doc_words AS (
