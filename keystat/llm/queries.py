@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
+from keystat.llm import language_id, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -78,6 +79,25 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = language_id.remainder(F.col("doc_id"), 3)
+    model = language_id.train(docs.where(fold != 1))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    fold = language_id.remainder(F.col("doc_id"), 4)
+    vectors = quality.word_vectors(docs)
+    model = quality.train(docs, labels.where(fold != 2), vectors)
+    found = quality.score_quality(docs, vectors, model)
+    return found.select("doc_id", (fold == 2).alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -85,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_language_id": op7_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
