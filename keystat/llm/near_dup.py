@@ -12,9 +12,11 @@ compares one centre with its members, and links are confirmed on full sets. A
 star alone can miss links between two members that are both unlike the centre,
 so buckets go on in rounds: as long as the members that were no centre yet lie
 in two or more components, the bucket gets new centres. Three exact facts keep
-that short: members of one component need no test; ``n`` shingles of which ``u`` occur in no
-other candidate bound the overlap with any partner by ``n - u``; and centres are
-those of the largest share ``(n - u) / n``, in a family of copies its original.
+that short: members of one component need no test; of ``n`` shingles of which ``u``
+occur in no other candidate at most ``s = n - u`` can be shared; and if two
+members share ``x`` and ``y`` shingles with the same centre, they share at most
+``min(x, y) + min(s - x, s' - y)`` with each other. Centres are those of the largest
+``s / n``, in a family of copies its original.
 
 With ``BANDS`` bands of ``ROWS`` bins a pair at the threshold of 0.85 shares no
 bucket with a chance of about 1e-10 (short texts: their few shingles decide,
@@ -41,8 +43,10 @@ SHINGLE = 5
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 THRESHOLD = 85  # percent
-#: Centres that a bucket gets in a round after the first; rounds go on until none is needed.
-CENTRES = 8
+#: A bucket gets one centre in the first round. While a round made no more pairs
+#: than this, the next one gives each undecided bucket ``GROWTH`` times as many.
+FEW_PAIRS = 1_000_000
+GROWTH = 8
 
 
 def _shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -135,12 +139,13 @@ def _enough(overlap: Column, n: Column, m: Column, threshold: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) with the overlap of their full sets, and whether it is enough."""
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
     met = sides.join(sets, "node").groupBy("a", "b").agg(F.collect_list("shingles").alias("two"))
     n, m = F.size(F.col("two")[0]), F.size(F.col("two")[1])
     overlap = F.size(F.array_intersect(F.col("two")[0], F.col("two")[1]))
-    return met.where((F.size("two") >= 2) & _enough(overlap, n, m, threshold)).select("a", "b")
+    return met.where(F.size("two") >= 2).select(
+        "a", "b", overlap.cast("long").alias("overlap"), _enough(overlap, n, m, threshold).alias("linked"))
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -160,11 +165,24 @@ def _alive(members: DataFrame, threshold: int) -> DataFrame:
     return members.join(sizes, "bucket").where(can).drop("sizes")
 
 
+def _hubs(tried: DataFrame, centres: DataFrame) -> DataFrame:
+    """For every node compared, the centre compared with most nodes (itself counts
+    too, if it is one), and how much they share: (node, hub, x)."""
+    own = centres.select(F.col("node").alias("hub"), "node", F.col("n").alias("x")).distinct()
+    ends = tried.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("overlap").alias("x")).union(
+        tried.select(F.col("b"), F.col("a"), F.col("overlap")))
+    ends = ends.join(own.select("hub"), "hub", "left_semi").select("hub", "node", "x").unionByName(own)
+    size = ends.groupBy("hub").agg(F.count("*").alias("size"))
+    return (ends.join(size, "hub").groupBy("node").agg(F.max(F.struct("size", "hub", "x")).alias("best"))
+            .select("node", "best.hub", "best.x"))
+
+
 def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
     """(node, label) of the linked members, by rounds of stars; None without links."""
     links = done = tested = None
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
-    turn = 0
+    members = members.withColumns({"hub": F.lit(None).cast("long"), "x": F.lit(None).cast("long")})
+    n_centres = 1
     while True:
         now = members.join(labels, "node")
         rest = now if tested is None else now.join(tested, ["bucket", "node"], "left_anti")
@@ -173,28 +191,35 @@ def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | Non
         best = Window.partitionBy("bucket").orderBy((F.col("s") / F.col("n")).desc(), F.col("n").desc(), "node")
         centres = materialise(
             rest.join(undecided, "bucket").withColumn("place", F.row_number().over(best))
-            .where(F.col("place") <= (CENTRES if turn else 1)).drop("place"), "centres")
+            .where(F.col("place") <= n_centres).drop("place"), "centres")
         if not centres.limit(1).count():
             return labels if links is not None else None
         tested = centres.select("bucket", "node") if tested is None else tested.unionByName(
             centres.select("bucket", "node"))
-        star = centres.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in ("node", "label", "n", "s")])
+        star = centres.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in ("node", "label", "n", "s", "hub", "x")])
+        most = F.least("s", "centre_s", F.when(
+            F.col("hub") == F.col("centre_hub"),
+            F.least("x", "centre_x") + F.least(F.col("s") - F.col("x"), F.col("centre_s") - F.col("centre_x"))))
         pairs = (now.join(star, "bucket")
                  .where((F.col("label") != F.col("centre_label"))
-                        & _enough(F.least("s", "centre_s"), F.col("n"), F.col("centre_n"), threshold))
+                        & _enough(most, F.col("n"), F.col("centre_n"), threshold))
                  .select(F.least("node", "centre_node").alias("a"), F.greatest("node", "centre_node").alias("b"))
                  .distinct())
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        found = materialise(_confirmed(pairs, sets, threshold), "links")
+        tried = materialise(_confirmed(pairs, sets, threshold), "links")
+        if n_centres == 1:
+            members = materialise(members.drop("hub", "x").join(_hubs(tried, centres), "node", "left"), "members")
+        found = tried.where("linked").select("a", "b")
         if found.limit(1).count():
             links = found if links is None else links.unionByName(found)
             labels = materialise(
                 members.select("node").distinct().join(components(links), "node", "left")
                 .select("node", F.coalesce("label", "node").alias("label")), "labels")
-        turn += 1
+        if pairs.count() <= FEW_PAIRS:
+            n_centres *= GROWTH
 
 
 def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
