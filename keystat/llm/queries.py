@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
-from keystat.llm import language_id, quality
+from keystat.llm import language_id, pieces, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -87,6 +87,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the best segmentation's pieces (count and a hash of the ids),
+    scores of the ``pieces.NBEST`` best, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = pieces.decode(pieces.encode(whole))
+    return back.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"), "scores",
+        (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -106,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
