@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
-from keystat.llm import language_id, pieces, quality
+from keystat.llm import hnsw, language_id, pieces, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -110,6 +110,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.search(hnsw.build_index(vectors), vectors.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
