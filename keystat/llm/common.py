@@ -7,11 +7,12 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keystat.session import checkpoint_dir
 
@@ -55,6 +56,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of these names renamed, and what selects the columns of
+    ``docs`` again, under their own names, from a frame made of it."""
+    clash = {c: f"__own_{c}" for c in docs.columns if c.lower() in {n.lower() for n in names}}
+    back = lambda df: df.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
+    return docs.withColumnsRenamed(clash), back
+
+
 # -- text columns as bytes -----------------------------------------------------------
 
 def text_runs(column: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

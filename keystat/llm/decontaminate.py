@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystat.llm.common import LETTER_WORD, LOWER, materialise, text_runs, word_hashes, words
+from keystat.llm.common import LETTER_WORD, LOWER, materialise, set_aside, text_runs, word_hashes, words
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -231,4 +231,5 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", i
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a window of an item."""
-    return find_matches(docs, benchmark, **options).where(F.col("n_hit") == 0).select(*docs.columns)
+    renamed, back = set_aside(docs, ("n_words", "matches", "n_hit", "items"))
+    return back(find_matches(renamed, benchmark, **options).where(F.col("n_hit") == 0))

@@ -26,6 +26,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -206,8 +207,6 @@ def _clean(text: str | None, spans) -> str | None:
 def sanitised(text: Column, spans: Column) -> Column:
     """The text without its entities (their kind stands there instead) and
     disclosing terms (removed, or their word class instead)."""
-    import pandas as pd
-
     def clean(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([_clean(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
 

@@ -182,7 +182,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", *, classes: tuple[CharClas
     return found.drop(*marks, "__value")
 
 
-def redact(docs: DataFrame, text: str = "text", spans: str = "secret_spans", mark: str = "[SECRET]") -> Column:
+def redact(text: str = "text", spans: str = "secret_spans", mark: str = "[SECRET]") -> Column:
     """The text with every span, overlapping ones together, replaced by ``mark``;
     a null text stays null."""
     whole = F.col(text)

@@ -1,0 +1,15 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture(scope="session")
+def llm_spark(spark):
+    from keystat.llm.common import ship_package
+    ship_package(spark)
+    return spark
