@@ -11,8 +11,7 @@ Cells of one movie:
 * ``rating:<user id>`` = ``rating|ts``, one cell per rating user.
 
 A second write to the same cell replaces the first. Within one batch the
-newest ``version`` (the input's timestamp text, compared as a number when it
-is one) wins, ties going to the greater value; across batches (upsert) the
+newest ``version`` (the input's timestamp text, see :func:`version_rank`) wins, ties going to the greater value; across batches (upsert) the
 newest version wins and, at equal version, the later batch. Within a batch
 this is a ``groupBy`` over the cell identity with a ``max`` of an ordering
 struct: a partial aggregate runs before the shuffle, so repeated puts of a
@@ -26,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, key_set_bytes, restrict_to_keys
+from keystat.operators.joins import fits_broadcast, key_set_bytes, restrict_to_keys, semi_join_spread
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -47,17 +46,20 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def version_number(version: Column) -> Column:
-    """A digits-only version (epoch seconds or milliseconds) as a number, else
-    NULL. Checked with a pattern first: a failing cast per row is costly."""
-    return F.when(version.rlike("^[0-9]{1,18}$"), version.cast("long"))
+def version_rank(version: Column) -> Column:
+    """A sort key of version texts. Digits-only versions (epoch times of any
+    length) compare as numbers - by length without leading zeros, then by the
+    digits - and are newer than any other version; others compare as text."""
+    digits = version.rlike("^[0-9]+$")
+    stripped = F.regexp_replace(version, "^0+", "")
+    return F.struct(F.when(digits, F.length(stripped)).otherwise(F.lit(-1)).alias("n"),
+                    F.when(digits, stripped).otherwise(version).alias("t"), version.alias("v"))
 
 
 def newest_cells(cells: DataFrame, priority: str | None = None) -> DataFrame:
-    """One row per cell identity: the newest version (numerically when both
-    are digits-only, e.g. epoch seconds of different lengths, else as text),
+    """One row per cell identity: the newest version (:func:`version_rank`),
     then higher ``priority`` (if given), then the greater value."""
-    order = [version_number(F.col("version")).alias("n"), F.col("version")]
+    order = [version_rank(F.col("version")).alias("r"), F.col("version")]
     if priority:
         order.append(F.col(priority).alias("p"))
     order.append(F.col("value"))
@@ -96,7 +98,8 @@ def user_cells(events: DataFrame, family: str, value_col: str) -> DataFrame:
         _text(F.col("ts")).alias("version"))
 
 
-def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame | None) -> DataFrame:
+def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame | None, *,
+                strategy: str = "auto") -> DataFrame:
     """All cells of a table build. Tags and ratings of movies absent from
     ``movies`` are dropped; movies without any are kept (title/genres only).
 
@@ -104,7 +107,7 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     (:func:`keystat.operators.joins.restrict_to_keys`): a broadcast when the
     measured movie-key set fits the broadcast threshold, otherwise salted by
     user id so that a movie holding a large share of all cells is joined by
-    many tasks, not one."""
+    many tasks, not one. ``strategy="shuffle"`` takes the salted join without measuring."""
     parts = []
     if tags is not None:
         parts.append(user_cells(tags, TAG, "tag"))
@@ -121,8 +124,9 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     # stays above newest-wins, see joins.semi_join_spread)
     # (hot movies are counted on the raw cells' keys: a column-pruned pass,
     # at least as many rows per movie as after newest-wins)
-    users = restrict_to_keys(newest_cells(raw), known, "row_key", spread=["qualifier", "version"],
-                             counts_source=raw.select("row_key"))
+    restrict = restrict_to_keys if strategy == "auto" else semi_join_spread
+    users = restrict(newest_cells(raw), known, "row_key", spread=["qualifier", "version"],
+                     counts_source=raw.select("row_key"))
     return info.unionByName(users)
 
 
@@ -198,7 +202,7 @@ def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False,
 
     def side(present: str, value: str, version: str, rank: int):
         v = F.col(version)
-        return F.when(F.col(present), F.struct(version_number(v).alias("n"), v.alias("t"),
+        return F.when(F.col(present), F.struct(version_rank(v).alias("r"),
                                                F.lit(rank).alias("p"), F.col(value).alias("value"),
                                                v.alias("version")))
 

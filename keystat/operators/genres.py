@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from keystat.functions.text import NO_GENRES, split_pipes
 from keystat.operators.cells import movie_summary
+from keystat.operators.movies import movie_left_join
 
 
 def genre_list(genres_col: str = "genres"):
@@ -22,18 +23,38 @@ def genre_list(genres_col: str = "genres"):
     return split_pipes(F.coalesce(F.col(genres_col), F.lit(NO_GENRES)))
 
 
-def genre_explode(cells: DataFrame) -> DataFrame:
+def movie_summary_of_inputs(movies: DataFrame, tags: DataFrame, ratings: DataFrame) -> DataFrame:
+    """The summary of :func:`keystat.operators.cells.movie_summary` straight from
+    the inputs: newest rating per movie and user, sums per movie, and only then
+    the movies, so the join meets one row per movie on each side and events of
+    unknown movies fall away there."""
+    s = movie_left_join(movies, tags, ratings)
+    return s.select("movie_id", "genres", F.col("num_tag_users").alias("num_tags"),
+                    F.when(F.col("num_ratings") > 0, F.col("rating_sum")).alias("rating_sum"),
+                    F.col("num_ratings").alias("rating_cnt"))
+
+
+def explode_genres(summary: DataFrame) -> DataFrame:
     """One row per (movie, genre occurrence) with the movie's rating sum,
     rating count and tag count. A genre repeated in one movie counts twice."""
-    s = movie_summary(cells)
-    return s.select("movie_id", F.explode(genre_list()).alias("genre"),
-                    "rating_sum", "rating_cnt", "num_tags")
+    return summary.select("movie_id", F.explode(genre_list()).alias("genre"),
+                          "rating_sum", "rating_cnt", "num_tags")
+
+
+def genre_explode(cells: DataFrame) -> DataFrame:
+    """:func:`explode_genres` of a cell table's movies."""
+    return explode_genres(movie_summary(cells))
 
 
 def genre_stats(cells: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """:func:`stats_of_genres` of a cell table."""
+    return stats_of_genres(genre_explode(cells), ordered=ordered)
+
+
+def stats_of_genres(exploded: DataFrame, *, ordered: bool = True) -> DataFrame:
     """``(genre, avg_rating, num_tags)``: the average over all ratings of the
     genre's movies (NULL if it has none) and the total of their tag counts."""
-    g = (genre_explode(cells).groupBy("genre")
+    g = (exploded.groupBy("genre")
          .agg(F.sum("rating_sum").alias("_sum"), F.sum("rating_cnt").alias("_cnt"),
               F.sum("num_tags").alias("num_tags")))
     out = g.select("genre", F.try_divide(F.col("_sum"), F.col("_cnt")).alias("avg_rating"),

@@ -7,8 +7,7 @@ Three ways, chosen by measured sizes:
   ``spark.sql.autoBroadcastJoinThreshold``. A broadcast semi join filters
   each task's rows locally: no shuffle, so no key can be hot.
 * otherwise a **salted** shuffle semi join. Keys holding more rows than one
-  task should handle are found by a per-key count (partial aggregate, top-k
-  to the driver, bounded). Only those keys are salted: their rows carry
+  task should handle are found by a per-key count. All of those keys are salted, and only those: their rows carry
   ``hash(spread) mod factor`` and the key is replicated ``factor`` times on
   the key side, so a blockbuster movie holding a third of all ratings is
   joined by as many tasks as its size calls for.
@@ -19,8 +18,6 @@ Three ways, chosen by measured sizes:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,24 +25,14 @@ from pyspark.sql import functions as F
 # salt factor is rows / HOT_ROWS rounded up.
 HOT_ROWS_CONF = "keystat.skew.hotKeyRows"
 DEFAULT_HOT_ROWS = 2_000_000
-MAX_HOT_KEYS_CONF = "keystat.skew.maxHotKeys"
-DEFAULT_MAX_HOT_KEYS = 10_000
 # Bytes a broadcast hash relation spends per key row beyond the key text
 # (row header, offset/length word, hash-map entry); an upper estimate.
 ROW_OVERHEAD_BYTES = 48
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
 
 def broadcast_limit_bytes(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text)
-    if not m or m.group(2) not in _UNITS:
-        return -1
-    n = int(m.group(1))
-    return n if n < 0 else n * _UNITS[m.group(2)]
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes as Spark reads it (-1: never broadcast)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def key_set_bytes(keys: DataFrame, key: str | list[str]) -> int:
@@ -64,25 +51,19 @@ def fits_broadcast(keys: DataFrame, key: str | list[str]) -> bool:
     return limit >= 0 and key_set_bytes(keys, key) <= limit
 
 
-def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None,
-                    max_hot: int | None = None) -> DataFrame:
+def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows of ``counts_source``, each with
-    a salt factor ``ceil(rows / hot_rows)``: a small, bounded table.
+    a salt factor ``ceil(rows / hot_rows)``.
 
     The per-key count is a partial + final aggregate (a hot key is one row
-    per task before the shuffle). At most ``total_rows / hot_rows`` keys can
-    qualify; the largest ``max_hot`` of them are taken (a top-k, never the
-    whole count table) and returned as a local DataFrame. Keys past the cap
-    are still joined exactly, just without extra salt.
+    per task before the shuffle). Every key over the limit is in it: at most one
+    for each ``hot_rows`` rows of the source, a few MB for 10^12 rows.
     """
     spark = counts_source.sparkSession
     hot_rows = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    max_hot = max_hot or int(spark.conf.get(MAX_HOT_KEYS_CONF, str(DEFAULT_MAX_HOT_KEYS)))
-    top = (counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > hot_rows).orderBy(F.col("n").desc()).limit(max_hot).collect())
-    key_type = counts_source.schema[key].dataType.simpleString()
-    rows = [(r[key], int(-(-r["n"] // hot_rows))) for r in top]
-    return spark.createDataFrame(rows, f"{key} {key_type}, _factor int")
+    return (counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > hot_rows)
+            .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_factor")))
 
 
 def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
@@ -96,7 +77,7 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     aggregate). A hot key's rows get salt ``hash(spread) mod factor`` and the
     key is replicated ``factor`` times on the key side; every other key has
     salt 0 and one copy, so the key side grows only by the hot keys' factors.
-    The factor table is small and bounded, hence broadcast.
+    The factor table holds at most one key for each ``hotKeyRows`` rows, hence it is broadcast.
 
     When ``big`` is an aggregate, including one of its aggregate outputs in
     ``spread`` keeps the optimizer from pushing the join below the

@@ -12,7 +12,7 @@ under the broadcast threshold).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keystat.functions.positive import (is_defined, positive_max, positive_mean,
@@ -113,16 +113,37 @@ def scaled_stats(prices: DataFrame, fundamentals: DataFrame) -> DataFrame:
 
 
 def stat_union(prices: DataFrame, fundamentals: DataFrame) -> DataFrame:
-    """Long form: one row per (ticker, kind) with kind ``price`` or ``valuation``."""
-    p = price_stats(prices).select(
-        "ticker", F.lit("price").alias("kind"),
-        F.col("p_mean").alias("mean"), F.col("p_min").alias("min"),
-        F.col("p_max").alias("max"), F.col("p_var").alias("var"))
-    v = valuation_stats(prices, fundamentals).select(
-        "ticker", F.lit("valuation").alias("kind"),
-        F.col("v_mean").alias("mean"), F.col("v_min").alias("min"),
-        F.col("v_max").alias("max"), F.col("v_var").alias("var"))
-    return p.unionByName(v)
+    """Long form: one row per (ticker, kind) with kind ``price`` or ``valuation``;
+    the prices are read and aggregated once."""
+    joined = price_aggregate(prices).join(mean_shares(fundamentals), "ticker", "left").select(
+        "ticker", *PRICE_STATS, "shares_mean", *valuation_columns())
+
+    def row(kind: str, names: list[str]) -> Column:
+        return F.struct(F.lit(kind).alias("kind"),
+                        *[F.col(n).alias(a) for n, a in zip(names, ("mean", "min", "max", "var"), strict=True)])
+
+    both = F.array(row("price", PRICE_STATS), row("valuation", VALUATION_STATS))
+    return joined.select("ticker", F.inline(F.when(F.col("shares_mean").isNotNull(), both)
+                                            .otherwise(F.slice(both, 1, 1))))
+
+
+def value_positions(prices: DataFrame, width: float = 1000.0) -> DataFrame:
+    """(ticker, close, n, first_position): each distinct close of a ticker, how
+    often it occurs, and the place (from 1) of its first occurrence in the ticker's ascending order.
+
+    Equal closes are counted before anything else, and places are summed in two
+    steps, within ranges of ``width`` and over a ticker's ranges, so that a ticker with a
+    large share of all lines is not one task's."""
+    counts = price_pairs(prices).groupBy("ticker", "close").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("_range", F.when(F.isnan("close"), F.lit(float("inf")))
+                               .otherwise(F.floor(F.col("close") / width).cast("double")))
+    ranges = counts.groupBy("ticker", "_range").agg(F.sum("n").alias("_n"))
+    over = Window.partitionBy("ticker").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("ticker", "_range", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("ticker", "_range").orderBy("close").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.join(ranges, ["ticker", "_range"]).select(
+        "ticker", "close", "n",
+        (F.col("_before") + F.coalesce(F.sum("n").over(within), F.lit(0)) + 1).alias("first_position"))
 
 
 def sorted_values(prices: DataFrame) -> DataFrame:

@@ -3,23 +3,24 @@
 Written independently of the Spark code, straight from the semantics: plain
 SQL over the driver tables with the same input views, newest-wins by
 ``row_number()`` instead of an aggregate, genre splitting with string
-functions. Column names equal the Spark queries'. ``stock_report_lines``
-(32-bit float text as Java prints it, not the shortest form DuckDB prints)
-has no entry: the driver checks its row count only.
+functions. Column names equal the Spark queries'.
 """
 
 from __future__ import annotations
 
 _PRICES = """prices AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS ticker,
-         CASE WHEN o_orderstatus = 'P' THEN 0.0::DOUBLE ELSE o_totalprice END AS close
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+  SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'n' ELSE '' END || CAST(o_custkey AS VARCHAR) AS ticker,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderstatus <> 'P'
+              THEN o_totalprice ELSE 0.0::DOUBLE END AS close
+  FROM orders)"""
 
 _FUND = """fundamentals AS (
   SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal AS shares FROM customer
   UNION ALL
   SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal + 100 AS shares FROM customer
-  WHERE c_mktsegment = 'BUILDING')"""
+  WHERE c_mktsegment = 'BUILDING'
+  UNION ALL
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), s_acctbal FROM supplier)"""
 
 _FPAIRS = """fpairs AS (
   SELECT ticker, CASE WHEN shares > 0 THEN shares ELSE 0.0::DOUBLE END AS shares
@@ -62,26 +63,33 @@ _MOVIES = """movies AS (
          CASE WHEN p_size > 45 THEN NULL
               ELSE p_type || '|' || replace(p_name, ' ', '|')
                    || CASE WHEN p_size < 8 THEN '||' ELSE '' END END AS genres
-  FROM part)"""
+  FROM part
+  UNION ALL
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), s_name,
+         CASE WHEN s_acctbal >= 0 THEN 'nation' || CAST(s_nationkey AS VARCHAR) END
+  FROM supplier)"""
 
 _RATINGS = """ratings AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
+  SELECT CAST(l_suppkey AS VARCHAR) AS user_id,
+         CASE WHEN l_tax = 0.08 THEN 'x' ELSE '' END || CAST(l_partkey AS VARCHAR) AS movie_id,
          CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS rating,
-         strftime(l_shipdate, '%Y-%m-%d') AS ts
-  FROM lineitem WHERE l_linestatus = 'F')"""
+         strftime(l_shipdate, '%Y-%m-%d') AS ts, CAST(l_discount >= 0.05 AS INT) AS late
+  FROM lineitem)"""
 
 _TAGS = """tags AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
+  SELECT CAST(l_suppkey AS VARCHAR) AS user_id,
+         CASE WHEN l_tax = 0.08 THEN 'x' ELSE '' END || CAST(l_partkey AS VARCHAR) AS movie_id,
          'tag' || CAST(l_linenumber AS VARCHAR) AS tag,
          strftime(l_shipdate, '%Y-%m-%d') AS ts
-  FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.08)"""
+  FROM lineitem)"""
 
 
-def _cells_ctes(rating_source: str = "ratings", tags: bool = True) -> str:
+def _cells_ctes(batch: str = "0") -> str:
+    """``batch``: the rank of a rating's batch; at equal versions the later one wins."""
     tag_part = """
     SELECT movie_id AS row_key, 'tag' AS family, user_id AS qualifier,
-           tag || '|' || ts AS value, ts AS version FROM tags
-    UNION ALL""" if tags else ""
+           tag || '|' || ts AS value, ts AS version, 0 AS batch FROM tags
+    UNION ALL"""
     return f"""info AS (
   SELECT movie_id AS row_key, 'info' AS family, 'title' AS qualifier, title AS value, '' AS version
   FROM movies
@@ -89,11 +97,11 @@ def _cells_ctes(rating_source: str = "ratings", tags: bool = True) -> str:
   SELECT movie_id, 'info', 'genres', genres, '' FROM movies WHERE genres IS NOT NULL),
 raw_user_cells AS ({tag_part}
     SELECT movie_id AS row_key, 'rating' AS family, user_id AS qualifier,
-           rating || '|' || ts AS value, ts AS version FROM {rating_source}),
+           rating || '|' || ts AS value, ts AS version, {batch} AS batch FROM ratings),
 user_cells AS (
   SELECT row_key, family, qualifier, value, version FROM (
     SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier
-                                 ORDER BY version DESC, value DESC) AS rn
+                                 ORDER BY version DESC, batch DESC, value DESC) AS rn
     FROM raw_user_cells) WHERE rn = 1
   AND row_key IN (SELECT movie_id FROM movies)),
 cells AS (SELECT * FROM info UNION ALL SELECT * FROM user_cells)"""
@@ -147,7 +155,9 @@ SELECT ticker, 'price' AS kind, round(p_mean, 0) AS mean, round(p_min, 0) AS min
 UNION ALL
 SELECT ticker, 'valuation', round(v_mean, 0), round(v_min, 0), round(v_max, 0),
        round(v_var / 1e9, 2) FROM vstats""",
-    "sorted_values": _with(_PRICES) + "SELECT ticker, close FROM prices ORDER BY ticker, close",
+    "sorted_values": _with(_PRICES) + """SELECT ticker, close, count(*) AS n, min(position) AS first_position
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY close) AS position FROM prices)
+GROUP BY ticker, close""",
     "price_tickers_without_fundamentals": "WITH " + _STOCK + """
 SELECT DISTINCT ticker FROM prices WHERE ticker NOT IN (SELECT ticker FROM valid)""",
     "fundamental_tickers_without_prices": "WITH " + _STOCK + """
@@ -176,9 +186,14 @@ SELECT price_records_read, fundamentals_records_read, price_tickers_without_fund
            AS legacy_missing_fundamentals_tickers
 FROM c""",
     "movie_cells": _CELLS + "SELECT row_key, family, qualifier, value, version FROM cells",
-    # base = older ratings, delta = newer ones: the upsert must equal a build over all.
-    "upsert_cells": _CELLS + "SELECT row_key, family, qualifier, value, version FROM cells",
-    "latest_rating_per_user": _with(_RATINGS, _LATEST_R) + "SELECT * FROM latest_r",
+    # base and delta differ by discount, so either may hold the newer version
+    "upsert_cells": _with(_MOVIES, _RATINGS, _TAGS, _cells_ctes("late"))
+    + "SELECT row_key, family, qualifier, value, version FROM cells",
+    "upsert_cells_shuffled": _with(_MOVIES, _RATINGS, _TAGS, _cells_ctes("late"))
+    + "SELECT row_key, family, qualifier, value, version FROM cells",
+    "movie_cells_salted": _CELLS + "SELECT row_key, family, qualifier, value, version FROM cells",
+    "latest_rating_per_user": _with(_RATINGS, _LATEST_R)
+    + "SELECT movie_id, user_id, rating, ts FROM latest_r",
     "movie_left_join": _with(_MOVIES, _RATINGS, _TAGS, _LATEST_R) + """,
 t AS (SELECT movie_id, count(DISTINCT user_id) AS n FROM tags GROUP BY movie_id),
 r AS (SELECT movie_id, sum(CAST(CAST(rating AS FLOAT) AS DOUBLE)) AS s, count(*) AS c
@@ -212,8 +227,20 @@ SELECT '(' || genre || ',' ||
             ELSE regexp_replace(CAST(CAST(CAST(s / c AS FLOAT) AS DOUBLE) AS VARCHAR), '\\.0$', '') END
        || ' ' || CAST(t AS VARCHAR) || ')' AS value
 FROM g""",
+    # the text report, read back: 32-bit floats; an undefined mean or variance
+    # (NaN in the text) is NULL here
+    "stock_report_lines": "WITH " + _STOCK + """
+SELECT v.ticker, CAST(p_mean AS FLOAT) AS p_mean,
+       CASE WHEN p_min IS NULL THEN 'Infinity'::FLOAT ELSE CAST(p_min AS FLOAT) END AS p_min,
+       CAST(coalesce(p_max, 0) AS FLOAT) AS p_max, CAST(p_var AS FLOAT) AS p_var,
+       CAST(p_mean * shares_mean AS FLOAT) AS v_mean,
+       CASE WHEN p_min IS NULL THEN 'Infinity'::FLOAT ELSE CAST(p_min * shares_mean AS FLOAT) END AS v_min,
+       CAST(coalesce(p_max * shares_mean, 0) AS FLOAT) AS v_max,
+       CAST(p_var * shares_mean * shares_mean AS FLOAT) AS v_var
+FROM pstats p JOIN valid v ON p.ticker = v.ticker""",
     "mean_turnaround": """
 SELECT count(*) AS n_jobs,
-       round(avg(date_diff('day', o_orderdate, l_shipdate)), 6) AS mean_turnaround_days
+       round(avg(epoch(l_shipdate) - epoch(o_orderdate)), 3) AS mean_turnaround_seconds
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
+ORACLE_SQL["genre_stats_of_cells"] = ORACLE_SQL["genre_stats"]

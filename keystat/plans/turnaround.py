@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     spark = get_session(args.master, "keystat-turnaround")
     r = run(spark, args.jobs, args.format, args.header)
-    print(f">> jobs: {r['n_jobs']}  mean turnaround (days): {r['mean_turnaround_days']}")
+    print(f">> jobs: {r['n_jobs']}  mean turnaround (seconds): {r['mean_turnaround_seconds']}")
     return 0
 
 

@@ -88,7 +88,7 @@ def q_stat_union(spark, sf):
 
 
 def q_sorted_values(spark, sf):
-    return S.sorted_values(T.prices(spark, sf))
+    return S.value_positions(T.prices(spark, sf))
 
 
 def q_price_tickers_without_fundamentals(spark, sf):
@@ -116,7 +116,13 @@ def q_stock_report_lines(spark, sf):
     report = coverage.where(F.col("has_prices") & F.col("fundamentals_valid")).select(
         "ticker", "p_mean", "p_min", "p_max", "p_var", "shares_mean",
         *S.valuation_columns())
-    return R.stock_report_lines(report)
+    # the lines read back: a text of 32-bit floats as Java prints it is compared
+    # by its values (the exact text is held by the golden tests)
+    ticker, fields = F.split_part("value", F.lit(","), F.lit(1)), F.split_part("value", F.lit(","), F.lit(2))
+    parts = F.split(F.rtrim(F.translate(fields, ")", "")), " ")
+    names = [*S.PRICE_STATS, *S.VALUATION_STATS]
+    numbers = [F.nanvl(parts[i].cast("float"), F.lit(None).cast("float")).alias(n) for i, n in enumerate(names)]
+    return R.stock_report_lines(report).select(F.substring(ticker, 2, 1 << 30).alias("ticker"), *numbers)
 
 
 # -- movie queries ---------------------------------------------------------------
@@ -125,12 +131,24 @@ def q_movie_cells(spark, sf):
     return _cells(spark, sf)
 
 
-def q_upsert_cells(spark, sf):
-    r = T.ratings(spark, sf)
+def q_movie_cells_salted(spark, sf):
+    return C.build_cells(T.movies(spark, sf), T.tags(spark, sf), T.ratings(spark, sf), strategy="shuffle")
+
+
+def _upsert_inputs(spark, sf):
+    # the batches differ by discount, which has nothing to do with the versions
+    r = T.ratings(spark, sf, "l_discount")
     m, t = T.movies(spark, sf), T.tags(spark, sf)
-    base = C.build_cells(m, t, r.where(F.col("ts") < T.UPSERT_SPLIT_TS))
-    delta = C.build_cells(m, None, r.where(F.col("ts") >= T.UPSERT_SPLIT_TS))
-    return C.upsert_cells(base, delta)
+    late = F.col("l_discount") >= 0.05
+    return C.build_cells(m, t, r.where(~late)), C.build_cells(m, None, r.where(late))
+
+
+def q_upsert_cells(spark, sf):
+    return C.upsert_cells(*_upsert_inputs(spark, sf))
+
+
+def q_upsert_cells_shuffled(spark, sf):
+    return C.upsert_cells(*_upsert_inputs(spark, sf), strategy="shuffle")
 
 
 def q_latest_rating_per_user(spark, sf):
@@ -153,20 +171,28 @@ def q_rating_cells(spark, sf):
     return C.rating_cells(_cells(spark, sf))
 
 
+def _movie_summary(spark, sf):
+    return G.movie_summary_of_inputs(T.movies(spark, sf), T.tags(spark, sf), T.ratings(spark, sf))
+
+
 def q_genre_explode(spark, sf):
-    return G.genre_explode(_cells(spark, sf))
+    return G.explode_genres(_movie_summary(spark, sf))
 
 
 def q_genre_stats(spark, sf):
+    return G.stats_of_genres(q_genre_explode(spark, sf)).select("genre", _r("avg_rating", 6), "num_tags")
+
+
+def q_genre_stats_of_cells(spark, sf):
     return G.genre_stats(_cells(spark, sf)).select("genre", _r("avg_rating", 6), "num_tags")
 
 
 def q_genre_report_lines(spark, sf):
-    return R.genre_report_lines(G.genre_stats(_cells(spark, sf), ordered=False))
+    return R.genre_report_lines(G.stats_of_genres(q_genre_explode(spark, sf), ordered=False))
 
 
 def q_mean_turnaround(spark, sf):
-    return mean_turnaround(T.jobs(spark, sf)).select("n_jobs", _r("mean_turnaround_days", 6))
+    return mean_turnaround(T.jobs(spark, sf)).select("n_jobs", _r("mean_turnaround_seconds", 3))
 
 
 QUERIES: dict[str, Query] = {
@@ -186,7 +212,9 @@ QUERIES: dict[str, Query] = {
     "stock_counters": q_stock_counters,
     "stock_report_lines": q_stock_report_lines,
     "movie_cells": q_movie_cells,
+    "movie_cells_salted": q_movie_cells_salted,
     "upsert_cells": q_upsert_cells,
+    "upsert_cells_shuffled": q_upsert_cells_shuffled,
     "latest_rating_per_user": q_latest_rating_per_user,
     "movie_left_join": q_movie_left_join,
     "tags_per_movie": q_tags_per_movie,
@@ -194,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "rating_cells": q_rating_cells,
     "genre_explode": q_genre_explode,
     "genre_stats": q_genre_stats,
+    "genre_stats_of_cells": q_genre_stats_of_cells,
     "genre_report_lines": q_genre_report_lines,
     "mean_turnaround": q_mean_turnaround,
 }

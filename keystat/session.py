@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Defaults for a fresh session. AQE re-plans joins and partition counts from
@@ -30,17 +31,22 @@ SESSION_DEFAULTS = {
 def get_session(master: str | None = None, app_name: str = "keystat",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
+    active = SparkSession.getActiveSession()
+    if active is not None:  # someone else's: only what the caller names is set
+        for key, value in (extra or {}).items():
+            active.conf.set(key, value)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    given = SparkConf()  # spark-defaults and --conf
+    conf = {k: v for k, v in SESSION_DEFAULTS.items() if not given.contains(k)}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -4,18 +4,25 @@ Each adapter is a projection/filter over one or two parquet scans, so the
 filters and the column lists reach the scan (``PushedFilters``,
 ``ReadSchema``). Shapes equal what the CSV readers return.
 
-* prices(ticker, close): urgent orders; a pending order's close is 0.0, so
-  some closes are nonpositive and some customers have no price at all.
-* fundamentals(ticker, shares): one row per customer and a second one
-  (balance + 100) for customers of the BUILDING segment; some balances are
-  nonpositive, so some tickers mix valid and invalid rows.
-* movies(movie_id, title, genres): parts; genres = type, then the words of the
-  name, ``|``-separated, ``||`` appended for sizes under 8, NULL for sizes
-  over 45.
-* ratings(user_id, movie_id, rating, ts): finished line items, supplier as
-  user, part as movie, quantity as rating, ship date as ts.
-* tags(user_id, movie_id, tag, ts): returned line items with a discount of at
-  least 0.08 (leaves some movies without tags).
+Every adapter reads all rows of its tables; the cases that the operators
+distinguish are made by values:
+
+* prices(ticker, close): one row per order. Close is the total price of orders
+  of urgent or low priority that aren't pending, else 0.0, so some tickers have
+  no positive close. Low-priority orders have tickers of their own
+  (``n<customer>``), which no fundamentals row has.
+* fundamentals(ticker, shares): one row per customer, a second one (balance + 100)
+  for customers of the BUILDING segment, and one per supplier (``s<supplier>``,
+  without prices); some balances are nonpositive, so some tickers mix valid and
+  invalid rows.
+* movies(movie_id, title, genres): parts, with genres = type, then the words of
+  the name, ``|``-separated, ``||`` appended for sizes under 8, NULL for sizes
+  over 45; and suppliers (``s<supplier>``), which have neither tags nor ratings, with
+  their nation as genre, NULL for negative balances.
+* ratings(user_id, movie_id, rating, ts): one row per line item, supplier as
+  user, part as movie, quantity as rating, ship date as ts. Line items of one tax rate rate
+  movies that don't exist (``x<part>``).
+* tags(user_id, movie_id, tag, ts): one row per line item; the same rate tags movies that don't exist.
 * jobs(job_id, arrival, finish): line items with their order date.
 """
 
@@ -24,11 +31,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The split point of the upsert check (older ratings form the
-# base table, newer ones the update).
-UPSERT_SPLIT_TS = "1998-01-01"
-
-
 # Declared schemas of the driver tables read here: no footer-inference job
 # per read (with many files, inference would touch every footer).
 DRIVER_SCHEMAS = {
@@ -36,6 +38,7 @@ DRIVER_SCHEMAS = {
               "o_orderdate timestamp_ntz, o_orderpriority string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
                 "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
             "p_retailprice double",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
@@ -61,42 +64,50 @@ def _day_text(c: str):
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return (o.where(F.col("o_orderpriority") == "1-URGENT")
-            .select(_key_text("o_custkey").alias("ticker"),
-                    F.when(F.col("o_orderstatus") == "P", F.lit(0.0))
-                    .otherwise(F.col("o_totalprice")).alias("close")))
+    low = F.col("o_orderpriority") == "5-LOW"
+    priced = ((F.col("o_orderpriority") == "1-URGENT") | low) & (F.col("o_orderstatus") != "P")
+    return o.select(F.concat(F.when(low, "n").otherwise(""), _key_text("o_custkey")).alias("ticker"),
+                    F.when(priced, F.col("o_totalprice")).otherwise(F.lit(0.0)).alias("close"))
 
 
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     bal = F.col("c_acctbal")
     values = F.when(F.col("c_mktsegment") == "BUILDING", F.array(bal, bal + 100)).otherwise(F.array(bal))
-    return c.select(_key_text("c_custkey").alias("ticker"), F.explode(values).alias("shares"))
+    s = table(spark, sf_dir, "supplier")
+    return c.select(_key_text("c_custkey").alias("ticker"), F.explode(values).alias("shares")).unionByName(
+        s.select(F.concat(F.lit("s"), _key_text("s_suppkey")).alias("ticker"), F.col("s_acctbal").alias("shares")))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     genres = F.concat(F.col("p_type"), F.lit("|"), F.regexp_replace("p_name", " ", "|"),
                       F.when(F.col("p_size") < 8, F.lit("||")).otherwise(F.lit("")))
+    s = table(spark, sf_dir, "supplier")
     return p.select(_key_text("p_partkey").alias("movie_id"), F.col("p_name").alias("title"),
                     F.when(F.col("p_size") > 45, F.lit(None).cast("string"))
-                    .otherwise(genres).alias("genres"))
+                    .otherwise(genres).alias("genres")).unionByName(
+        s.select(F.concat(F.lit("s"), _key_text("s_suppkey")).alias("movie_id"), F.col("s_name").alias("title"),
+                 F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("nation"), _key_text("s_nationkey"))).alias("genres")))
+
+
+def _movie_of_line():
+    return F.concat(F.when(F.col("l_tax") == 0.08, "x").otherwise(""), _key_text("l_partkey")).alias("movie_id")
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """``more``: line item columns to keep beside the ratings'."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_linestatus") == "F")
-            .select(_key_text("l_suppkey").alias("user_id"), _key_text("l_partkey").alias("movie_id"),
-                    F.col("l_quantity").cast("long").cast("string").alias("rating"),
-                    _day_text("l_shipdate").alias("ts")))
+    return li.select(_key_text("l_suppkey").alias("user_id"), _movie_of_line(),
+                     F.col("l_quantity").cast("long").cast("string").alias("rating"),
+                     _day_text("l_shipdate").alias("ts"), *more)
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.where((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08))
-            .select(_key_text("l_suppkey").alias("user_id"), _key_text("l_partkey").alias("movie_id"),
-                    F.concat(F.lit("tag"), F.col("l_linenumber").cast("string")).alias("tag"),
-                    _day_text("l_shipdate").alias("ts")))
+    return li.select(_key_text("l_suppkey").alias("user_id"), _movie_of_line(),
+                     F.concat(F.lit("tag"), F.col("l_linenumber").cast("string")).alias("tag"),
+                     _day_text("l_shipdate").alias("ts"))
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
