@@ -43,9 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 THRESHOLD = 85  # percent
-#: A bucket gets one centre in the first round. While a round made no more pairs
-#: than this, the next one gives each undecided bucket ``GROWTH`` times as many.
-FEW_PAIRS = 1_000_000
+#: A bucket gets one centre in the first round. As long as a round makes no more pairs than
+#: the buckets have members, the next one gives each undecided bucket so many times as many.
 GROWTH = 8
 
 
@@ -182,7 +181,7 @@ def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | Non
     links = done = tested = None
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
     members = members.withColumns({"hub": F.lit(None).cast("long"), "x": F.lit(None).cast("long")})
-    n_centres = 1
+    n_centres, size = 1, members.count()
     while True:
         now = members.join(labels, "node")
         rest = now if tested is None else now.join(tested, ["bucket", "node"], "left_anti")
@@ -194,15 +193,24 @@ def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | Non
             .where(F.col("place") <= n_centres).drop("place"), "centres")
         if not centres.limit(1).count():
             return labels if links is not None else None
-        tested = centres.select("bucket", "node") if tested is None else tested.unionByName(
-            centres.select("bucket", "node"))
-        star = centres.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in ("node", "label", "n", "s", "hub", "x")])
+        done_here = centres.select("bucket", "node")
+        tested = done_here if tested is None else tested.unionByName(done_here)
+        columns = ["node", "label", "n", "s", "hub", "x"]
+        once = F.lit(True)
+        if n_centres > 1:
+            # a pair is made in the first undecided bucket that it shares, not in all
+            now = now.join(undecided, "bucket")
+            shared = now.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+            now, centres = now.join(shared, "node"), centres.join(shared, "node")
+            columns.append("buckets")
+            once = F.array_min(F.array_intersect("buckets", "centre_buckets")) == F.col("bucket")
+        star = centres.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in columns])
         most = F.least("s", "centre_s", F.when(
             F.col("hub") == F.col("centre_hub"),
             F.least("x", "centre_x") + F.least(F.col("s") - F.col("x"), F.col("centre_s") - F.col("centre_x"))))
         pairs = (now.join(star, "bucket")
                  .where((F.col("label") != F.col("centre_label"))
-                        & _enough(most, F.col("n"), F.col("centre_n"), threshold))
+                        & _enough(most, F.col("n"), F.col("centre_n"), threshold) & once)
                  .select(F.least("node", "centre_node").alias("a"), F.greatest("node", "centre_node").alias("b"))
                  .distinct())
         if done is not None:
@@ -218,7 +226,7 @@ def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | Non
             labels = materialise(
                 members.select("node").distinct().join(components(links), "node", "left")
                 .select("node", F.coalesce("label", "node").alias("label")), "labels")
-        if pairs.count() <= FEW_PAIRS:
+        if pairs.count() <= size:
             n_centres *= GROWTH
 
 
