@@ -13,8 +13,8 @@ starts anywhere else too, in the same text or another.
    segments through it; every occurrence found is a range of words to remove.
 
 Every window lies in one segment, so nothing is missed. Phrases named more than
-``HOT`` times are split: each of their windows is a segment of its own, dealt out
-by the window's hash as well, so no shard's group grows with a frequent phrase.
+``HOT`` times take no shard: their windows are counted by hash, with partial sums
+before the shuffle, and joined back to their places, which Spark splits where one is frequent.
 Two different windows would be taken as equal if they differ only in words whose
 32-bit hashes are equal, a chance of 2^-32 for each pair that differs in one word.
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,14 +88,15 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "id", "check", "n_words", "whole_sha256", "phrases"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments (shard, id, check, start, words) of the recurring phrases."""
+def _recurring(batches: Iterator[pa.RecordBatch], hot: bool):
+    """(batch, hashes, words, first words, and the segments' rows, texts, phrases, first and last
+    windows) of the recurring phrases that are hot, or aren't."""
     for batch in batches:
         for row, data, offsets in text_runs(batch.column("text")):
             h, first, text, phrase, begin, end = _named(data, offsets)
             n = len(offsets) - 1
             own = batch.column("recurring").slice(row, n)
-            owner = np.repeat(np.arange(n), pa.compute.list_value_length(own).to_numpy(zero_copy_only=False))
+            owner = np.repeat(np.arange(n), pc.list_value_length(own).to_numpy(zero_copy_only=False))
             known = own.flatten()
             known_phrase = known.field("phrase").to_numpy(zero_copy_only=False).view(np.uint64)
             hot_phrase = known.field("hot").to_numpy(zero_copy_only=False)
@@ -107,27 +109,35 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = place(text, phrase)
             at = np.minimum(np.searchsorted(wanted, mine), max(0, len(wanted) - 1))
             hit = (wanted[at] == mine) if len(wanted) else np.zeros(len(mine), bool)
-            text, phrase, begin, end, hot = text[hit], phrase[hit], begin[hit], end[hit], hot_phrase[at[hit]]
-            # a hot phrase's windows go one by one
-            times = np.where(hot, end - begin + 1, 1)
-            which = np.repeat(np.arange(len(text)), times)
-            nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-            a = begin[which] + nth
-            b = np.where(hot[which], a, end[which])
-            if not len(a):
-                continue
-            shard = phrase[which]
-            if hot.any():
-                single = gram_hashes(h, WINDOW)
-                shard = np.where(hot[which], mix(shard ^ single[a]), shard)
-            small = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
-            rows = pa.array(row + text[which])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.view(np.int64)), batch.column("id").take(rows), batch.column("check").take(rows),
-                 pa.array(a - first[text[which]], pa.int32()),
-                 pa.array([small[4 * x:4 * y] for x, y in zip(a.tolist(), (b + WINDOW).tolist(), strict=True)],
-                          pa.binary())],
-                names=["shard", "id", "check", "start", "words"])
+            hit &= (hot_phrase[at] == hot) if len(wanted) else False
+            if hit.any():
+                yield batch, h, first, row + text[hit], text[hit], phrase[hit], begin[hit], end[hit]
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments (shard, id, check, start, words) of the phrases that aren't hot."""
+    for batch, h, first, rows, text, phrase, begin, end in _recurring(batches, False):
+        small = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
+        rows = pa.array(rows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(phrase.view(np.int64)), batch.column("id").take(rows), batch.column("check").take(rows),
+             pa.array(begin - first[text], pa.int32()),
+             pa.array([small[4 * x:4 * y] for x, y in zip(begin.tolist(), (end + WINDOW).tolist(), strict=True)],
+                      pa.binary())],
+            names=["shard", "id", "check", "start", "words"])
+
+
+def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, id, check, start) of every window of a hot phrase."""
+    for batch, h, first, rows, text, _, begin, end in _recurring(batches, True):
+        times = end - begin + 1
+        which = np.repeat(np.arange(len(text)), times)
+        at = begin[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+        owner = pa.array(rows[which])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram_hashes(h, WINDOW)[at].view(np.int64)), batch.column("id").take(owner),
+             batch.column("check").take(owner), pa.array(at - first[text[which]], pa.int32())],
+            names=["window", "id", "check", "start"])
 
 
 def _locate(segments: pa.Table) -> pa.RecordBatch:
@@ -230,9 +240,14 @@ def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                  .groupBy("id", "check").agg(F.collect_list(F.struct("phrase", "hot")).alias("recurring")))
     affected = materialise(docs.drop("doc_id").join(recurring, ["id", "check"]), "affected")
     segments = affected.mapInArrow(_segments, "shard long, id long, check long, start int, words binary")
-    ranges = (segments.repartition("shard").sortWithinPartitions("shard")
-              .mapInArrow(_shards, "id long, check long, start int, end int")
-              .groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
+    located = (segments.repartition("shard").sortWithinPartitions("shard")
+               .mapInArrow(_shards, "id long, check long, start int, end int"))
+    windows = (affected.where(F.exists("recurring", lambda x: x["hot"]))
+               .mapInArrow(_hot_windows, "window long, id long, check long, start int"))
+    often = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    hot = windows.join(often, "window").select("id", "check", "start", (F.col("start") + WINDOW).alias("end"))
+    ranges = located.unionByName(hot).groupBy("id", "check").agg(
+        F.collect_set(F.struct("start", "end")).alias("ranges"))
     return rows, affected.select("id", "check", "text").dropDuplicates(["id", "check"]).join(ranges, ["id", "check"])
 
 

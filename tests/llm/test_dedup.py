@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tests_llm import frame
+from tests_llm import frame, llm_spark  # noqa: F401
 
 from keystat.llm import decontaminate as dec
 from keystat.llm import near_dup, repeats

@@ -10,7 +10,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from keystat.llm import pii, secrets
-from tests_llm import frame
+from tests_llm import frame, llm_spark  # noqa: F401
 
 EDGE = [None, "", " ", "x" * 200_000, "mail a.b@c.de, b@c.de@d.ef 1.2.3.4.5 300.1.1.1 +49 (30) 1234567 é",
         "mail a.b@c.de, b@c.de@d.ef 1.2.3.4.5 300.1.1.1 +49 (30) 1234567 é", "4111 1111 1111 1111 4111-1111-1111-1112",
