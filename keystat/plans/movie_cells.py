@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from keystat.operators.cells import (CELL_COLUMNS, build_cells, merge_aligned, newest_cells,
                                      upsert_cells)
 from keystat.session import checkpoint_dir, get_session
-from keystat.sources.cell_store import (bucket_count, bucketed_cells, read_cell_updates,
-                                        read_cells_with_updates, write_cells)
+from keystat.sources.cell_store import (bucket_count, bucketed_cells, buckets_for, folded_batches,
+                                        qualified, read_cell_updates, read_cells, write_cells)
 from keystat.sources.csv_inputs import read_movie_inputs
 
 
@@ -33,14 +33,15 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
     Upsert into a bucketed base: the new cells (with any streamed update
     batches folded in first) are the delta of a bucket-aligned merge join;
     the base is read in place, only the delta is shuffled, and the output is
-    written bucket by bucket with the base's bucket count.
+    written bucket by bucket with the base's bucket count. Update batches that
+    the base holds already are skipped, and the output's layout names all it holds.
     """
-    if base and base.rstrip("/") == output.rstrip("/"):
+    if base and qualified(spark, base) == qualified(spark, output):
         raise ValueError("the output table must be a new directory, not the base being read")
     movies, tags, ratings = read_movie_inputs(spark, input_dir, header=header)
     cells = build_cells(movies, tags, ratings)
     if not base:
-        write_cells(cells, output, buckets=buckets)
+        write_cells(cells, output, buckets=buckets or buckets_for(spark, input_dir))
         return
     # The delta is read by the size checks and by the merge: checkpoint it
     # once into the shared checkpoint folder (lineage cut, survives the loss
@@ -48,17 +49,19 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
     checkpoint_dir(spark)
     delta = cells.checkpoint()
     n = bucket_count(spark, base)
-    if n is None:  # a table without bucket layout: DataFrame-level upsert
-        write_cells(upsert_cells(read_cells_with_updates(spark, base, updates), delta), output,
-                    buckets=buckets)
-        return
+    folded = folded_batches(spark, base)
     if updates:
         # update batches are newer than the base and older than these inputs
-        pending = read_cell_updates(spark, updates).select(*CELL_COLUMNS, "batch")
-        delta = newest_cells(pending.unionByName(delta.withColumn("batch", F.lit(1 << 62))),
-                             priority="batch")
+        pending = read_cell_updates(spark, updates, folded)
+        folded += [r["source"] for r in pending.select("source").distinct().collect()]  # one per batch
+        delta = newest_cells(pending.select(*CELL_COLUMNS, "batch").unionByName(
+            delta.withColumn("batch", F.lit(1 << 62))), priority="batch")
+    if n is None:  # a table without bucket layout: DataFrame-level upsert
+        write_cells(upsert_cells(read_cells(spark, base), delta), output,
+                    buckets=buckets or buckets_for(spark, base, input_dir), folded=folded)
+        return
     merged = merge_aligned(bucketed_cells(spark, base), delta, unique=True, buckets=n)
-    write_cells(merged, output, buckets=n, aligned=True)
+    write_cells(merged, output, buckets=n, aligned=True, folded=folded)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -69,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--updates", help="directory of streamed update batches to fold in")
     ap.add_argument("--header", action="store_true")
     ap.add_argument("--buckets", type=int,
-                    help="bucket count of a new table (default keystat.cells.buckets)")
+                    help="bucket count of a new table (default: by the bytes of the inputs)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = get_session(args.master, "keystat-movie-cells")

