@@ -139,10 +139,11 @@ class Pieces:
         for end in range(1, len(text) + 1):
             best[end] = max(best[start] + score for start, score, _ in into[end])
         # backward from the end: the rest's score is known, the prefix's best is exact
-        heap = [(-best[-1], 0, len(text), 0.0, None)]
+        # among equal sums the one nearest to the start goes first, else ties would all be opened
+        heap = [(-best[-1], len(text), 0, 0.0, None)]
         found, pushed = [], 0
         while heap and len(found) < n:
-            _, _, at, rest, path = heapq.heappop(heap)
+            _, at, _, rest, path = heapq.heappop(heap)
             if not at:
                 ids: list[int] = []
                 while path is not None:
@@ -152,7 +153,7 @@ class Pieces:
                 continue
             for start, score, ids in into[at]:
                 pushed += 1
-                heapq.heappush(heap, (-(best[start] + score + rest), pushed, start, score + rest, (ids, path)))
+                heapq.heappush(heap, (-(best[start] + score + rest), start, pushed, score + rest, (ids, path)))
         return found
 
     def encode(self, text: str, n: int = 1) -> list[tuple[float, bytes]]:
