@@ -83,7 +83,8 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 h = h * np.uint64(0x100000001B3) + codes[j:j + m]
                 if 0 < j < n - 1:
                     good &= ~edge[j:j + m]
-            good &= ~(edge[:m] & edge[n - 1:n - 1 + m])
+            if n == 2:
+                good &= ~(edge[:m] & edge[1:])
             found.append((mix(h[good]) >> np.uint64(64 - 13)).astype(np.int64))
             owners.append(text[1:1 + m][good])  # an n-gram's second code is never an edge before its word
     return np.concatenate(found), np.concatenate(owners)
