@@ -18,8 +18,8 @@ from keystat.session import checkpoint_dir
 
 #: Texts are handled in runs of whole rows of about so many bytes; a longer
 #: text is a run of its own. Runs of very short texts end after so many rows.
-RUN_BYTES = 4 << 20
-RUN_ROWS = 16384
+RUN_BYTES = 1 << 20
+RUN_ROWS = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

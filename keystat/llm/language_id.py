@@ -38,7 +38,7 @@ RATE = 0.5
 REJECT = 0.001
 UNDETERMINED = "und"
 #: Characters that are handled at once, about.
-RUN_CHARS = 1 << 20
+RUN_CHARS = 1 << 18
 
 
 @cache
