@@ -131,7 +131,7 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
 
 
 def merge_cells(base: DataFrame, delta: DataFrame, priority: str, *,
-                strategy: str = "auto") -> DataFrame:
+                strategy: str = "shuffle") -> DataFrame:
     """Apply ``delta`` (cells with a numeric ``priority`` column, higher =
     later batch) to ``base`` (cells, treated as the oldest batch).
 
@@ -210,9 +210,11 @@ def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False,
     return j.select(*CELL_KEY, w["value"].alias("value"), w["version"].alias("version"))
 
 
-def upsert_cells(base: DataFrame, delta: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def upsert_cells(base: DataFrame, delta: DataFrame, *, strategy: str = "shuffle") -> DataFrame:
     """Merge ``delta`` into ``base``: cells absent from ``delta`` stay,
-    the rest resolve newest-version-wins, the delta winning equal versions."""
+    the rest resolve newest-version-wins, the delta winning equal versions.
+    One pass over each side and one shuffle; ``strategy`` as for :func:`merge_cells`
+    (measuring first pays where the base is far larger than a small, stored delta)."""
     return merge_cells(base, delta.withColumn("_delta", F.lit(1)), "_delta", strategy=strategy)
 
 

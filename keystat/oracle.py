@@ -189,7 +189,7 @@ FROM c""",
     # base and delta differ by discount, so either may hold the newer version
     "upsert_cells": _with(_MOVIES, _RATINGS, _TAGS, _cells_ctes("late"))
     + "SELECT row_key, family, qualifier, value, version FROM cells",
-    "upsert_cells_shuffled": _with(_MOVIES, _RATINGS, _TAGS, _cells_ctes("late"))
+    "upsert_cells_measured": _with(_MOVIES, _RATINGS, _TAGS, _cells_ctes("late"))
     + "SELECT row_key, family, qualifier, value, version FROM cells",
     "movie_cells_salted": _CELLS + "SELECT row_key, family, qualifier, value, version FROM cells",
     "latest_rating_per_user": _with(_RATINGS, _LATEST_R)

@@ -147,8 +147,8 @@ def q_upsert_cells(spark, sf):
     return C.upsert_cells(*_upsert_inputs(spark, sf))
 
 
-def q_upsert_cells_shuffled(spark, sf):
-    return C.upsert_cells(*_upsert_inputs(spark, sf), strategy="shuffle")
+def q_upsert_cells_measured(spark, sf):
+    return C.upsert_cells(*_upsert_inputs(spark, sf), strategy="auto")
 
 
 def q_latest_rating_per_user(spark, sf):
@@ -214,7 +214,7 @@ QUERIES: dict[str, Query] = {
     "movie_cells": q_movie_cells,
     "movie_cells_salted": q_movie_cells_salted,
     "upsert_cells": q_upsert_cells,
-    "upsert_cells_shuffled": q_upsert_cells_shuffled,
+    "upsert_cells_measured": q_upsert_cells_measured,
     "latest_rating_per_user": q_latest_rating_per_user,
     "movie_left_join": q_movie_left_join,
     "tags_per_movie": q_tags_per_movie,
