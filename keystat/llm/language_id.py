@@ -104,18 +104,18 @@ class LanguageModel:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def _train(x: np.ndarray, y: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class scores of the buckets, and the bias, from rows of bucket shares."""
+def _train(x: np.ndarray, y: np.ndarray, own: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class scores of the buckets, and the bias, from the ``own`` rows of bucket shares."""
     rng = np.random.default_rng(7)
     emb = rng.normal(0, 0.1, (x.shape[1], DIMENSIONS)).astype(np.float32)
     out = np.zeros((DIMENSIONS, classes), np.float32)
     bias = np.zeros(classes, np.float32)
-    weight = len(y) / (classes * np.maximum(np.bincount(y, minlength=classes), 1))
+    weight = len(own) / (classes * np.maximum(np.bincount(y[own], minlength=classes), 1))
     scale = np.float32(x.shape[1] ** 0.5)  # shares are small: their embeddings learn faster
-    batch, steps, step = 16, EPOCHS * max(1, -(-len(y) // 16)), 0
+    batch, steps, step = 16, EPOCHS * max(1, -(-len(own) // 16)), 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for a in range(0, len(y), batch):
+        order = rng.permutation(own)
+        for a in range(0, len(own), batch):
             rows = order[a:a + batch]
             rate = np.float32(RATE * (1 - step / steps))
             step += 1
@@ -159,7 +159,7 @@ def fit(sample: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel | Non
         x[i, buckets] = counts / counts.sum()
     y = np.array([languages.index(s[0]) for s in sample])
     held = np.arange(len(y)) % 5 == 0 if len(y) >= 50 else np.zeros(len(y), bool)
-    table, bias = _train(x[~held], y[~held], len(languages))
+    table, bias = _train(x, y, np.flatnonzero(~held), len(languages))
     logits = x[held] @ table + bias
     model = LanguageModel(languages, table.astype(np.float32), bias, calibrate(logits, y[held]), 0.0)
     if held.any():
@@ -200,11 +200,15 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> LanguageModel | None:
         return None
     share = min(1.0, sample / n)
     drawn = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = drawn.select("lang", "text").mapInArrow(
-        _bags, "lang string, buckets array<long>, counts array<long>").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["lang"], r["buckets"], r["counts"]))  # any order of tasks gives one model
-    np.random.default_rng(11).shuffle(rows)
-    return fit([(r["lang"], np.array(r["buckets"], np.int64), np.array(r["counts"], np.float64)) for r in rows])
+    bags = drawn.select("lang", "text").mapInArrow(
+        _bags, "lang string, buckets array<long>, counts array<long>").toArrow().combine_chunks()
+    if not len(bags):
+        return None
+    cut = lambda c: np.split(c.values.to_numpy(), c.offsets.to_numpy()[1:-1])
+    buckets, counts = (cut(bags.column(c).chunk(0)) for c in ("buckets", "counts"))
+    rows = list(zip(bags.column("lang").to_pylist(), buckets, counts, strict=True))
+    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # any order of tasks gives one model
+    return fit([rows[i] for i in np.random.default_rng(11).permutation(len(rows)).tolist()])
 
 
 def _predict(shared):
