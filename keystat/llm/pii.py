@@ -161,10 +161,10 @@ def disclosures(scanned: DataFrame, docs: DataFrame, *, support: int = SUPPORT)
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= support)
     terms = (docs.mapInArrow(_documents_with_term, "term string, n long")
              .groupBy("term").agg(F.sum("n").alias("n_t")))
-    total = scanned.agg(F.count("*").alias("n"))  # one row
-    ratio = F.log2(F.col("n_ct") * F.col("n") / (F.col("n_c") * F.col("n_t"))) / F.log2(F.col("n") / F.col("n_c"))
-    return (together.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
-            .where(F.col("n_c") < F.col("n")).select("entity", "term", ratio.alias("disclosure")))
+    n = F.lit(scanned.count())
+    ratio = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
+    return (together.join(entities, "entity").join(terms, "term")
+            .where(F.col("n_c") < n).select("entity", "term", ratio.alias("disclosure")))
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
