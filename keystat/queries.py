@@ -3,8 +3,8 @@ computed over the whole driver tables (through :mod:`keystat.sources.driver_tabl
 
 Statistics are rounded only here, for the cross-engine check (summation order
 differs between engines): price mean to 6 places, price variance to 6 places
-of 1e9 units, mean shares to 3 places, valuation mean/min/max to whole units
-and valuation variance to 2 places of 1e9 units. The library functions
+of 1e9 units, mean shares to 3 places, valuation mean/min/max to whole units,
+valuation variance to 2 places of 1e9 units and turnaround to 3 places. The library functions
 themselves return unrounded doubles.
 """
 
