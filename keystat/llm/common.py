@@ -27,9 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch, in sessions that keep Spark's default of 10,000: texts
+#: are much longer than rows of numbers.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's sources to the executors, once per application, so that
-    tasks can import it where it isn't installed."""
+    tasks can import it where it isn't installed; and keep Arrow batches of texts small."""
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_keystat_shipped", False):
         return

@@ -1,7 +1,7 @@
 """Benchmark decontamination by suffix arrays of the training documents.
 
-Texts are lower-cased (A-Z) and cut into words. Each shard of documents (a
-batch of a task) sorts the suffixes of its word sequences into a suffix array,
+Texts are lower-cased (A-Z) and cut into words. Each shard of documents
+(some batches of a task) sorts the suffixes of its word sequences into a suffix array,
 and every suffix of the benchmark items is looked up in it by binary search.
 That gives every place where at least ``WINDOW`` words (or a whole shorter item)
 occur verbatim; neighbouring hits are then merged into the longest matches, with
@@ -35,6 +35,8 @@ from keystat.llm.common import LETTER_WORD, LOWER, materialise, set_aside, text_
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+#: A shard's suffix array covers about so many bytes of rows.
+SHARD_BYTES = 16 << 20
 
 MATCH = "struct<item:string,doc_start:int,item_start:int,n_words:int>"
 
@@ -156,6 +158,18 @@ def _matches(rows, places, keys, block: Suffixes):
     return np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold ``SHARD_BYTES``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= SHARD_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _pass(block, everything: bool):
     """Look a block up in all documents; without ``everything``, keep those with matches."""
     match_type = pa.list_(pa.struct([("item", pa.string()), ("doc_start", pa.int32()),
@@ -164,7 +178,7 @@ def _pass(block, everything: bool):
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suffixes: Suffixes = block.value
         names = np.array(suffixes.names, object)
-        for batch in batches:
+        for batch in _shards(batches):
             n_words, rows, places, keys = _suffix_array(batch.column("__text"), suffixes)
             row, item, start, item_start, n = _matches(rows, places, keys, suffixes)
             order = np.argsort(row, kind="stable")

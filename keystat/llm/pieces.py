@@ -42,7 +42,7 @@ MODEL_BYTES = 64 << 20
 MARK = "▁"
 NBEST = 3
 #: Units remembered by a task's process, and the longest that is.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 REMEMBERED_LENGTH = 48
 #: What a byte costs more than the worst ordinary piece.
 BYTE_PENALTY = 10.0
