@@ -23,8 +23,9 @@ bucket with a chance of about 1e-10 (short texts: their few shingles decide,
 at worst about 1e-3 where all their overlap is at the threshold).
 
 Nulls and empty texts have no shingles and link with nothing, nor do rows
-without a doc_id (their component is null and they are kept); rows that share a doc_id
-are one node. Every row is returned once; an empty table gives an empty result.
+without a doc_id (their component is null and they are kept). A link is one of two
+classes, so each text of a repeated doc_id is compared by itself; the components
+of its texts are one. Every row is returned once; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -124,12 +125,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, h, offsets in _shingles(batch.column("text")):
             n = len(offsets) - 1
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("node").slice(row, n),
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k.tobytes() for k in _set_keys(h, offsets)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(h.view(np.int64)))],
-                names=["node", "shingles"])
-            wanted, keys = batch.column("key").slice(row, n).to_pylist(), _set_keys(h, offsets)
-            yield out.filter(pa.array([w == k.tobytes() for w, k in zip(wanted, keys, strict=True)], pa.bool_()))
+                names=["key", "shingles"])
 
 
 def _enough(overlap: Column, n: Column, m: Column, threshold: int) -> Column:
@@ -148,13 +147,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """(bucket, node, key) of the classes that share a bucket with another."""
-    rows = classes.select("node", "key", F.explode("bands").alias("bucket"))
-    shared = (rows.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-              .where(F.col("least") < F.col("most")).select("bucket"))
+    """(bucket, key, doc_id) of the classes that share a bucket with another."""
+    rows = classes.select("key", "doc_id", F.explode(F.array_distinct("bands")).alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     return rows.join(shared, "bucket")
 
 
+def _sets(docs: DataFrame, wanted: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(key, shingles) of the wanted classes (key, doc_id), one row each. A doc_id of
+    many rows may stand for several classes, or for one several times."""
+    def full(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, "doc_id").select("text").mapInArrow(_full_sets, "key binary, shingles array<long>")
+
+    if not repeated.limit(1).count():
+        return full(wanted.select("doc_id"))
+    some = wanted.join(repeated, "doc_id", "left_semi")
+    return full(wanted.join(repeated, "doc_id", "left_anti").select("doc_id")).unionByName(
+        full(some.select("doc_id").distinct()).join(some.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+
+
 def _alive(members: DataFrame, threshold: int) -> DataFrame:
     """Members (bucket, node, n, s) that the bounds let link with another of their bucket."""
     sizes = (members.groupBy("bucket", "n").agg(F.max("s").alias("s"), F.count("*").alias("c"))
@@ -236,30 +247,47 @@ def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame
     sketches = materialise(docs.mapInArrow(
         _sketch, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key binary, bands array<long>"),
         "sketches")
-    classes = (sketches.where("n > 0 AND doc_id IS NOT NULL").groupBy("key")
-               .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
+    real = sketches.where("n > 0 AND doc_id IS NOT NULL")
+    repeated = materialise(real.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    classes = real.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     candidates = materialise(_candidates(classes), "candidates")
-    wanted = candidates.select("node", "key").distinct()
-    sets = materialise(
-        docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "key", "text")
-        .mapInArrow(_full_sets, f"node {docs.schema['doc_id'].dataType.simpleString()}, shingles array<long>"), "sets")
+    wanted = candidates.select("key", "doc_id").distinct()
+    # a class's number is fixed once written
+    sets = materialise(_sets(docs, wanted, repeated).withColumn("node", F.monotonically_increasing_id()), "sets")
     own = (sets.select("node", F.explode("shingles").alias("x")).groupBy("x")
            .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
            .groupBy("node").agg(F.count("*").alias("u")))
-    sizes = sets.select("node", F.size("shingles").cast("long").alias("n")).join(own, "node", "left").select(
-        "node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
-    members = materialise(_alive(candidates.select("bucket", "node").join(sizes, "node"), threshold), "members")
+    sizes = sets.select("node", "key", F.size("shingles").cast("long").alias("n")).join(own, "node", "left").select(
+        "node", "key", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
+    members = materialise(
+        _alive(candidates.select("bucket", "key").join(sizes, "key").drop("key"), threshold), "members")
     labels = link(members, sets, threshold)
-    reps = classes.select("key", "node")
-    rows = sketches.select("doc_id", "n", "key").join(reps, "key", "left")
+    reps = classes.select("key", F.col("doc_id").alias("least"))
     if labels is not None:
-        rows = rows.join(labels, "node", "left")
-    else:
-        rows = rows.withColumn("label", F.col("node"))
+        linked = labels.join(sets.select("node", "key"), "node").join(reps, "key").select("key", "label", "least")
+        least = linked.groupBy("label").agg(F.min("least").alias("component"))
+        found = linked.select("key", "label").join(least, "label").select("key", "component")
+        reps = reps.join(found, "key", "left").select("key", F.coalesce("component", "least").alias("least"))
     alone = F.col("doc_id").isNull() | (F.col("n") == 0)
-    component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("label", "node"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = sketches.select("doc_id", "n", "key").join(reps, "key", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), (~alone).alias("real"))
+    if repeated.limit(1).count():
+        rows = _texts_of_one_id(materialise(rows, "rows"), repeated)
+    return rows.drop("real").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _texts_of_one_id(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with one component where the texts of a repeated doc_id had several."""
+    own = rows.where("real").join(repeated, "doc_id").select("doc_id", "component_id").distinct()
+    least = own.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    edges = own.join(least, "doc_id").where(F.col("a") < F.col("component_id")).select(
+        "a", F.col("component_id").alias("b"))
+    joined = components(edges).select(F.col("node").alias("component_id"), "label")
+    return rows.join(joined, "component_id", "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("real"), F.coalesce("label", "component_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "real")
 
 
 def drop_near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:

@@ -88,6 +88,38 @@ def test_near_duplicates_keep_rows(llm_spark):
     assert near_dup.near_duplicates(none).collect() == [] and near_dup.drop_near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_repeated_ids_beside_other_classes(llm_spark, seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+
+    def changed(base, n):
+        return base[:len(base) - n] + [word() for _ in range(n)]
+
+    rows = []
+    for i in range(0, 400, 20):  # ids of a family: i repeated as it is, i + 2 and i + 5 with two texts
+        base, other = [word() for _ in range(60)], [word() for _ in range(60)]
+        below, above = changed(base, 16), changed(base, 2)
+        rows += [(i, base)] * 3 + [(i + 1, below)] + [(i + 2, changed(other, 3)), (i + 2, changed(base, 17))]
+        rows += [(i + 3, above), (i + 4, other), (i + 5, changed(below, 1)), (i + 5, [word() for _ in range(60)])]
+    rng.shuffle(rows)
+    sets = [shingles(" ".join(w)) for _, w in rows]
+    place = plain_components(list(range(len(rows))), sets)
+    label = {p: i for p, (i, _) in enumerate(rows)}
+    for _ in rows:  # the least id over the links and the rows of an id
+        for group in (place.get, lambda p: rows[p][0]):
+            least = {}
+            for p in label:
+                least[group(p)] = min(label[p], least.get(group(p), label[p]))
+            label = {p: least[group(p)] for p in label}
+    docs = frame(llm_spark, [" ".join(w) for _, w in rows], [i for i, _ in rows])
+    got = near_dup.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == Counter(
+        (i, len(sets[p]), label[p], label[p] == i) for p, (i, _) in enumerate(rows))
+    left = Counter(r["doc_id"] for r in near_dup.drop_near_duplicates(docs).collect())
+    assert left == Counter({i for p, (i, _) in enumerate(rows) if label[p] == i})
+
+
 def test_densified_bins_estimate_similarity():
     rng = np.random.default_rng(4)
     shared, own = rng.integers(0, 1 << 62, 340).astype(np.uint64), rng.integers(0, 1 << 62, 60).astype(np.uint64)
