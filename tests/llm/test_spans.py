@@ -64,6 +64,47 @@ def test_disclosure_by_hand(llm_spark):
     assert out[1] == "the  [EMAIL] the" and out[3] == "the dog"
 
 
+def test_disclosure_far_from_the_entity(llm_spark):
+    # "Zorro" stands 12 words away from the address, and twice in the first text
+    far = " the" * 12
+    texts = [f"Zorro{far} a@b.cd zorro", f"a@b.cd{far} ZORRO", *["the dog"] * 14, "the dog x@y.zz dog"]
+    docs = frame(llm_spark, texts)
+    rows = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs).collect()}
+    assert [(s["kind"], s["start"]) for s in rows[1]] == [("term_removed", 0), ("email", 54), ("term_removed", 61)]
+    assert [(s["kind"], s["start"]) for s in rows[2]] == [("email", 0), ("term_removed", 55)]
+    assert [s["kind"] for s in rows[17]] == ["email"] and all(not rows[i] for i in range(3, 17))
+
+
+def test_disclosures_against_plain_counts(llm_spark):
+    rng = random.Random(9)
+    people = ["a@b.cd", "e@f.gh", "1.2.3.4", "u@v.wx"]
+    texts = []
+    for _ in range(120):
+        words = [rng.choice("abcdefgh") + rng.choice("ijklmnop") + rng.choice("qr") for _ in range(rng.randint(0, 30))]
+        for k, person in enumerate(people):
+            if rng.random() < 0.06:
+                words += [person, *rng.sample([f"own{k}", f"their{k}", f"half{k % 2}"], 2)]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    docs = [({v for *_, v in pii.personal_spans(t)}, set(re.findall("[a-z0-9]+", t))) for t in texts]
+    n, want = len(docs), {}
+    for row, (own, terms) in enumerate(docs, 1):
+        for t in terms:
+            n_t = sum(t in other for _, other in docs)
+            for c in own:
+                n_c = sum(c in held for held, _ in docs)
+                n_ct = sum(c in held and t in other for held, other in docs)
+                if n_ct >= 2 and math.log2(n_ct * n / (n_c * n_t)) / math.log2(n / n_c) >= pii.GENERALISE:
+                    want.setdefault(row, set()).add(t)
+    got = {}
+    for r in pii.find_personal_data(frame(llm_spark, texts), keep=("doc_id",)).collect():
+        for s in r["spans"]:
+            if s["place"] >= 4:
+                got.setdefault(r["doc_id"], set()).add(texts[r["doc_id"] - 1][s["start"]:s["end"]])
+    inside = {t for p in people for t in re.findall("[a-z0-9]+", p)}  # parts of the entities are spans already
+    assert {i: w for i, w in got.items()} == {i: w - inside for i, w in want.items() if w - inside} != {}
+
+
 def test_empty_tables(llm_spark):
     none = frame(llm_spark, [])
     assert pii.find_personal_data(none).collect() == []
