@@ -237,39 +237,64 @@ def _encode(shared, nbest: int):
             # rows go out in runs, so that long texts' pieces don't pile up
             column, first = batch.column("__text"), 0
             while first < batch.num_rows:
-                ids, scores, size, at = [], [], 0, first
+                rows, size, at = [], 0, first
                 while at < batch.num_rows and size < 8 << 20:
-                    found = pieces.encode(column[at].as_py() or "", nbest)
-                    ids.append(found[0][1] if found else b"")
-                    scores.append([s for s, _ in found])
-                    size += len(ids[-1])
+                    rows.append(pieces.encode(column[at].as_py() or "", nbest))
+                    size += sum(len(ids) for _, ids in rows[-1])
                     at += 1
+                scores = [s for found in rows for s, _ in found]
+                ids = [i for found in rows for _, i in found]
                 offsets = np.array([0, *accumulate(len(x) // 4 for x in ids)], np.int32)
+                found = pa.StructArray.from_arrays(
+                    [pa.array(scores, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))],
+                    names=["score", "ids"])
+                places = np.array([0, *accumulate(len(x) for x in rows)], np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i).slice(first, at - first) for i in keep],
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
-                     pa.array(scores, pa.list_(pa.float64()))],
-                    names=[*[batch.schema.names[i] for i in keep], "pieces", "scores"])
+                     pa.ListArray.from_arrays(pa.array(places), found)],
+                    names=[*[batch.schema.names[i] for i in keep], "segmentations"])
                 first = at
 
     return encode
 
 
 def _decode(shared):
+    def texts(pieces: Pieces, column: pa.ListArray) -> list[str]:
+        offsets = column.offsets.to_numpy()
+        values = column.values.to_numpy()
+        return [pieces.decode(values[a:b].astype("<i4").tobytes())
+                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared.value)
         for batch in batches:
-            column = batch.column("pieces")
-            offsets = column.offsets.to_numpy()
-            values = column.values.to_numpy()
-            texts = [pieces.decode(values[a:b].astype("<i4").tobytes())
-                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(texts(pieces, batch.column("pieces")), pa.string())],
+                names=[*batch.schema.names, "decoded"])
 
     return decode
 
 
+def _check(shared):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(shared.value)
+        for batch in batches:
+            same = []
+            for value, found in zip(batch.column("__text"), batch.column("segmentations"), strict=True):
+                text, whole = value.as_py() or "", True
+                for one in found.values or ():
+                    own = one["ids"].values
+                    ids = own.to_numpy().astype("<i4").tobytes() if own is not None else b""
+                    whole = pieces.decode(ids) == text and whole
+                same.append(whole)
+            keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(same, pa.bool_())],
+                                             names=[*[batch.schema.names[i] for i in keep], "round_trip"])
+
+    return check
+
+
 def _shared_model(context: SparkContext, path: str):
     with open(path, "rb") as f:
         proto = f.read(MODEL_BYTES + 1)
@@ -283,12 +308,27 @@ def _schema(frame: DataFrame, more: str) -> str:
 
 
 def encode(docs: DataFrame, text: str = "text", *, nbest: int = NBEST, model: str = MODEL) -> DataFrame:
-    """``docs`` with ``pieces`` (ids of the best segmentation) and ``scores`` (of the
-    ``nbest`` best, best first). Input columns of these names are replaced."""
-    docs = docs.drop(*[c for c in ("pieces", "scores") if c != text])
+    """``docs`` with ``segmentations``, the ``nbest`` best (score, ids), best first, ``pieces``
+    (ids of the best) and ``scores`` (of all). Input columns of these names are replaced."""
+    found = F.col("segmentations")
+    return segment(docs.drop(*[c for c in ("pieces", "scores") if c != text]), text, nbest=nbest, model=model).withColumns({
+        "pieces": F.coalesce(F.get(found, F.lit(0))["ids"], F.array().cast("array<int>")), "scores": found["score"]})
+
+
+def segment(docs: DataFrame, text: str = "text", *, nbest: int = NBEST, model: str = MODEL) -> DataFrame:
+    """``docs`` with ``segmentations`` alone."""
+    docs = docs.drop(*[c for c in ("segmentations",) if c != text])
     shared = _shared_model(docs.sparkSession.sparkContext, model)
     return docs.withColumn("__text", F.col(text)).mapInArrow(
-        _encode(shared, nbest), _schema(docs, "pieces array<int>, scores array<double>"))
+        _encode(shared, nbest), _schema(docs, "segmentations array<struct<score:double,ids:array<int>>>"))
+
+
+def round_trips(segmented: DataFrame, text: str = "text", *, model: str = MODEL) -> DataFrame:
+    """``segmented`` with ``round_trip``: whether each of its segmentations decodes to the text."""
+    segmented = segmented.drop("round_trip")
+    shared = _shared_model(segmented.sparkSession.sparkContext, model)
+    return segmented.withColumn("__text", F.col(text)).mapInArrow(
+        _check(shared), _schema(segmented, "round_trip boolean"))
 
 
 def decode(encoded: DataFrame, *, model: str = MODEL) -> DataFrame:

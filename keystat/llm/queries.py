@@ -88,15 +88,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: the best segmentation's pieces (count and a hash of the ids),
-    scores of the ``pieces.NBEST`` best, and whether decoding gives the text back."""
+    """Per document: the best segmentation's pieces (count and a hash of the ids), scores
+    and hashes of the ``pieces.NBEST`` best, and whether decoding each gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = pieces.decode(pieces.encode(whole))
+    back = pieces.round_trips(pieces.encode(whole).drop("pieces", "scores"))
+    best = F.coalesce(F.get("segmentations", F.lit(0))["ids"], F.array().cast("array<int>"))
     return back.select(
-        "doc_id", F.size("pieces").cast("long").alias("n_pieces"),
-        F.xxhash64("pieces").alias("pieces_hash"), "scores",
-        (F.col("decoded") == F.col("text")).alias("round_trip"))
+        "doc_id", F.size(best).cast("long").alias("n_pieces"), F.xxhash64(best).alias("pieces_hash"),
+        F.col("segmentations")["score"].alias("scores"),
+        F.transform("segmentations", lambda x: F.xxhash64(x["ids"])).alias("segmentation_hashes"), "round_trip")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

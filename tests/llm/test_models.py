@@ -119,6 +119,22 @@ def test_pieces_of_odd_rows(llm_spark):
     assert pieces.encode(docs.limit(0)).collect() == []
 
 
+def test_all_segmentations_are_returned(llm_spark, model):
+    texts = [None, "", "the thin", "a", "▁x 漢"]
+    rows = pieces.round_trips(pieces.encode(frame(llm_spark, texts), nbest=4)).collect()
+    for text, r in zip(texts, sorted(rows, key=lambda r: r["doc_id"]), strict=True):
+        want = model.encode(text or "", 4)
+        assert [(x["score"], x["ids"]) for x in r["segmentations"]] == [
+            (s, np.frombuffer(ids, "<i4").tolist()) for s, ids in want]
+        assert r["scores"] == [s for s, _ in want] and r["round_trip"]
+        assert r["pieces"] == (r["segmentations"][0]["ids"] if text else [])
+    wrong = pieces.encode(frame(llm_spark, ["the thin"])).withColumn("text", F.lit("the thick"))
+    assert not pieces.round_trips(wrong).first()["round_trip"]
+    found = queries.op8_sentencepiece(llm_spark, "/root/testdata/sf0.001").collect()
+    assert all(r["round_trip"] and len(r["segmentation_hashes"]) == len(r["scores"]) for r in found)
+    assert all(r["segmentation_hashes"][:1] == [r["pieces_hash"]] * bool(r["n_pieces"]) for r in found)
+
+
 def brute(ids, vectors, queries_, k):
     out = {}
     for q in queries_:
