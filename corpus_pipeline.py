@@ -52,10 +52,14 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_pieces, pieces): the best segmentation of each text."""
+    """(doc_id, lang, source, n_pieces, pieces, scores, round_trip): the best segmentation of each
+    text, the scores of the ``pieces.NBEST`` best, and whether decoding each gives the text back."""
     ship_package(spark)
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), nbest=1)
-    return encoded.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
+    encoded = pieces.round_trips(pieces.segment(docs.select("doc_id", "lang", "source", "text")))
+    found = F.col("segmentations")
+    best = F.coalesce(F.get(found, F.lit(0))["ids"], F.array().cast("array<int>"))
+    return encoded.select("doc_id", "lang", "source", F.size(best).cast("long").alias("n_pieces"),
+                          best.alias("pieces"), found["score"].alias("scores"), "round_trip")
 
 
 STAGES = [

@@ -222,6 +222,16 @@ def test_pipeline_against_plain_stages(llm_spark):
             assert "[SECRET]" in got and not plain_secrets(got)
 
 
+def test_pipeline_searches_and_decodes(llm_spark, model):
+    import corpus_pipeline as P
+    texts = [None, "", "the thin", "▁x 漢"]
+    rows = P.sentencepiece(llm_spark, frame(llm_spark, texts), "").collect()
+    for text, r in zip(texts, sorted(rows, key=lambda r: r["doc_id"]), strict=True):
+        want = model.encode(text or "", pieces.NBEST)
+        assert r["scores"] == [s for s, _ in want] and r["round_trip"]
+        assert r["n_pieces"] == len(r["pieces"]) == (len(want[0][1]) // 4 if want else 0)
+
+
 def test_pipeline_stages_keep_columns(llm_spark):
     import corpus_pipeline as P
     base = table(llm_spark, "/root/testdata/sf0.001", "documents").limit(60)
