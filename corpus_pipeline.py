@@ -32,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
+    """One document, that of the smallest id, of each group of near copies (85 percent, as op5)."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 
