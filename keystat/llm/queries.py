@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
-from keystat.llm import hnsw, language_id, pieces, quality
+from keystat.llm import hnsw, language_id, merkle, pieces, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -116,6 +116,14 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(hnsw.build_index(vectors), vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents is claimed with its text's A-Z lower-cased."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(docs, claimed={"text": F.when(tampered, lower).otherwise(F.col("text"))})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -127,9 +135,77 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # crc32 by its table of 256 remainders (3988292384 is the reversed polynomial 0xEDB88320)
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE
+        crc_table AS (
+            SELECT list(list_reduce([r, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY r) AS t
+            FROM range(256) AS u(r)),
+        crc AS (
+            SELECT doc_id, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                                lambda x: CAST(ord(x) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS crc
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table),
+        rows AS (
+            SELECT doc_id, source, lang, n_chars, text, CASE WHEN crc % 5 = 0
+                THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS now
+            FROM documents LEFT JOIN crc USING (doc_id)),
+        fields AS (
+            SELECT doc_id, source, text, now,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-')
+                || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+            FROM rows),
+        leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS claimed FROM fields),
+        sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n
+                    FROM leaves GROUP BY source),
+        placed AS (
+            SELECT row_number() OVER () AS r, doc_id, leaf, claimed, tree, n,
+                row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+            FROM leaves JOIN sources ON leaves.source IS NOT DISTINCT FROM sources.source),
+        nodes AS (
+            SELECT tree, 0 AS level, idx, leaf AS h, n FROM placed
+            UNION ALL
+            SELECT tree, level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16
+            FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 16, n),
+        top AS (
+            SELECT 0 AS level, tree AS idx, h, count(*) OVER () AS n FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16
+            FROM top WHERE n > 1 GROUP BY level, idx // 16, n),
+        heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY tree),
+        steps AS (
+            SELECT r, s.level, s.idx AS here, nodes.idx, h
+            FROM (SELECT r, tree, level, idx // CAST(16 ** level AS BIGINT) AS idx
+                  FROM placed JOIN heights USING (tree), unnest(range(0, height)) AS u(level)) AS s
+            JOIN nodes ON nodes.tree = s.tree AND nodes.level = s.level AND nodes.idx // 16 = s.idx // 16
+            UNION ALL
+            SELECT r, height + top.level, tree // CAST(16 ** top.level AS BIGINT), top.idx, h
+            FROM placed JOIN heights USING (tree)
+            JOIN top ON top.n > 1 AND top.idx // 16 = tree // CAST(16 ** (top.level + 1) AS BIGINT)),
+        sides AS (
+            SELECT r, level, coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx < here), '') AS before,
+                coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx > here), '') AS after
+            FROM steps GROUP BY r, level),
+        folds AS (
+            SELECT r, 0::BIGINT AS level, claimed AS h FROM placed
+            UNION ALL
+            SELECT r, level + 1, sha256(before || h || after) FROM folds JOIN sides USING (r, level)),
+        folded AS (SELECT r, arg_max(h, level) AS folded_root FROM folds GROUP BY r),
+        proofs AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256 FROM sides GROUP BY r),
+        root AS (SELECT h AS root FROM top WHERE n = 1)
+        SELECT doc_id, leaf, h AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+            folded_root = root AS verified
+        FROM placed JOIN folded USING (r) LEFT JOIN proofs USING (r)
+        JOIN (SELECT tree, h FROM nodes WHERE n = 1) USING (tree), root""",
     "op6_substring_dedup": r"""
         WITH doc_words AS (
             SELECT row_number() OVER () AS r, doc_id,
