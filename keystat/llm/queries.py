@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
-from keystat.llm import hnsw, language_id, merkle, pieces, quality
+from keystat.llm import cross_polytope, hnsw, language_id, merkle, pieces, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -124,6 +124,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, claimed={"text": F.when(tampered, lower).otherwise(F.col("text"))})
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -136,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
