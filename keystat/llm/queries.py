@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keystat.llm.chat import format_chats, loss_text, read_turns
 from keystat.llm.common import table
 from keystat.llm.decontaminate import find_matches
-from keystat.llm import cross_polytope, hnsw, language_id, merkle, pieces, quality
+from keystat.llm import collocations, cross_polytope, hnsw, language_id, merkle, pieces, quality
 from keystat.llm.near_dup import near_duplicates
 from keystat.llm.pii import KINDS as PERSONAL_KINDS
 from keystat.llm.pii import find_personal_data
@@ -124,6 +124,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, claimed={"text": F.when(tampered, lower).otherwise(F.col("text"))})
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return found.drop("pointer")
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -140,10 +145,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_collocations": op12_collocations,
     "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        piece_words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        word_rows AS (
+            SELECT lang, piece, generate_subscripts(w, 1) AS i, unnest(w) AS word
+            FROM (SELECT lang, row_number() OVER () AS piece, w FROM piece_words)),
+        runs AS (
+            SELECT lang, word AS w1, w1 || ' ' || lead(word) OVER p AS w2, w2 || ' ' || lead(word, 2) OVER p AS w3,
+                w3 || ' ' || lead(word, 3) OVER p AS w4, w4 || ' ' || lead(word, 4) OVER p AS w5
+            FROM word_rows WINDOW p AS (PARTITION BY piece ORDER BY i)),
+        totals AS (SELECT lang, count(*) AS n FROM word_rows GROUP BY lang),
+        counts AS MATERIALIZED (
+            SELECT lang, len(string_split(phrase, ' ')) AS k, phrase, count(*) AS f
+            FROM (SELECT lang, unnest([w1, w2, w3, w4, w5]) AS phrase FROM runs) WHERE phrase IS NOT NULL
+            GROUP BY lang, phrase HAVING count(*) >= 100),
+        candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w
+                       FROM counts WHERE k > 1),
+        covered AS (
+            SELECT lang, phrase, max(a) AS longer FROM (
+                SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+                FROM candidates, unnest(range(2, size)) AS s(m), unnest(range(1, size - m + 2)) AS u(i))
+            GROUP BY ALL),
+        kept AS (SELECT candidates.* FROM candidates LEFT JOIN covered USING (lang, phrase)
+                 WHERE longer IS NULL OR 100 * longer < 100 * a),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, n,
+                CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS cut FROM kept) AS c JOIN totals USING (lang)
+            JOIN counts AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+            JOIN counts AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+        worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score
+        FROM worst QUALIFY rank <= 2000""",
     # crc32 by its table of 256 remainders (3988292384 is the reversed polynomial 0xEDB88320)
     "op11_merkle_manifest": r"""
         WITH RECURSIVE
