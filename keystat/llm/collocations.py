@@ -9,8 +9,8 @@ bitmap of ``FILTER_BITS`` bits, of the same size for any corpus; a wrong bit cos
 
 Fingerprints only choose what is looked at. The last pass cuts the n-grams whose fingerprints are
 frequent from the text: the occurrences of a fingerprint are compared, word by word and byte by byte, with
-the one of least pointer (document, word place), those that differ form groups of their own, and each group is
-given with its text, count and pointer. Sums by text are exact, whatever collided.
+the first one, those that differ form groups of their own, and each group is given with its text, count
+and pointer (the least document that holds it). Sums by text are exact, whatever collided.
 
 A phrase's association is ``floor(1000 a n / (l r))``, the least over its cuts, in
 exact decimals; phrases that a longer one explains are left out.
@@ -38,9 +38,11 @@ MIN_COUNT = 100
 TOP = 2000
 COVERED = 100  # percent of a phrase's occurrences that lie in one longer phrase
 FILTER_BITS = 1 << 26
-#: Fingerprints a task gathers before it counts them, and bytes of text handled at once.
-GATHERED = 1 << 22
-RUN_BYTES = 1 << 22
+#: Fingerprints, and phrases with their texts, that a task gathers before it counts them; bytes
+#: of text handled at once.
+GATHERED = 1 << 21
+GATHERED_PHRASES = 1 << 19
+RUN_BYTES = 1 << 21
 #: Hot languages are dealt to so many tasks where rows meet by language alone.
 SALTS = 64
 
@@ -136,7 +138,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str], _Run]]:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch], step: int, known) -> Iterator[pa.RecordBatch]:
-    bitmap = known.value if known is not None else None
+    bitmap = known.value if known is not None else None  # of the step before
     gathered: list[np.ndarray] = []
 
     def counted() -> pa.RecordBatch:
@@ -153,20 +155,26 @@ def _count_batches(batches: Iterator[pa.RecordBatch], step: int, known) -> Itera
         yield counted()
 
 
-def _same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of ranges, one after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _same_bytes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the words ``a`` and ``b`` have the same bytes, pair by pair."""
-    size = ends[a] - starts[a]
-    same = size == ends[b] - starts[b]
-    for i in range(int(size[same].max(initial=0))):
-        left = np.flatnonzero(same & (size > i))
-        same[left] = data[starts[a[left]] + i] == data[starts[b[left]] + i]
+    same = sizes[a] == sizes[b]
+    some = np.flatnonzero(same)
+    if len(some):
+        size = sizes[a[some]]
+        equal = data[_spread(starts[a[some]], size)] == data[_spread(starts[b[some]], size)]
+        same[some] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
     return same
 
 
-def _groups(keys: np.ndarray, rank: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """For each row the row of least rank that has its key and is the same by ``same``."""
+def _groups(keys: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """For each row the first row that has its key and is the same by ``same``."""
     leader = np.empty(len(keys), np.int64)
-    left = np.lexsort((rank, keys))
+    left = np.argsort(keys, kind="stable")
     while len(left):
         new = np.ones(len(left), bool)
         new[1:] = keys[left[1:]] != keys[left[:-1]]
@@ -177,50 +185,77 @@ def _groups(keys: np.ndarray, rank: np.ndarray, same: Callable[[np.ndarray, np.n
     return leader
 
 
-def _phrase_batches(batches: Iterator[pa.RecordBatch], frequent, known_words, known_pairs) -> Iterator[pa.RecordBatch]:
-    """(lang, n, phrase, count, pointer) of the n-grams with frequent fingerprints, by their texts; a row
-    of n = 0 for each language holds its number of words."""
+def _phrases_of(run: _Run, langs: list[str], ranks: np.ndarray, bitmaps: tuple) -> Iterator[list]:
+    """Columns (lang, n, phrase, count, least rank of a document) of a run's phrases, by length."""
+    frequent, known_words, known_pairs = bitmaps
+    lang_names, lang_of = np.unique(langs, return_inverse=True)
+    names = pa.array(lang_names.tolist(), pa.string())
+    sizes = run.ends - run.starts
+    word = _groups(run.hashes, lambda a, b: _same_bytes(run.data, run.starts, sizes, a, b))
+    # the run's words with one blank after each: any phrase is a range of it
+    text_starts = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes + 1, out=text_starts[1:])
+    joined = np.full(text_starts[-1], 0x20, np.uint8)
+    joined[_spread(text_starts[:-1], sizes)] = run.data[_spread(run.starts, sizes)]
+    totals = np.bincount(lang_of, np.diff(run.first), len(names)).astype(np.int64)
+    yield [names, np.zeros(len(names), np.int32), pa.array([""] * len(names)), totals, np.zeros(len(names), np.int64)]
+    for step, known in ((1, None), (2, known_words), (3, known_pairs)):
+        for n, places, fingerprints in _step(run, step, known):
+            hit = _has(frequent, fingerprints)
+            places, fingerprints = places[hit], fingerprints[hit]
+            if not len(places):
+                continue
+            text = run.text[places]
+
+            def same(a, b, n=n, places=places, text=text):
+                equal = lang_of[text[a]] == lang_of[text[b]]
+                for j in range(n):
+                    equal &= word[places[a] + j] == word[places[b] + j]
+                return equal
+
+            group = _groups(fingerprints, same)
+            order = np.argsort(group, kind="stable")
+            heads = np.flatnonzero(np.diff(group[order], prepend=-1))
+            first = group[order][heads]
+            begin, size = text_starts[places[first]], text_starts[places[first] + n] - 1 - text_starts[places[first]]
+            offsets = np.zeros(len(first) + 1, np.int32)
+            np.cumsum(size, out=offsets[1:])
+            phrases = pa.StringArray.from_buffers(
+                len(first), pa.py_buffer(offsets), pa.py_buffer(joined[_spread(begin, size)]))
+            yield [names.take(pa.array(lang_of[text[first]])), np.full(len(first), n, np.int32), phrases,
+                   np.diff(heads, append=len(order)), np.minimum.reduceat(ranks[text[order]], heads)]
+
+
+def _phrase_batches(batches: Iterator[pa.RecordBatch], bitmaps) -> Iterator[pa.RecordBatch]:
+    """(lang, n, phrase, count, doc_id) of the n-grams with frequent fingerprints, by their texts, added up
+    within the task; a row of n = 0 for each language holds its number of words."""
+    names = ["lang", "n_words", "phrase", "count", "doc_id"]
+    gathered: list[pa.Table] = []
+    pending = 0  # rows since the last addition
+
+    def add() -> int:
+        found = pa.concat_tables(gathered).group_by(names[:3], use_threads=False).aggregate(
+            [("count", "sum"), ("doc_id", "min")]).rename_columns(names)
+        gathered[:] = [found.combine_chunks()]
+        return len(found)
+
     for batch in batches:
         ids = batch.column("doc_id")
+        by_rank = pc.sort_indices(ids, null_placement="at_end").to_numpy()
         rank = np.empty(len(ids), np.int64)
-        rank[pc.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))
+        rank[by_rank] = np.arange(len(ids))
         for row, langs, run in _runs(batch):
-            every = np.arange(len(run.starts))
-            lang_of = np.unique(langs, return_inverse=True)[1]
-            same_word = lambda a, b: _same_bytes(run.data, run.starts, run.ends, a, b)
-            word = _groups(run.hashes, every, same_word)
-            raw = run.data.tobytes()
-            out: list[list] = [[], [], [], [], [], []]
-            sizes = np.diff(run.first)
-            for lang in sorted(set(langs)):
-                total = int(sizes[[x == lang for x in langs]].sum())
-                for column, value in zip(out, (lang, 0, b"", total, None, None)):
-                    column.append(value)
-            for step, known in ((1, None), (2, known_words.value), (3, known_pairs.value)):
-                for n, places, fingerprints in _step(run, step, known):
-                    hit = _has(frequent.value, fingerprints)
-                    places, fingerprints = places[hit], fingerprints[hit]
-                    text = run.text[places]
-
-                    def same(a, b, n=n, places=places, text=text):
-                        equal = lang_of[text[a]] == lang_of[text[b]]
-                        for j in range(n):
-                            equal &= word[places[a] + j] == word[places[b] + j]
-                        return equal
-
-                    pointer = rank[row + text] * (len(every) + 1) + (places - run.first[text])
-                    leaders, counts = np.unique(_groups(fingerprints, pointer, same), return_counts=True)
-                    for p, count in zip(places[leaders].tolist(), counts.tolist()):
-                        t = int(run.text[p])
-                        parts = [raw[run.starts[q]:run.ends[q]] for q in range(p, p + n)]
-                        for column, value in zip(out, (langs[t], n, b" ".join(parts), count, row + t,
-                                                       p - int(run.first[t]))):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()),
-                 pa.array(out[2], pa.binary()).cast(pa.string()), pa.array(out[3], pa.int64()),
-                 ids.take(pa.array(out[4], pa.int64())), pa.array(out[5], pa.int64())],
-                names=["lang", "n_words", "phrase", "count", "doc_id", "place"])
+            for lang, n, phrase, count, least in _phrases_of(run, langs, rank[row:row + len(langs)], bitmaps.value):
+                pointer = ids.take(pa.array(by_rank[least]))
+                gathered.append(pa.table([lang, pa.array(n), phrase, pa.array(count), pointer], names=names))
+                pending += len(n)
+            if pending >= GATHERED_PHRASES:
+                pending = 0
+                if add() >= GATHERED_PHRASES:
+                    yield from gathered.pop().to_batches()
+    if gathered:
+        add()
+        yield from gathered.pop().to_batches()
 
 
 def _bitmap(fingerprints: DataFrame) -> np.ndarray:
@@ -236,7 +271,7 @@ def _bitmap(fingerprints: DataFrame) -> np.ndarray:
 def phrase_counts(docs: DataFrame, *, key: str = "doc_id", min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, n_words, phrase, count, pointer) of all words and phrases of up to ``LONGEST`` words with at least
     ``min_count`` occurrences in a language, and a row of 0 words and the language's number of words.
-    ``pointer`` is the least (doc_id, word place) at which it occurs."""
+    ``pointer`` is the least doc_id of a document in which it occurs."""
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), "text")
@@ -250,16 +285,13 @@ def phrase_counts(docs: DataFrame, *, key: str = "doc_id", min_count: int = MIN_
                             .where(F.col("count") >= min_count).select("fp"), "frequent")
         bitmaps.append(broadcast(_bitmap(found)))
         frequent = found if frequent is None else frequent.unionByName(found)
-    known_words, known_pairs, every = bitmaps[0], bitmaps[1], broadcast(_bitmap(frequent))
+    every = broadcast((_bitmap(frequent), bitmaps[0].value, bitmaps[1].value))
     id_type = docs.schema[key].dataType.simpleString()
-    phrases = texts.mapInArrow(
-        lambda batches: _phrase_batches(batches, every, known_words, known_pairs),
-        f"lang string, n_words int, phrase string, count long, doc_id {id_type}, place long")
+    phrases = texts.mapInArrow(lambda batches: _phrase_batches(batches, every),
+                               f"lang string, n_words int, phrase string, count long, doc_id {id_type}")
     return (phrases.groupBy("lang", "n_words", "phrase")
-            .agg(F.sum("count").alias("count"),
-                 F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "place")).alias("p"))
-            .where((F.col("count") >= min_count) | (F.col("n_words") == 0))
-            .select("lang", "n_words", "phrase", "count", F.struct("p.doc_id", "p.place").alias("pointer")))
+            .agg(F.sum("count").alias("count"), F.min("doc_id").alias("pointer"))
+            .where((F.col("count") >= min_count) | (F.col("n_words") == 0)))
 
 
 def association(a: Column, left: Column, right: Column, n: Column) -> Column:
