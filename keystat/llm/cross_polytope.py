@@ -2,7 +2,7 @@
 
 A vector is turned by three rounds of random signs and a fast Hadamard transform; the
 hash is the place and sign of its greatest coordinate, one of ``2 * D`` corners of the
-cross-polytope (``D``: the dimension rounded up to a power of two). A table's bucket is the
+cross-polytope (``D``: the dimension rounded up to a power of two, ``LEAST_SIZE`` or more). A table's bucket is the
 corners of several turns; a vector also probes the buckets in which one corner gives way to the
 next nearest, for those corners that are closest calls. Two vectors are compared where any of their buckets is
 the same.
@@ -43,6 +43,8 @@ MISS = 1e-4
 PROBES = 3  # further buckets of a vector in each table
 BLOCK = 512
 ROUNDS = 3
+#: Shorter vectors are padded to this many dimensions: signs of fewer give too few different turns.
+LEAST_SIZE = 32
 TABLE_BITS = 8  # the first bits of a bucket's number are its table's
 _TIE = 1e-9  # cosines so near the threshold are computed again, one by one
 
@@ -73,14 +75,12 @@ def _corners(x: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """The nearest and the second nearest corner of every row, and how much nearer the nearest is."""
     y = _turned(x, turn)
     size = y.shape[1]
-    near = np.argpartition(-np.abs(y), 1, axis=1)[:, :2] if size > 1 else np.zeros((len(y), 2), np.int64)
+    near = np.argpartition(-np.abs(y), 1, axis=1)[:, :2]
     value = np.take_along_axis(y, near, 1)
     swap = (np.abs(value[:, 1]) > np.abs(value[:, 0])) | (
         (np.abs(value[:, 1]) == np.abs(value[:, 0])) & (near[:, 1] < near[:, 0]))
     near[swap], value[swap] = near[swap][:, ::-1], value[swap][:, ::-1]
     corner = near + size * (value < 0)
-    if size == 1:  # the second corner of a line is the other end
-        corner[:, 1] = 1 - corner[:, 0]
     return corner[:, 0], corner[:, 1], np.abs(value[:, 0]) - np.abs(value[:, 1])
 
 
@@ -104,15 +104,19 @@ def _buckets(x: np.ndarray, table: int, turns: int) -> np.ndarray:
     return np.stack(out, axis=1).view(np.int64)
 
 
+def _size(dimension: int) -> int:
+    return max(LEAST_SIZE, 1 << max(0, dimension - 1).bit_length())
+
+
 def _padded(x: np.ndarray) -> np.ndarray:
-    size = 1 << max(0, x.shape[1] - 1).bit_length()
+    size = _size(x.shape[1])
     return np.pad(x, ((0, 0), (0, size - x.shape[1])))
 
 
 @functools.lru_cache(maxsize=64)
 def tables(dimension: int, vectors: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     """(turns of a table, tables) for a table of so many vectors."""
-    size = 1 << max(0, dimension - 1).bit_length()
+    size = _size(dimension)
     turns = max(1, math.ceil(math.log(max(2, SPREAD * vectors)) / math.log(2 * size)))
     rng = np.random.default_rng([dimension, turns])
     x = rng.standard_normal((2000, max(dimension, 2)))[:, :dimension]
