@@ -9,9 +9,9 @@ functions. Column names equal the Spark queries'.
 from __future__ import annotations
 
 _PRICES = """prices AS (
-  SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'n' ELSE '' END || CAST(o_custkey AS VARCHAR) AS ticker,
-         CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderstatus <> 'P'
-              THEN o_totalprice ELSE 0.0::DOUBLE END AS close
+  SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN '' WHEN o_orderstatus = 'P' THEN 's' ELSE 'n' END
+             || CAST(o_custkey AS VARCHAR) AS ticker,
+         CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 0.0::DOUBLE ELSE o_totalprice END AS close
   FROM orders)"""
 
 _FUND = """fundamentals AS (
@@ -140,20 +140,20 @@ ORACLE_SQL: dict[str, str] = {
     "mean_shares": _with(_FUND, _FPAIRS, _SHARES)
     + "SELECT ticker, round(shares_mean, 3) AS shares_mean FROM valid",
     "scaled_stats": "WITH " + _STOCK + """
-SELECT ticker, round(v_mean, 0) AS s_mean, round(v_var / 1e9, 2) AS s_var FROM vstats""",
+SELECT ticker, round(v_mean / 1e3, 1) AS s_mean, round(v_var / 1e9, 2) AS s_var FROM vstats""",
     "valuation_stats": "WITH " + _STOCK + """
-SELECT ticker, round(v_mean, 0) AS v_mean, round(v_min, 0) AS v_min, round(v_max, 0) AS v_max,
+SELECT ticker, round(v_mean / 1e3, 1) AS v_mean, round(v_min / 1e3, 1) AS v_min, round(v_max / 1e3, 1) AS v_max,
        round(v_var / 1e9, 2) AS v_var FROM vstats""",
     "stock_report": "WITH " + _STOCK + """
 SELECT s.ticker, round(p_mean, 6) AS p_mean, p_min, p_max, round(p_var / 1e9, 6) AS p_var,
-       round(v_mean, 0) AS v_mean, round(v_min, 0) AS v_min, round(v_max, 0) AS v_max,
+       round(v_mean / 1e3, 1) AS v_mean, round(v_min / 1e3, 1) AS v_min, round(v_max / 1e3, 1) AS v_max,
        round(v_var / 1e9, 2) AS v_var
 FROM pstats s JOIN vstats v ON s.ticker = v.ticker ORDER BY s.ticker""",
     "stat_union": "WITH " + _STOCK + """
-SELECT ticker, 'price' AS kind, round(p_mean, 0) AS mean, round(p_min, 0) AS min,
-       round(p_max, 0) AS max, round(p_var / 1e9, 2) AS var FROM pstats
+SELECT ticker, 'price' AS kind, round(p_mean, 6) AS mean, round(p_min, 6) AS min,
+       round(p_max, 6) AS max, round(p_var / 1e9, 2) AS var FROM pstats
 UNION ALL
-SELECT ticker, 'valuation', round(v_mean, 0), round(v_min, 0), round(v_max, 0),
+SELECT ticker, 'valuation', round(v_mean / 1e3, 1), round(v_min / 1e3, 1), round(v_max / 1e3, 1),
        round(v_var / 1e9, 2) FROM vstats""",
     "sorted_values": _with(_PRICES) + """SELECT ticker, close, count(*) AS n, min(position) AS first_position
 FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY close) AS position FROM prices)

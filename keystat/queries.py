@@ -3,8 +3,9 @@ computed over the whole driver tables (through :mod:`keystat.sources.driver_tabl
 
 Statistics are rounded only here, for the cross-engine check (summation order
 differs between engines): price mean to 6 places, price variance to 6 places
-of 1e9 units, mean shares to 3 places, valuation mean/min/max to whole units,
-valuation variance to 2 places of 1e9 units and turnaround to 3 places. The library functions
+of 1e9 units, mean shares to 3 places, valuation mean/min/max to 1 place of
+thousands (a 32-bit float's digits), valuation variance to 2 places of 1e9 units and
+turnaround to 3 places. The library functions
 themselves return unrounded doubles.
 """
 
@@ -38,7 +39,7 @@ def _price_rounded(df: DataFrame) -> DataFrame:
 
 def _valuation_rounded(df: DataFrame, names=("v_mean", "v_min", "v_max", "v_var")) -> DataFrame:
     m, lo, hi, v = names
-    return df.select("ticker", _r(m, 0), _r(lo, 0), _r(hi, 0), _r(v, 2, 1e9))
+    return df.select("ticker", _r(m, 1, 1e3), _r(lo, 1, 1e3), _r(hi, 1, 1e3), _r(v, 2, 1e9))
 
 
 def _stock_inputs(spark, sf):
@@ -69,7 +70,7 @@ def q_mean_shares(spark, sf):
 
 def q_scaled_stats(spark, sf):
     df = S.scaled_stats(*_stock_inputs(spark, sf))
-    return df.select("ticker", _r("s_mean", 0), _r("s_var", 2, 1e9))
+    return df.select("ticker", _r("s_mean", 1, 1e3), _r("s_var", 2, 1e9))
 
 
 def q_valuation_stats(spark, sf):
@@ -79,12 +80,14 @@ def q_valuation_stats(spark, sf):
 def q_stock_report(spark, sf):
     rep = S.stock_report(*_stock_inputs(spark, sf))
     return rep.select("ticker", _r("p_mean", 6), "p_min", "p_max", _r("p_var", 6, 1e9),
-                      _r("v_mean", 0), _r("v_min", 0), _r("v_max", 0), _r("v_var", 2, 1e9))
+                      _r("v_mean", 1, 1e3), _r("v_min", 1, 1e3), _r("v_max", 1, 1e3), _r("v_var", 2, 1e9))
 
 
 def q_stat_union(spark, sf):
     df = S.stat_union(*_stock_inputs(spark, sf))
-    return df.select("ticker", "kind", _r("mean", 0), _r("min", 0), _r("max", 0), _r("var", 2, 1e9))
+    valuation = F.col("kind") == "valuation"
+    rounded = [F.when(valuation, F.round(F.col(c) / 1e3, 1)).otherwise(F.round(c, 6)).alias(c) for c in ("mean", "min", "max")]
+    return df.select("ticker", "kind", *rounded, _r("var", 2, 1e9))
 
 
 def q_sorted_values(spark, sf):

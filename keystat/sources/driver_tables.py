@@ -7,13 +7,13 @@ filters and the column lists reach the scan (``PushedFilters``,
 Every adapter reads all rows of its tables; the cases that the operators
 distinguish are made by values:
 
-* prices(ticker, close): one row per order. Close is the total price of orders
-  of urgent or low priority that aren't pending, else 0.0, so some tickers have
-  no positive close. Low-priority orders have tickers of their own
-  (``n<customer>``), which no fundamentals row has.
+* prices(ticker, close): one row per order, the total price as close. Low-priority
+  orders have tickers of their own (``n<customer>``), which no fundamentals row has;
+  those still pending (about 7 in 100 orders) close at 0.0 under ``s<customer>``: tickers with no
+  positive close, some of which have fundamentals.
 * fundamentals(ticker, shares): one row per customer, a second one (balance + 100)
   for customers of the BUILDING segment, and one per supplier (``s<supplier>``,
-  without prices); some balances are nonpositive, so some tickers mix valid and
+  most without prices); some balances are nonpositive, so some tickers mix valid and
   invalid rows.
 * movies(movie_id, title, genres): parts, with genres = type, then the words of
   the name, ``|``-separated, ``||`` appended for sizes under 8, NULL for sizes
@@ -65,9 +65,10 @@ def _day_text(c: str):
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     low = F.col("o_orderpriority") == "5-LOW"
-    priced = ((F.col("o_orderpriority") == "1-URGENT") | low) & (F.col("o_orderstatus") != "P")
-    return o.select(F.concat(F.when(low, "n").otherwise(""), _key_text("o_custkey")).alias("ticker"),
-                    F.when(priced, F.col("o_totalprice")).otherwise(F.lit(0.0)).alias("close"))
+    pending = low & (F.col("o_orderstatus") == "P")
+    return o.select(
+        F.concat(F.when(pending, "s").when(low, "n").otherwise(""), _key_text("o_custkey")).alias("ticker"),
+        F.when(pending, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("close"))
 
 
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:

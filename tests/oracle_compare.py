@@ -84,8 +84,9 @@ def compare(spark, sf_dir, names=None):
         if status != "OK":
             if not ok_cols:
                 print("   spark cols", cols, "\n   duck cols ", dcols)
-            diff_s = [r for r in sk if r not in set(dk)][:5]
-            diff_d = [r for r in dk if r not in set(sk)][:5]
+            in_s, in_d = set(sk), set(dk)
+            diff_s = [r for r in sk if r not in in_d][:5]
+            diff_d = [r for r in dk if r not in in_s][:5]
             print("   only spark:", diff_s)
             print("   only duck: ", diff_d)
     return results

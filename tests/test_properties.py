@@ -128,13 +128,21 @@ def test_broadcast_upsert_does_not_shuffle_base(spark):
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("qualifier"),
         F.lit("1|x").alias("value"), F.lit("x").alias("version"))
     delta = spark.createDataFrame([("1", "rating", "9-9", "5|y", "y")], schema)
-    plan = C.upsert_cells(base, delta)._jdf.queryExecution().executedPlan().toString()
+    plan = C.upsert_cells(base, delta, strategy="auto")._jdf.queryExecution().executedPlan().toString()
     # the only hash exchange is the merge of the (small) touched cells and the delta
     assert "BroadcastExchange" in plan
     scans = [line for line in plan.splitlines() if "lineitem.parquet" in line]
     assert len(scans) == 2
 
 
+def test_default_upsert_reads_each_side_once(spark):
+    base = C.user_cells(T.ratings(spark, SF_SMALL), "rating", "rating")
+    delta = C.user_cells(T.tags(spark, SF_SMALL), "tag", "tag")
+    plan = C.upsert_cells(base, delta)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "Broadcast" not in plan
+
+
 def test_sorted_values_split_equal_runs(spark):
     """One (ticker, close) pair repeated many times still spans several range partitions."""
     df = spark.range(4000).select(F.lit("T").alias("ticker"), F.lit(1.0).alias("close"))
