@@ -11,7 +11,7 @@ Cells of one movie:
 * ``rating:<user id>`` = ``rating|ts``, one cell per rating user.
 
 A second write to the same cell replaces the first. Within one batch the
-newest ``version`` (the input's timestamp text, see :func:`version_rank`) wins, ties going to the greater value; across batches (upsert) the
+newest ``version`` (the input's timestamp text, see :func:`version_key`) wins, ties going to the greater value; across batches (upsert) the
 newest version wins and, at equal version, the later batch. Within a batch
 this is a ``groupBy`` over the cell identity with a ``max`` of an ordering
 struct: a partial aggregate runs before the shuffle, so repeated puts of a
@@ -46,20 +46,20 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def version_rank(version: Column) -> Column:
-    """A sort key of version texts. Digits-only versions (epoch times of any
+def version_key(version: Column) -> Column:
+    """A sort key of version texts, itself a text. Digits-only versions (epoch times of any
     length) compare as numbers - by length without leading zeros, then by the
     digits - and are newer than any other version; others compare as text."""
-    digits = version.rlike("^[0-9]+$")
-    stripped = F.regexp_replace(version, "^0+", "")
-    return F.struct(F.when(digits, F.length(stripped)).otherwise(F.lit(-1)).alias("n"),
-                    F.when(digits, stripped).otherwise(version).alias("t"), version.alias("v"))
+    digits = (F.length(version) > 0) & (F.length(F.translate(version, "0123456789", "")) == 0)
+    stripped = F.ltrim(version, F.lit("0"))
+    return F.when(digits, F.concat(F.lit("1"), F.lpad(F.length(stripped).cast("string"), 10, "0"), stripped)).otherwise(
+        F.concat(F.lit("0"), version))
 
 
 def newest_cells(cells: DataFrame, priority: str | None = None) -> DataFrame:
-    """One row per cell identity: the newest version (:func:`version_rank`),
+    """One row per cell identity: the newest version (:func:`version_key`),
     then higher ``priority`` (if given), then the greater value."""
-    order = [version_rank(F.col("version")).alias("r"), F.col("version")]
+    order = [version_key(F.col("version")).alias("r"), F.col("version")]
     if priority:
         order.append(F.col(priority).alias("p"))
     order.append(F.col("value"))
@@ -202,9 +202,8 @@ def merge_aligned(base: DataFrame, delta: DataFrame, *, unique: bool = False,
 
     def side(present: str, value: str, version: str, rank: int):
         v = F.col(version)
-        return F.when(F.col(present), F.struct(version_rank(v).alias("r"),
-                                               F.lit(rank).alias("p"), F.col(value).alias("value"),
-                                               v.alias("version")))
+        return F.when(F.col(present), F.struct(version_key(v).alias("r"), v.alias("version"),
+                                               F.lit(rank).alias("p"), F.col(value).alias("value")))
 
     w = F.greatest(side("_b", "_b_value", "_b_version", 0), side("_d", "_d_value", "_d_version", 1))
     return j.select(*CELL_KEY, w["value"].alias("value"), w["version"].alias("version"))

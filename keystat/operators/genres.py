@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystat.functions.text import NO_GENRES, split_pipes
-from keystat.operators.cells import RATING, latest_movies, movie_summary, user_cells, version_rank
+from keystat.operators.cells import RATING, latest_movies, movie_summary, user_cells, version_key
 
 
 def genre_list(genres_col: str = "genres"):
@@ -28,7 +28,7 @@ def movie_summary_of_inputs(movies: DataFrame, tags: DataFrame, ratings: DataFra
     and only then meet the movies, one row each; events of unknown movies fall
     away there."""
     cells = user_cells(ratings, RATING, "rating")
-    newest = F.struct(version_rank(F.col("version")).alias("r"), F.col("version").alias("v"), F.col("value").alias("value"))
+    newest = F.struct(version_key(F.col("version")).alias("r"), F.col("version").alias("v"), F.col("value").alias("value"))
     events = (cells.select(F.col("row_key").alias("movie_id"), F.col("qualifier").alias("user_id"),
                            newest.alias("rated"), F.lit(None).cast("boolean").alias("tagged"))
               .unionByName(tags.select("movie_id", "user_id", F.lit(True).alias("tagged")), allowMissingColumns=True))

@@ -39,3 +39,26 @@ def with_positions(df: DataFrame, *order: str | Column, name: str = "position",
     starts = spark.createDataFrame([(r, b) for (r, _), b in zip(counts, before)], "_range int, _before long")
     return (parts.join(F.broadcast(starts), "_range")  # one row for each range
             .withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_range", "_place", "_before"))
+
+
+#: Rows of one group are joined with its numbers in runs of so many places.
+RUN = 1 << 20
+
+
+def with_group_positions(df: DataFrame, group: list[str], order: list[str], *, name: str = "position",
+                         size: str = "group_rows") -> DataFrame:
+    """``df`` with each row's place (from 1) in its group, in the order of ``order``, and the group's rows.
+
+    Places come from one global numbering by (group, order), so a hot group is spread over many
+    ranges; the groups' first places are joined by (group, run of ``RUN`` places): a key of that join has
+    at most ``RUN`` rows, whatever the group's size."""
+    placed = with_positions(df, *group, *order, name="_global")
+    firsts = placed.groupBy(*group).agg(F.min("_global").alias("_first"), F.count("*").alias(size))
+    runs = firsts.withColumn("_run", F.explode(F.sequence(
+        F.expr(f"_first div {RUN}"), F.expr(f"(_first + `{size}` - 1) div {RUN}"))))
+    p, g = placed.withColumn("_run", F.expr(f"_global div {RUN}")).alias("p"), runs.alias("g")
+    same = F.col("p._run") == F.col("g._run")
+    for c in group:
+        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"g.{c}"))
+    return p.join(g, same).select(
+        *[F.col(f"p.{c}") for c in df.columns], (F.col("_global") - F.col("_first") + 1).alias(name), F.col(f"g.{size}"))

@@ -8,6 +8,8 @@ functions. Column names equal the Spark queries'.
 
 from __future__ import annotations
 
+from keystat import table_queries, text_queries
+
 _PRICES = """prices AS (
   SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN '' WHEN o_orderstatus = 'P' THEN 's' ELSE 'n' END
              || CAST(o_custkey AS VARCHAR) AS ticker,
@@ -244,3 +246,9 @@ SELECT count(*) AS n_jobs,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
 ORACLE_SQL["genre_stats_of_cells"] = ORACLE_SQL["genre_stats"]
+
+# a text file has no NULL genres: they are empty, and make cells
+_TEXT_CELLS = _CELLS.replace("genres, '' FROM movies WHERE genres IS NOT NULL", "coalesce(genres, ''), '' FROM movies")
+ORACLE_SQL.update(text_queries.oracle(_with(_MOVIES), _with(_PRICES), _CELLS, _TEXT_CELLS))
+ORACLE_SQL.update(table_queries.oracle("WITH " + _STOCK, _CELLS, _CELLS + ",\n" + _SUMMARY,
+                                       ORACLE_SQL["upsert_cells"], ORACLE_SQL["rating_cells"]))

@@ -24,6 +24,8 @@ from keystat.operators import report as R
 from keystat.operators import stocks as S
 from keystat.operators.turnaround import mean_turnaround
 from keystat.sources import driver_tables as T
+from keystat.table_queries import QUERIES as TABLE_QUERIES
+from keystat.text_queries import QUERIES as TEXT_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,4 +230,6 @@ QUERIES: dict[str, Query] = {
     "genre_stats_of_cells": q_genre_stats_of_cells,
     "genre_report_lines": q_genre_report_lines,
     "mean_turnaround": q_mean_turnaround,
+    **TEXT_QUERIES,
+    **TABLE_QUERIES,
 }
