@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, key_set_bytes, restrict_to_keys, semi_join_spread
+from keystat.operators.joins import fits_broadcast, key_set_bytes, semi_join_spread
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -88,31 +88,35 @@ def info_cells(movies: DataFrame) -> DataFrame:
                     F.lit("").alias("version")))
 
 
-def user_cells(events: DataFrame, family: str, value_col: str) -> DataFrame:
+def user_cells(events: DataFrame, family: str, value_col: str, batch: str | None = None) -> DataFrame:
     """Tag or rating lines -> raw cells ``<family>:<user_id>`` = ``value|ts``
-    (before newest-wins)."""
+    (before newest-wins), with ``batch``, 0 where the lines have no such column, if one is named."""
+    number = F.col(batch).cast("long") if batch in events.columns else F.lit(0).cast("long")
     return events.select(
         F.col("movie_id").alias("row_key"), F.lit(family).alias("family"),
         F.col("user_id").alias("qualifier"),
         F.concat(_text(F.col(value_col)), F.lit("|"), _text(F.col("ts"))).alias("value"),
-        _text(F.col("ts")).alias("version"))
+        _text(F.col("ts")).alias("version"), *([number.alias("batch")] if batch else []))
 
 
 def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame | None, *,
-                strategy: str = "auto") -> DataFrame:
+                strategy: str = "auto", batch: str | None = None) -> DataFrame:
     """All cells of a table build. Tags and ratings of movies absent from
     ``movies`` are dropped; movies without any are kept (title/genres only).
 
     The restriction is a left-semi join on ``row_key``
-    (:func:`keystat.operators.joins.restrict_to_keys`): a broadcast when the
-    measured movie-key set fits the broadcast threshold, otherwise salted by
-    user id so that a movie holding a large share of all cells is joined by
-    many tasks, not one. ``strategy="shuffle"`` takes the salted join without measuring."""
+    (:mod:`keystat.operators.joins`): when the measured movie-key set fits the broadcast
+    threshold, a broadcast that drops unknown movies' lines as they are read; otherwise, after newest-wins, a
+    join salted by user id, so that a movie holding a large share of all cells is joined by
+    many tasks, not one. ``strategy="shuffle"`` takes the salted join without measuring.
+
+    ``batch`` names a column of the lines that numbers the batch they came in: at equal versions the
+    later batch wins, as if each batch had been upserted in turn, in one pass over all."""
     parts = []
     if tags is not None:
-        parts.append(user_cells(tags, TAG, "tag"))
+        parts.append(user_cells(tags, TAG, "tag", batch))
     if ratings is not None:
-        parts.append(user_cells(ratings, RATING, "rating"))
+        parts.append(user_cells(ratings, RATING, "rating", batch))
     info = info_cells(movies)
     if not parts:
         return info
@@ -120,13 +124,15 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     for p in parts[1:]:
         raw = raw.unionByName(p)
     known = movies.select(F.col("movie_id").alias("row_key"))
+    priority = "batch" if batch else None
+    if strategy == "auto" and fits_broadcast(known, "row_key"):
+        return info.unionByName(newest_cells(raw.join(F.broadcast(known), "row_key", "left_semi"), priority))
     # spread by user and the winning version (an aggregate output: the join
     # stays above newest-wins, see joins.semi_join_spread)
     # (hot movies are counted on the raw cells' keys: a column-pruned pass,
     # at least as many rows per movie as after newest-wins)
-    restrict = restrict_to_keys if strategy == "auto" else semi_join_spread
-    users = restrict(newest_cells(raw), known, "row_key", spread=["qualifier", "version"],
-                     counts_source=raw.select("row_key"))
+    users = semi_join_spread(newest_cells(raw, priority), known, "row_key", spread=["qualifier", "version"],
+                             counts_source=raw.select("row_key"))
     return info.unionByName(users)
 
 

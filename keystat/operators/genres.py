@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystat.functions.text import NO_GENRES, split_pipes
-from keystat.operators.cells import RATING, latest_movies, movie_summary, user_cells, version_key
+from keystat.operators.cells import latest_movies, movie_summary
+from keystat.operators.movies import user_totals
 
 
 def genre_list(genres_col: str = "genres"):
@@ -27,15 +28,7 @@ def movie_summary_of_inputs(movies: DataFrame, tags: DataFrame, ratings: DataFra
     the inputs: ratings and tags meet per movie and user, where the newest rating wins, are summed per movie,
     and only then meet the movies, one row each; events of unknown movies fall
     away there."""
-    cells = user_cells(ratings, RATING, "rating")
-    newest = F.struct(version_key(F.col("version")).alias("r"), F.col("version").alias("v"), F.col("value").alias("value"))
-    events = (cells.select(F.col("row_key").alias("movie_id"), F.col("qualifier").alias("user_id"),
-                           newest.alias("rated"), F.lit(None).cast("boolean").alias("tagged"))
-              .unionByName(tags.select("movie_id", "user_id", F.lit(True).alias("tagged")), allowMissingColumns=True))
-    users = events.groupBy("movie_id", "user_id").agg(F.max("rated").alias("rated"), F.max("tagged").alias("tagged"))
-    rating = F.split_part(F.col("rated.value"), F.lit("|"), F.lit(1)).cast("float").cast("double")
-    sums = users.groupBy("movie_id").agg(F.count("tagged").alias("num_tags"), F.sum(rating).alias("rating_sum"),
-                                         F.count(rating).alias("rating_cnt"))
+    sums = user_totals(tags, ratings)
     return latest_movies(movies).join(sums, "movie_id", "left").select(
         "movie_id", "genres", F.coalesce("num_tags", F.lit(0).cast("long")).alias("num_tags"), "rating_sum",
         F.coalesce("rating_cnt", F.lit(0).cast("long")).alias("rating_cnt"))

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keystat.sources.staged import staged
+
 # A key is hot above this many rows (about one task's worth of work); its
 # salt factor is rows / HOT_ROWS rounded up.
 HOT_ROWS_CONF = "keystat.skew.hotKeyRows"
@@ -77,7 +79,8 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     aggregate). A hot key's rows get salt ``hash(spread) mod factor`` and the
     key is replicated ``factor`` times on the key side; every other key has
     salt 0 and one copy, so the key side grows only by the hot keys' factors.
-    The factor table holds at most one key for each ``hotKeyRows`` rows, hence it is broadcast.
+    The factor table holds at most one key for each ``hotKeyRows`` rows; it is written once (both sides
+    read it) and broadcast.
 
     When ``big`` is an aggregate, including one of its aggregate outputs in
     ``spread`` keeps the optimizer from pushing the join below the
@@ -85,7 +88,7 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     """
     cols = [spread] if isinstance(spread, str) else list(spread)
     k = keys.select(key).where(F.col(key).isNotNull())
-    factors = F.broadcast(hot_key_factors(counts_source if counts_source is not None else big, key))
+    factors = F.broadcast(staged(hot_key_factors(counts_source if counts_source is not None else big, key), "hot-keys"))
     salted = (big.join(factors, key, "left")
               .withColumn("_salt", F.when(F.col("_factor").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_factor")).cast("int")))

@@ -76,3 +76,26 @@ def test_known_movie_join_salted_when_large(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     semi = [line for line in plan.splitlines() if "LeftSemi" in line]
     assert semi and all("_salt" in j and "SortMergeJoin" in j for j in semi)
+
+
+def test_upsert_of_batches_is_one_pass(spark):
+    plan = _plan(QUERIES["upsert_cells"](spark, SF_SMALL))
+    # tags and ratings are scanned once each; unknown movies' lines fall away below the exchange
+    assert plan.count("lineitem.parquet") == 2 and plan.count("part.parquet") <= 2
+    semi = next(i for i, line in enumerate(plan.splitlines()) if "LeftSemi" in line)
+    assert any("SortAggregate" in line or "Aggregate" in line for line in plan.splitlines()[:semi])
+
+
+def test_salted_restriction_counts_hot_keys_once(spark):
+    plan = _plan(QUERIES["movie_cells_salted"](spark, SF_SMALL))
+    assert plan.count("lineitem.parquet") == 2 and plan.count("hot-keys") >= 1
+
+
+def test_movie_left_join_meets_per_movie_and_user(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(QUERIES["movie_left_join"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") <= 3
