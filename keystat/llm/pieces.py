@@ -8,7 +8,8 @@ which then meets complete segmentations in order of their scores.
 
 A space counts as the mark U+2581, and one is put before the text. No piece has
 a mark after another character, so each lattice is a chain of independent units (marks and
-the characters up to the next mark); units' Viterbi passes are remembered. The
+the characters up to the next mark); a unit also ends after a letter before such signs as no piece
+has after a letter, mostly punctuation, for no edge spans that place. Units' Viterbi passes are remembered. The
 pass also tells what a unit's second best segmentation loses: the least that
 another edge into a place on the best path loses. So only the N - 1 units that
 lose least need the A* search, and the N best of a text are the N best sums over them. The pieces
@@ -37,15 +38,26 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keystat.llm.common import ship_package
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
 MARK = "▁"
 NBEST = 3
-#: Units remembered by a task's process, and the longest that is.
-REMEMBERED = 150_000
+#: Units and searches remembered by a task's process, each, and the longest that is.
+REMEMBERED = 200_000
 REMEMBERED_LENGTH = 48
+#: Texts of so many characters are cut before their new units are searched together; the longest such unit.
+LEARNED_BYTES = 1 << 19
+LEARNED_LENGTH = 32
+#: Characters of the table in which they are.
+TABLE_CHARACTERS = [chr(c) for c in range(0x20, 0x180)]
+#: Characters after which a run of rows goes out.
+RUN_BYTES = 1 << 20
 #: What a byte costs more than the worst ordinary piece.
 BYTE_PENALTY = 10.0
+_LETTERS = "".join(chr(c) for c in range(128) if chr(c).isalpha())
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class Pieces:
@@ -64,28 +76,44 @@ class Pieces:
         for b, i in self.byte_id.items():
             self.surface[i] = bytes([b])
         self.trie: dict = {}
+        after_letter: set[str] = set()
+        self.longest = max((len(model.id_to_piece(i)) for i in ordinary), default=1)
         for i in ordinary:
             piece = model.id_to_piece(i)
             if MARK in piece.lstrip(MARK):
                 raise ValueError("a piece with an inner mark: texts can't be cut at marks")
             self.surface[i] = piece.replace(MARK, " ").encode()
+            after_letter.update(b for a, b in zip(piece, piece[1:]) if a in _LETTERS)
             node = self.trie
             # in the trie a mark is a space: a literal mark of a text matches nothing
+            step: list = []
             for c in piece.replace(MARK, " "):
-                node = node.setdefault(c, {})
-            node[0] = (i, model.get_score(i))
-        self.units = _Units(self)
+                step = node.setdefault(c, [{}, -1, 0.0])  # what follows, the piece that ends here, its score
+                node = step[0]
+            step[1:] = i, model.get_score(i)
+        self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        # spaces and what follows up to the next space or such a sign, line feeds apart
+        signs = "".join(re.escape(c) for c in _SIGNS if c not in after_letter)
+        ended = f" *[^ \\n{_LETTERS}]*[{_LETTERS}]+(?=[{signs}])|" if signs else ""
+        self.unit = re.compile(ended + r" *[^ \n]+| +|\n")
+        self.units = _Remembered(self.viterbi)
+        self.table = _Table(self.trie)
+        self.searches = _Remembered(lambda key: self.nbest(*key), lambda key: len(key[0]))
 
     def edges(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every end, its edges: (start, score, ids)."""
         into: list[list] = [[] for _ in range(len(text) + 1)]
         for start in range(len(text)):
-            node, end = self.trie, start
-            single = False
-            while end < len(text) and (node := node.get(text[end])) is not None:
+            node, end, single = self.trie, start, False
+            for c in text[start:start + self.longest]:
+                step = node.get(c)
+                if step is None:
+                    break
+                node, i, score = step
                 end += 1
-                if 0 in node:
-                    i, score = node[0]
+                if i >= 0:
                     into[end].append((start, score, (i,)))
                     single |= end == start + 1
             if not single:
@@ -95,25 +123,26 @@ class Pieces:
 
     def viterbi(self, text: str) -> tuple[float, bytes, float]:
         """(score, ids as little-endian int32, what the second best loses) of a unit."""
-        n, nothing = len(text), float("-inf")
+        n, nothing, longest = len(text), float("-inf"), self.longest
         best, second = [nothing] * (n + 1), [nothing] * (n + 1)
         best[0] = 0.0
         into: list = [None] * (n + 1)
         for start in range(n):
             before, node, end, single = best[start], self.trie, start, False
-            while end < n:
-                node = node.get(text[end])
-                if node is None:
+            for c in text[start:start + longest]:
+                step = node.get(c)
+                if step is None:
                     break
+                node, piece, score = step
                 end += 1
-                piece = node.get(0)
-                if piece is not None:
-                    score = before + piece[1]
+                if piece >= 0:
+                    score += before
                     if score > best[end]:
-                        best[end], second[end], into[end] = score, best[end], (start, piece[0])
+                        best[end], second[end], into[end] = score, best[end], (start, piece)
                     elif score > second[end]:
                         second[end] = score
-                    single = single or end == start + 1
+                    if end == start + 1:
+                        single = True
             if not single:
                 ids = [self.byte_id[b] for b in text[start].encode("utf-8", "surrogatepass")]
                 score = before + self.byte_score * len(ids)
@@ -156,17 +185,36 @@ class Pieces:
                 heapq.heappush(heap, (-(best[start] + score + rest), start, pushed, score + rest, (ids, path)))
         return found
 
-    def encode(self, text: str, n: int = 1) -> list[tuple[float, bytes]]:
+    def learn(self, units: set[str]) -> None:
+        """Viterbi passes of those units that aren't remembered, all at once where the table knows their characters."""
+        new = [u for u in units if len(u) <= LEARNED_LENGTH and u not in self.units and u not in self.units.before]
+        for unit, found in self.table.viterbi(new):
+            self.units.keep(unit, found)
+
+    def encode_all(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes]]]:
+        """:meth:`encode` of each text."""
+        first = 0
+        while first < len(texts):
+            cut, size = [], 0
+            while first + len(cut) < len(texts) and size < LEARNED_BYTES:
+                cut.append(self.unit.findall(" " + texts[first + len(cut)]))
+                size += len(texts[first + len(cut) - 1])
+            self.learn(set().union(*cut))
+            for units, text in zip(cut, texts[first:first + len(cut)], strict=True):
+                yield self.encode(text, n, units)
+            first += len(cut)
+
+    def encode(self, text: str, n: int = 1, units: list[str] | None = None) -> list[tuple[float, bytes]]:
         """Up to ``n`` best segmentations of a whole text, best first."""
         if not text:
             return []
-        units = _UNIT.findall(" " + text)
+        units = units or self.unit.findall(" " + text)
         known = [self.units[u] for u in units]
         scores, parts, losses = zip(*known, strict=True)
         total, whole = sum(scores), b"".join(parts)
         if n == 1:
             return [(total, whole)]
-        searched = {place: self.nbest(units[place], n)
+        searched = {place: self.searches[units[place], n]
                     for loss, place in heapq.nsmallest(n - 1, zip(losses, count())) if loss < float("inf")}
         loss = sorted((found[0][0] - found[r][0], place, r) for place, found in searched.items()
                       for r in range(1, len(found)))
@@ -178,30 +226,118 @@ class Pieces:
             out.append((total - lost, b"".join(own) if changes else whole))
         return out
 
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[bytes, list[int]]:
+        """The texts of many segmentations (each with the space put before it), and where each starts."""
+        sizes = self.sizes[ids]
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        place = np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])
+        return self.flat[place].tobytes(), ends[offsets].tolist()
+
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.surface.__getitem__, np.frombuffer(ids, "<i4").tolist()))
         return text[1:].decode("utf-8", "surrogatepass")
 
 
-#: Spaces and what follows up to the next space, line feeds apart.
-_UNIT = re.compile(r" *[^ \n]+| +|\n")
-
-
-class _Units(dict):
-    """Viterbi passes of units, remembered up to a bound."""
+class _Remembered(dict):
+    """Results by key, the latest ``REMEMBERED`` or so: half of them, and the half before, from which
+    a key that is asked for again is taken over."""
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, compute, size=len):
         super().__init__()
-        self.pieces = pieces
-
-    def __missing__(self, text: str):
-        found = self.pieces.viterbi(text)
-        if len(text) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[text] = found
+        self.compute, self.size, self.before = compute, size, {}
+
+    def __missing__(self, key):
+        found = self.before.get(key)
+        if found is None:
+            found = self.compute(key)
+        if self.size(key) <= REMEMBERED_LENGTH:
+            self.keep(key, found)
         return found
 
+    def keep(self, key, found) -> None:
+        if len(self) >= REMEMBERED // 2:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+
+
+class _Table:
+    """The trie of the pieces made of ``TABLE_CHARACTERS`` as a table of nodes by characters, for Viterbi
+    passes of many units at once. Node 0 leads nowhere, node 1 is the root."""
+
+    def __init__(self, trie: dict):
+        # a character that is no piece of its own would need its bytes
+        known = [c for c in TABLE_CHARACTERS if c in trie and trie[c][1] >= 0][:255]
+        self.code = {ord(c): i for i, c in enumerate(known, 1)}
+        rows, pieces, scores, todo = [[0] * (len(known) + 1)], [-1, -1], [0.0, 0.0], [trie]
+        for node in todo:  # grows as it goes: breadth first, a node's number is its place in it
+            row = [0] * (len(known) + 1)
+            for i, c in enumerate(known, 1):
+                if c in node:
+                    row[i] = len(pieces)
+                    pieces.append(node[c][1])
+                    scores.append(node[c][2])
+                    todo.append(node[c][0])
+            rows.append(row)
+        self.next = np.array(rows, np.int32)
+        self.piece, self.score = np.array(pieces, np.int32), np.array(scores)
+
+    def viterbi(self, units: list[str]) -> Iterator[tuple[str, tuple[float, bytes, float]]]:
+        """(unit, what :meth:`Pieces.viterbi` gives) of the units made of the table's characters."""
+        units = [u for u in units if u]
+        if not units:
+            return
+        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.zeros(int(points.max()) + 1 if len(points) else 1, np.uint8)
+        for c, i in self.code.items():
+            if c < len(codes):
+                codes[c] = i
+        sizes = np.array([len(u) for u in units])
+        longest = int(sizes.max())
+        chars = np.zeros((len(units), longest), np.uint8)
+        inside = np.arange(longest) < sizes[:, None]
+        chars[inside] = codes[points]
+        good = np.flatnonzero(((chars > 0) == inside).all(axis=1))
+        chars, sizes = chars[good], sizes[good]
+        n = len(good)
+        best = np.full((n, longest + 1), -np.inf)
+        second, start_of = best.copy(), np.zeros((n, longest + 1), np.int16)
+        piece_of = np.zeros((n, longest + 1), np.int32)
+        best[:, 0] = 0.0
+        for start in range(longest):
+            rows = np.flatnonzero(sizes > start)
+            node = np.ones(len(rows), np.int32)
+            for end in range(start, longest):
+                node = self.next[node, chars[rows, end]]
+                alive = np.flatnonzero(node)
+                if not len(alive):
+                    break
+                rows, node = rows[alive], node[alive]
+                hit = np.flatnonzero(self.piece[node] >= 0)
+                r, piece = rows[hit], self.piece[node[hit]]
+                score, old = best[r, start] + self.score[node[hit]], best[r, end + 1]
+                better = score > old
+                second[r, end + 1] = np.where(better, old, np.maximum(second[r, end + 1], score))
+                r, piece, score = r[better], piece[better], score[better]
+                best[r, end + 1], start_of[r, end + 1], piece_of[r, end + 1] = score, start, piece
+        # back from the ends, all at once
+        path = np.full((n, longest), -1, np.int32)
+        loss, at, rows = np.full(n, np.inf), sizes.copy(), np.arange(n)
+        for step in range(longest):
+            rows = rows[at[rows] > 0]
+            if not len(rows):
+                break
+            place = at[rows]
+            loss[rows] = np.minimum(loss[rows], best[rows, place] - second[rows, place])
+            path[rows, longest - 1 - step] = piece_of[rows, place]
+            at[rows] = start_of[rows, place]
+        used = path >= 0
+        ids = path[used].astype("<i4").tobytes()
+        ends = np.cumsum(used.sum(axis=1) * 4).tolist()
+        for i, score, a, b, lost in zip(good.tolist(), best[np.arange(n), sizes].tolist(), [0, *ends[:-1]], ends, loss.tolist()):
+            yield units[i], (score, ids[a:b], lost)
+
 
 def _least_sums(loss: list[tuple[float, int, int]], n: int) -> list[tuple[float, tuple]]:
     """The ``n`` least sums over subsets of the losses with one choice for each
@@ -229,7 +365,18 @@ def _pieces(proto: bytes) -> Pieces:
     return _loaded[name]
 
 
-def _encode(shared, nbest: int):
+def _round_trips(pieces: Pieces, texts: list[bytes], ids: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> list[bool]:
+    """Whether all of each row's segmentations decode to its text. ``offsets`` cut the ids into
+    segmentations, ``rows`` these into rows."""
+    decoded, starts = pieces.decode_all(ids, offsets)
+    same = []
+    for text, a, b in zip(texts, rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+        # an empty text may have no ids, hence no space before it
+        same.append(all(decoded[x + 1:y] == text for x, y in zip(starts[a:b], starts[a + 1:b + 1], strict=True)))
+    return same
+
+
+def _encode(shared, nbest: int, check: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared.value)
         for batch in batches:
@@ -237,23 +384,27 @@ def _encode(shared, nbest: int):
             # rows go out in runs, so that long texts' pieces don't pile up
             column, first = batch.column("__text"), 0
             while first < batch.num_rows:
-                rows, size, at = [], 0, first
-                while at < batch.num_rows and size < 8 << 20:
-                    rows.append(pieces.encode(column[at].as_py() or "", nbest))
-                    size += sum(len(ids) for _, ids in rows[-1])
+                texts, size, at = [], 0, first
+                while at < batch.num_rows and size < RUN_BYTES:
+                    texts.append(column[at].as_py() or "")
+                    size += len(texts[-1])
                     at += 1
+                rows = list(pieces.encode_all(texts, nbest))
                 scores = [s for found in rows for s, _ in found]
                 ids = [i for found in rows for _, i in found]
                 offsets = np.array([0, *accumulate(len(x) // 4 for x in ids)], np.int32)
+                values = np.frombuffer(b"".join(ids), "<i4")
                 found = pa.StructArray.from_arrays(
-                    [pa.array(scores, pa.float64()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))],
+                    [pa.array(scores, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                     names=["score", "ids"])
                 places = np.array([0, *accumulate(len(x) for x in rows)], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(i).slice(first, at - first) for i in keep],
-                     pa.ListArray.from_arrays(pa.array(places), found)],
-                    names=[*[batch.schema.names[i] for i in keep], "segmentations"])
+                columns = [*[batch.column(i).slice(first, at - first) for i in keep],
+                           pa.ListArray.from_arrays(pa.array(places), found)]
+                names = [*[batch.schema.names[i] for i in keep], "segmentations"]
+                if check:
+                    columns.append(pa.array(_round_trips(pieces, [t.encode() for t in texts], values, offsets, places), pa.bool_()))
+                    names.append("round_trip")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 first = at
 
     return encode
@@ -281,13 +432,16 @@ def _check(shared):
         pieces = _pieces(shared.value)
         for batch in batches:
             same = []
-            for value, found in zip(batch.column("__text"), batch.column("segmentations"), strict=True):
-                text, whole = value.as_py() or "", True
-                for one in found.values or ():
-                    own = one["ids"].values
-                    ids = own.to_numpy().astype("<i4").tobytes() if own is not None else b""
-                    whole = pieces.decode(ids) == text and whole
-                same.append(whole)
+            found = batch.column("segmentations")
+            for row, value in enumerate(batch.column("__text")):
+                segments = found[row].values
+                if segments is None or not len(segments):
+                    same.append(True)
+                    continue
+                ids = segments.field("ids")
+                offsets = ids.offsets.to_numpy()
+                values = ids.values.to_numpy()[offsets[0]:offsets[-1]]
+                same += _round_trips(pieces, [(value.as_py() or "").encode()], values, offsets - offsets[0], np.array([0, len(ids)]))
             keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(same, pa.bool_())],
                                              names=[*[batch.schema.names[i] for i in keep], "round_trip"])
@@ -315,12 +469,15 @@ def encode(docs: DataFrame, text: str = "text", *, nbest: int = NBEST, model: st
         "pieces": F.coalesce(F.get(found, F.lit(0))["ids"], F.array().cast("array<int>")), "scores": found["score"]})
 
 
-def segment(docs: DataFrame, text: str = "text", *, nbest: int = NBEST, model: str = MODEL) -> DataFrame:
-    """``docs`` with ``segmentations`` alone."""
-    docs = docs.drop(*[c for c in ("segmentations",) if c != text])
+def segment(docs: DataFrame, text: str = "text", *, nbest: int = NBEST, model: str = MODEL, check: bool = False) -> DataFrame:
+    """``docs`` with ``segmentations`` alone; ``check`` adds ``round_trip`` in the same pass: whether
+    each segmentation decodes to the text."""
+    new = ("segmentations", "round_trip") if check else ("segmentations",)
+    docs = docs.drop(*[c for c in new if c != text])
+    ship_package(docs.sparkSession)
     shared = _shared_model(docs.sparkSession.sparkContext, model)
-    return docs.withColumn("__text", F.col(text)).mapInArrow(
-        _encode(shared, nbest), _schema(docs, "segmentations array<struct<score:double,ids:array<int>>>"))
+    more = "segmentations array<struct<score:double,ids:array<int>>>" + (", round_trip boolean" if check else "")
+    return docs.withColumn("__text", F.col(text)).mapInArrow(_encode(shared, nbest, check), _schema(docs, more))
 
 
 def round_trips(segmented: DataFrame, text: str = "text", *, model: str = MODEL) -> DataFrame:

@@ -72,7 +72,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=85)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     and hashes of the ``pieces.NBEST`` best, and whether decoding each gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = pieces.round_trips(pieces.segment(whole))
+    back = pieces.segment(whole, check=True)
     best = F.coalesce(F.get("segmentations", F.lit(0))["ids"], F.array().cast("array<int>"))
     return back.select(
         "doc_id", F.size(best).cast("long").alias("n_pieces"), F.xxhash64(best).alias("pieces_hash"),
