@@ -53,14 +53,18 @@ def ship_package(spark: SparkSession) -> None:
     context._keystat_shipped = True
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *, row_group_bytes: int | None = None) -> DataFrame:
     """``df`` written as Parquet into the folder that ``spark.checkpoint.dir``
     names and read back: the lineage ends there, the rows are fixed, and a lost
     executor costs nothing that was written. The files stay until that folder
-    is cleaned, as with checkpoints, since the frame returned reads them."""
+    is cleaned, as with checkpoints, since the frame returned reads them. A writing task
+    holds one row group in memory: ``row_group_bytes`` bounds it where rows are whole texts."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    options = {"compression": "zstd"}
+    if row_group_bytes:
+        options["parquet.block.size"] = str(row_group_bytes)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

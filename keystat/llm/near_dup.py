@@ -18,8 +18,8 @@ members share ``x`` and ``y`` shingles with the same centre, they share at most
 ``min(x, y) + min(s - x, s' - y)`` with each other. Centres are those of the largest
 ``s / n``, in a family of copies its original.
 
-With ``BANDS`` bands of ``ROWS`` bins a pair at the threshold of 0.85 shares no
-bucket with a chance of about 1e-10 (short texts: their few shingles decide,
+With ``BANDS`` bands of ``ROWS`` bins a pair at the threshold of 0.8 shares no
+bucket with a chance of about 1e-7, at 0.85 about 1e-10 (short texts: their few shingles decide,
 at worst about 1e-3 where all their overlap is at the threshold).
 
 Nulls and empty texts have no shingles and link with nothing, nor do rows
@@ -43,10 +43,12 @@ from keystat.llm.graph import components
 SHINGLE = 5
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
-THRESHOLD = 85  # percent
+THRESHOLD = 80  # percent
 #: A bucket gets one centre in the first round. As long as a round makes no more pairs than
 #: the buckets have members, the next one gives each undecided bucket so many times as many.
 GROWTH = 8
+#: Bits that tell tasks which documents' full sets are wanted.
+FILTER_BITS = 1 << 26
 
 
 def _shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,9 +123,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n", "key", "bands"])
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full_sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+    """(key, shingles) of the rows whose id's hash ``h`` is marked in the bitmap."""
+    bitmap = wanted.value
     for batch in batches:
-        for row, h, offsets in _shingles(batch.column("text")):
+        bit = batch.column("h").to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
+        hit = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+        for row, h, offsets in _shingles(batch.column("text").filter(pa.array(hit))):
             n = len(offsets) - 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k.tobytes() for k in _set_keys(h, offsets)], pa.binary()),
@@ -131,39 +137,50 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["key", "shingles"])
 
 
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits with those of the ids' hashes set; at most ``FILTER_BITS / 64`` rows reach the driver."""
+    bit = F.xxhash64("doc_id").bitwiseAND(F.lit(FILTER_BITS - 1))
+    found = (ids.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow())
+    bitmap = np.zeros(FILTER_BITS // 64, np.uint64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
 def _enough(overlap: Column, n: Column, m: Column, threshold: int) -> Column:
     """Whether an overlap of sets of ``n`` and ``m`` members reaches the threshold."""
     return (100 + threshold) * overlap >= threshold * (n + m)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) with the overlap of their full sets, and whether it is enough."""
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
-    met = sides.join(sets, "node").groupBy("a", "b").agg(F.collect_list("shingles").alias("two"))
-    n, m = F.size(F.col("two")[0]), F.size(F.col("two")[1])
-    overlap = F.size(F.array_intersect(F.col("two")[0], F.col("two")[1]))
-    return met.where(F.size("two") >= 2).select(
-        "a", "b", overlap.cast("long").alias("overlap"), _enough(overlap, n, m, threshold).alias("linked"))
+    """The pairs (a, b) with the overlap of their full sets, and whether it is enough. One side's
+    set goes to the other's: each pair ships one set, not two."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+    met = pairs.join(side("b"), "b").join(side("a"), "a")
+    overlap = F.size(F.array_intersect("a_set", "b_set"))
+    return met.select("a", "b", overlap.cast("long").alias("overlap"),
+                      _enough(overlap, F.size("a_set"), F.size("b_set"), threshold).alias("linked"))
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """(bucket, key, doc_id) of the classes that share a bucket with another."""
-    rows = classes.select("key", "doc_id", F.explode(F.array_distinct("bands")).alias("bucket"))
+    """(bucket, node) of the classes that share a bucket with another; rows are dealt once, by
+    the bucket, for the counts and for what is kept."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = classes.select("node", F.explode(F.array_distinct("bands")).alias("bucket")).repartition(parts, "bucket")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    return rows.join(shared, "bucket")
+    return rows.join(shared.hint("shuffle_hash"), "bucket")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(key, shingles) of the wanted classes (key, doc_id), one row each. A doc_id of
-    many rows may stand for several classes, or for one several times."""
-    def full(ids: DataFrame) -> DataFrame:
-        return docs.join(ids, "doc_id").select("text").mapInArrow(_full_sets, "key binary, shingles array<long>")
-
-    if not repeated.limit(1).count():
-        return full(wanted.select("doc_id"))
-    some = wanted.join(repeated, "doc_id", "left_semi")
-    return full(wanted.join(repeated, "doc_id", "left_anti").select("doc_id")).unionByName(
-        full(some.select("doc_id").distinct()).join(some.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, node, shingles) of the wanted classes (key, node, doc_id), one row each. Texts stay where
+    they are: a bitmap of fixed size, of the wanted ids, tells each task whose sets to make, and what it marks
+    too many (and the further rows of a repeated id) falls away by an exact join."""
+    marks = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select("doc_id")))
+    made = docs.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(
+        lambda batches: _full_sets(batches, marks), "key binary, shingles array<long>")
+    made = materialise(made.withColumn("row", F.monotonically_increasing_id()), "made")
+    one = made.groupBy("key").agg(F.min("row").alias("row")).join(wanted.select("key", "node"), "key")
+    return made.select("row", "shingles").join(one, "row").select("key", "node", "shingles")
 
 
 def _alive(members: DataFrame, threshold: int) -> DataFrame:
@@ -249,18 +266,19 @@ def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame
         "sketches")
     real = sketches.where("n > 0 AND doc_id IS NOT NULL")
     repeated = materialise(real.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    classes = real.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    candidates = materialise(_candidates(classes), "candidates")
-    wanted = candidates.select("key", "doc_id").distinct()
     # a class's number is fixed once written
-    sets = materialise(_sets(docs, wanted, repeated).withColumn("node", F.monotonically_increasing_id()), "sets")
+    classes = materialise(real.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+                          .withColumn("node", F.monotonically_increasing_id()), "classes")
+    candidates = materialise(_candidates(classes), "candidates")
+    wanted = materialise(classes.select("key", "node", "doc_id").join(candidates.select("node").distinct(), "node"), "wanted")
+    sets = materialise(_sets(docs, wanted), "sets")
     own = (sets.select("node", F.explode("shingles").alias("x")).groupBy("x")
            .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
            .groupBy("node").agg(F.count("*").alias("u")))
     sizes = sets.select("node", "key", F.size("shingles").cast("long").alias("n")).join(own, "node", "left").select(
         "node", "key", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
     members = materialise(
-        _alive(candidates.select("bucket", "key").join(sizes, "key").drop("key"), threshold), "members")
+        _alive(candidates.join(sizes.drop("key"), "node"), threshold), "members")
     labels = link(members, sets, threshold)
     reps = classes.select("key", F.col("doc_id").alias("least"))
     if labels is not None:

@@ -48,7 +48,7 @@ def near_texts(seed, families=12, size=9):
     return texts + [" ".join(word() for _ in range(40)) for _ in range(20)]
 
 
-def plain_components(ids, sets, threshold=85):
+def plain_components(ids, sets, threshold=80):
     label = {i: i for i in ids}
     links = [(a, b) for x, a in enumerate(ids) for y, b in enumerate(ids) if x < y and sets[x] and sets[y]
              and 100 * len(sets[x] & sets[y]) >= threshold * len(sets[x] | sets[y])]
@@ -63,13 +63,14 @@ def plain_components(ids, sets, threshold=85):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates(llm_spark, seed):
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_near_duplicates(llm_spark, seed, threshold):
     texts = near_texts(seed) + EDGE + [EDGE[7].upper()]
     ids = list(range(1, len(texts) + 1))
     random.Random(seed).shuffle(ids)
     sets = [shingles(t) for t in texts]
-    want = plain_components(ids, sets)
-    rows = near_dup.near_duplicates(frame(llm_spark, texts, ids)).collect()
+    want = plain_components(ids, sets, threshold)
+    rows = near_dup.near_duplicates(frame(llm_spark, texts, ids), threshold=threshold).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows} == {
         i: (len(s), want[i], want[i] == i) for i, s in zip(ids, sets, strict=True)}
 
