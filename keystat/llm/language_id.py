@@ -211,34 +211,29 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> LanguageModel | None:
     return fit([rows[i] for i in np.random.default_rng(11).permutation(len(rows)).tolist()])
 
 
-def _predict(shared):
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: LanguageModel | None = shared.value
-        for batch in batches:
-            names, scores, accepted = [], [], []
-            for _, texts in _runs(batch.column("__text")):
-                if model is None:
-                    names += [UNDETERMINED] * len(texts)
-                    scores += [0.0] * len(texts)
-                    accepted += [False] * len(texts)
-                    continue
-                buckets, owner = subwords(texts)
-                n = np.bincount(owner, minlength=len(texts))
-                sums = np.stack([np.bincount(owner, model.table[buckets, c], len(texts))
-                                 for c in range(len(model.languages))], axis=1)
-                p = model.probabilities(sums, n)
-                best = p.argmax(axis=1)
-                top = np.where(n > 0, p.max(axis=1), 0.0)
-                names += [model.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), n.tolist(), strict=True)]
-                scores += top.tolist()
-                accepted += ((top >= model.threshold) & (n > 0)).tolist()
-            keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(accepted, pa.bool_())],
-                names=[*[batch.schema.names[i] for i in keep], "lang_pred", "score", "accepted"])
-
-    return predict
+def _predict(shared, text: pa.Array) -> pa.Array:
+    """(lang_pred, score, accepted) of each text."""
+    model: LanguageModel | None = shared.value
+    names, scores, accepted = [], [], []
+    for _, texts in _runs(text):
+        if model is None:
+            names += [UNDETERMINED] * len(texts)
+            scores += [0.0] * len(texts)
+            accepted += [False] * len(texts)
+            continue
+        buckets, owner = subwords(texts)
+        n = np.bincount(owner, minlength=len(texts))
+        sums = np.stack([np.bincount(owner, model.table[buckets, c], len(texts))
+                         for c in range(len(model.languages))], axis=1)
+        p = model.probabilities(sums, n)
+        best = p.argmax(axis=1)
+        top = np.where(n > 0, p.max(axis=1), 0.0)
+        names += [model.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), n.tolist(), strict=True)]
+        scores += top.tolist()
+        accepted += ((top >= model.threshold) & (n > 0)).tolist()
+    return pa.StructArray.from_arrays(
+        [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())],
+        names=["lang_pred", "score", "accepted"])
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
@@ -246,6 +241,12 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     ``accepted`` (not rejected). Input columns of these names are replaced."""
     docs = docs.drop("lang_pred", "score", "accepted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
-    return docs.withColumn("__text", F.col(text)).mapInArrow(
-        _predict(shared), schema + "lang_pred string, score double, accepted boolean")
+
+    # only the text goes to Python and three small values come back; the other columns stay.
+    # (said to be nondeterministic: else a filter on its results would compute them again)
+    @F.arrow_udf("lang_pred string, score double, accepted boolean")
+    def predict(text: pa.Array) -> pa.Array:
+        return _predict(shared, text)
+
+    found = docs.withColumn("__found", predict.asNondeterministic()(F.col(text)))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], "__found.*")
