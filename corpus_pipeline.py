@@ -32,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (85 percent, as op5)."""
+    """One document, that of the smallest id, of each group of near copies (a similarity of 0.8 or more)."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 
@@ -55,7 +55,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """(doc_id, lang, source, n_pieces, pieces, scores, round_trip): the best segmentation of each
     text, the scores of the ``pieces.NBEST`` best, and whether decoding each gives the text back."""
     ship_package(spark)
-    encoded = pieces.round_trips(pieces.segment(docs.select("doc_id", "lang", "source", "text")))
+    encoded = pieces.segment(docs.select("doc_id", "lang", "source", "text"), check=True)
     found = F.col("segmentations")
     best = F.coalesce(F.get(found, F.lit(0))["ids"], F.array().cast("array<int>"))
     return encoded.select("doc_id", "lang", "source", F.size(best).cast("long").alias("n_pieces"),
@@ -75,8 +75,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Row groups between stages; a writing task holds one in memory.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = materialise(stage(spark, docs, sf_dir), name, row_group_bytes=ROW_GROUP_BYTES)
     return STAGES[-1][1](spark, docs, sf_dir)
