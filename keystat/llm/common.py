@@ -3,6 +3,7 @@ folder, and vectorised word splitting over Arrow text columns."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -76,6 +77,21 @@ def set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Calla
     return docs.withColumnsRenamed(clash), back
 
 
+def hand_back() -> None:
+    """Give the memory that Arrow and numpy have freed back to the system: Python workers are kept for
+    later tasks, and what they hold meanwhile counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def handing_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, after the last of which memory is handed back."""
+    yield from batches
+    hand_back()
+
+
 # -- text columns as bytes -----------------------------------------------------------
 
 def text_runs(column: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

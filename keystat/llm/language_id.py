@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.llm.common import mix
+from keystat.llm.common import hand_back, handing_back, mix, ship_package
 
 GRAMS = (2, 3)
 BUCKETS = 1 << 13
@@ -171,7 +171,7 @@ def fit(sample: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel | Non
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in handing_back(batches):
         for row, texts in _runs(batch.column("text")):
             buckets, owner = subwords(texts)
             ids, counts = [], []
@@ -194,6 +194,7 @@ def remainder(doc_id: Column, n: int) -> Column:
 def train(docs: DataFrame, *, sample: int = SAMPLE) -> LanguageModel | None:
     """Fit on about ``sample`` rows of (doc_id, text, lang) that have a language,
     drawn by a hash of their ids."""
+    ship_package(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = labelled.count()
     if not n:
@@ -239,14 +240,17 @@ def _predict(shared, text: pa.Array) -> pa.Array:
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (calibrated probability) and
     ``accepted`` (not rejected). Input columns of these names are replaced."""
+    ship_package(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "accepted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     # only the text goes to Python and three small values come back; the other columns stay.
     # (said to be nondeterministic: else a filter on its results would compute them again)
     @F.arrow_udf("lang_pred string, score double, accepted boolean")
-    def predict(text: pa.Array) -> pa.Array:
-        return _predict(shared, text)
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            yield _predict(shared, text)
+        hand_back()
 
     found = docs.withColumn("__found", predict.asNondeterministic()(F.col(text)))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns], "__found.*")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keystat.llm.common import LOWER, SPACED_WORD, gram_hashes, materialise, mix, text_runs, word_hashes, words
+from keystat.llm.common import LOWER, SPACED_WORD, gram_hashes, handing_back, materialise, mix, ship_package, text_runs, word_hashes, words
 from keystat.llm.graph import components
 
 SHINGLE = 5
@@ -112,7 +112,7 @@ def _set_keys(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in handing_back(batches):
         for row, h, offsets in _shingles(batch.column("text")):
             n = len(offsets) - 1
             bands = _bands(_signatures(h, offsets))
@@ -126,7 +126,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _full_sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
     """(key, shingles) of the rows whose id's hash ``h`` is marked in the bitmap."""
     bitmap = wanted.value
-    for batch in batches:
+    for batch in handing_back(batches):
         bit = batch.column("h").to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
         hit = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
         for row, h, offsets in _shingles(batch.column("text").filter(pa.array(hit))):
@@ -260,6 +260,7 @@ def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | Non
 
 def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketches = materialise(docs.mapInArrow(
         _sketch, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key binary, bands array<long>"),

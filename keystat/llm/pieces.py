@@ -29,6 +29,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate, count
 
@@ -38,7 +39,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystat.llm.common import ship_package
+from keystat.llm.common import handing_back, ship_package
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
@@ -51,7 +52,7 @@ REMEMBERED_LENGTH = 48
 LEARNED_BYTES = 1 << 19
 LEARNED_LENGTH = 32
 #: Characters of the table in which they are.
-TABLE_CHARACTERS = [chr(c) for c in range(0x20, 0x180)]
+TABLE_CHARACTERS = [chr(c) for c in range(0x20, 0x100)]
 #: Characters after which a run of rows goes out.
 RUN_BYTES = 1 << 20
 #: What a byte costs more than the worst ordinary piece.
@@ -187,9 +188,12 @@ class Pieces:
 
     def learn(self, units: set[str]) -> None:
         """Viterbi passes of those units that aren't remembered, all at once where the table knows their characters."""
-        new = [u for u in units if len(u) <= LEARNED_LENGTH and u not in self.units and u not in self.units.before]
-        for unit, found in self.table.viterbi(new):
-            self.units.keep(unit, found)
+        held = self.units
+        if len(held) + len(units) > REMEMBERED // 2:
+            held.turn()
+        fresh, before = units - held.keys(), held.before
+        held.update([(u, before[u]) for u in fresh if u in before])
+        held.update(self.table.viterbi([u for u in fresh if u not in before and len(u) <= LEARNED_LENGTH]))
 
     def encode_all(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes]]]:
         """:meth:`encode` of each text."""
@@ -252,14 +256,14 @@ class _Remembered(dict):
         if found is None:
             found = self.compute(key)
         if self.size(key) <= REMEMBERED_LENGTH:
-            self.keep(key, found)
+            if len(self) >= REMEMBERED // 2:
+                self.turn()
+            self[key] = found
         return found
 
-    def keep(self, key, found) -> None:
-        if len(self) >= REMEMBERED // 2:
-            self.before = dict(self)
-            self.clear()
-        self[key] = found
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
 
 
 class _Table:
@@ -270,9 +274,9 @@ class _Table:
         # a character that is no piece of its own would need its bytes
         known = [c for c in TABLE_CHARACTERS if c in trie and trie[c][1] >= 0][:255]
         self.code = {ord(c): i for i, c in enumerate(known, 1)}
-        rows, pieces, scores, todo = [[0] * (len(known) + 1)], [-1, -1], [0.0, 0.0], [trie]
+        rows, pieces, scores, todo = [array("i", bytes(4 * (len(known) + 1)))], [-1, -1], [0.0, 0.0], [trie]
         for node in todo:  # grows as it goes: breadth first, a node's number is its place in it
-            row = [0] * (len(known) + 1)
+            row = array("i", bytes(4 * (len(known) + 1)))
             for i, c in enumerate(known, 1):
                 if c in node:
                     row[i] = len(pieces)
@@ -280,14 +284,14 @@ class _Table:
                     scores.append(node[c][2])
                     todo.append(node[c][0])
             rows.append(row)
-        self.next = np.array(rows, np.int32)
+        self.next = np.array(rows, np.uint16 if len(pieces) < 1 << 16 else np.int32)
         self.piece, self.score = np.array(pieces, np.int32), np.array(scores)
 
-    def viterbi(self, units: list[str]) -> Iterator[tuple[str, tuple[float, bytes, float]]]:
-        """(unit, what :meth:`Pieces.viterbi` gives) of the units made of the table's characters."""
+    def viterbi(self, units: list[str]) -> dict[str, tuple[float, bytes, float]]:
+        """What :meth:`Pieces.viterbi` gives of those units that are made of the table's characters."""
         units = [u for u in units if u]
         if not units:
-            return
+            return {}
         points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = np.zeros(int(points.max()) + 1 if len(points) else 1, np.uint8)
         for c, i in self.code.items():
@@ -335,8 +339,9 @@ class _Table:
         used = path >= 0
         ids = path[used].astype("<i4").tobytes()
         ends = np.cumsum(used.sum(axis=1) * 4).tolist()
-        for i, score, a, b, lost in zip(good.tolist(), best[np.arange(n), sizes].tolist(), [0, *ends[:-1]], ends, loss.tolist()):
-            yield units[i], (score, ids[a:b], lost)
+        paths = [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return dict(zip([units[i] for i in good.tolist()],
+                        zip(best[np.arange(n), sizes].tolist(), paths, loss.tolist(), strict=True), strict=True))
 
 
 def _least_sums(loss: list[tuple[float, int, int]], n: int) -> list[tuple[float, tuple]]:
@@ -379,7 +384,7 @@ def _round_trips(pieces: Pieces, texts: list[bytes], ids: np.ndarray, offsets: n
 def _encode(shared, nbest: int, check: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared.value)
-        for batch in batches:
+        for batch in handing_back(batches):
             keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
             # rows go out in runs, so that long texts' pieces don't pile up
             column, first = batch.column("__text"), 0

@@ -241,3 +241,30 @@ def test_pipeline_stages_keep_columns(llm_spark):
         assert out.columns == extra.columns, name
         assert {r["score"] for r in out.select("score").collect()} == {7}
         assert stage(llm_spark, extra.limit(0), "/root/testdata/sf0.001").collect() == []
+
+
+def test_units_searched_together_are_those_searched_alone():
+    """The table's passes equal the plain ones, for units of the texts and of random characters."""
+    import random
+
+    from keystat.llm import pieces
+    with open(pieces.MODEL, "rb") as f:
+        own = pieces.Pieces(f.read())
+    rng = random.Random(2)
+    units = {"", " ", "  ", "a", " the", " Straße", "naïve", "x" * 40, "日本", " €5", "\n"}
+    units |= {"".join(rng.choice(" abcdeéßñ'.,0QZ") for _ in range(rng.randrange(1, 14))) for _ in range(3000)}
+    got = dict(own.table.viterbi(sorted(units)))
+    assert len(got) > 2000 and {"日本", " €5"}.isdisjoint(got)
+    assert all(found == own.viterbi(u) for u, found in got.items())
+
+
+def test_ends_of_units_lose_no_segmentation():
+    """N best of whole texts by one search over the whole lattice, against those by units."""
+    from keystat.llm import pieces
+    with open(pieces.MODEL, "rb") as f:
+        own = pieces.Pieces(f.read())
+    for text in ("Hello, world. It's (a) test!", "a,b;c:d", "End.", "x-ray's \"quoted\" words, e.g. these", "e.V.,u.a.!"):
+        whole = own.nbest(" " + text, 3)
+        parts = own.encode(text, 3)
+        assert [round(s, 6) for s, _ in whole] == [round(s, 6) for s, _ in parts]
+        assert all(own.decode(ids) == text for _, ids in parts)
