@@ -21,6 +21,7 @@ there is no shuffle.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -70,23 +71,62 @@ ALLOWED = (
 )
 
 
+#: Running values are made in blocks of so many, at each of ``LEVELS`` levels: up to about 256 ** 3
+#: values (a text of hundreds of MB) the totals take less time than the values.
+BLOCK = 256
+LEVELS = 1
+#: Texts are cut for redaction in blocks of so many code points.
+CUT = 4096
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once even where lambdas use it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, zero: int, step: Callable[[Column, Column], Column], levels: int = LEVELS) -> Column:
+    """For each of the ``values`` (longs) what ``step`` makes of all before it, from ``zero``. An
+    array grows by copies, so values are taken in blocks, which start from the running values of
+    the blocks' totals: time is in proportion to the number of values."""
+    none = F.array().cast("array<bigint>")
+    fold = lambda part: F.aggregate(part, F.lit(zero).cast("bigint"), step)
+
+    def one_block(part: Column, start: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(start.alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(step(acc["at"], x).alias("at"),
+                                    F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
+
+    if not levels:
+        return one_block(values, F.lit(zero).cast("bigint"))
+
+    def blocks(v: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")),
+                          lambda k: F.slice(v, k * BLOCK + 1, BLOCK))
+        return _let(cut, lambda c: F.flatten(F.zip_with(
+            c, _running(F.transform(c, fold), zero, step, levels - 1), one_block)))
+
+    return _let(values, lambda v: F.when(F.size(v) <= BLOCK, one_block(v, F.lit(zero).cast("bigint")))
+                .otherwise(blocks(v)))
+
+
 def _located(text: Column, pattern: str) -> Column:
-    """Every match of ``pattern``: (start, end, text), by the lengths of the
+    """Every match of ``pattern``: (start, end, part), by the lengths of the
     matches and of what lies between them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    return F.when(F.size(found) == 0, F.array().cast("array<struct<start:int,end:int,part:string>>")).otherwise(
-        F.aggregate(
-            F.arrays_zip(between.alias("between"), found.alias("found")),
-            F.struct(F.lit(0).alias("at"),
-                     F.array().cast("array<struct<start:int,end:int,part:string>>").alias("out")),
-            lambda acc, x: F.when(x["found"].isNull(), acc).otherwise(F.struct(
-                (acc["at"] + F.length(x["between"]) + F.length(x["found"])).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(
-                    (acc["at"] + F.length(x["between"])).alias("start"),
-                    (acc["at"] + F.length(x["between"]) + F.length(x["found"])).alias("end"),
-                    x["found"].alias("part")))).alias("out"))),
-            lambda acc: acc["out"]))
+
+    def placed(parts: Column) -> Column:
+        lengths = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(parts)), parts,
+                             lambda b, f: F.struct(F.length(b).cast("bigint").alias("skip"),
+                                                   F.length(f).cast("bigint").alias("own"), f.alias("part")))
+        return _let(lengths, lambda n: F.zip_with(
+            n, _running(F.transform(n, lambda x: x["skip"] + x["own"]), 0, lambda at, x: at + x),
+            lambda x, at: F.struct((at + x["skip"]).cast("int").alias("start"),
+                                   (at + x["skip"] + x["own"]).cast("int").alias("end"), x["part"].alias("part"))))
+
+    return _let(found, lambda parts: F.when(
+        F.size(parts) == 0, F.array().cast("array<struct<start:int,end:int,part:string>>")).otherwise(placed(parts)))
 
 
 def _placed(found: Column, kind: str, place: int) -> Column:
@@ -94,14 +134,38 @@ def _placed(found: Column, kind: str, place: int) -> Column:
         x["start"].alias("start"), F.lit(place).alias("place"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
+def _clear_of(base: Column, more: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``, by one sorted pass each way: the greatest end of
+    the base spans before a span, and the least start of those after it."""
+    far = 1 << 40
+    both = F.sort_array(F.concat(
+        F.transform(base, lambda x: F.struct(x["start"].alias("start"), F.lit(0).alias("place"),
+                                             x["end"].alias("end"), x["kind"].alias("kind"))),
+        F.transform(more, lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("place"),
+                                             x["end"].alias("end"), x["kind"].alias("kind")))))
+
+    def passes(spans: Column) -> Column:
+        ends = F.transform(spans, lambda x: F.when(x["place"] == 0, x["end"]).otherwise(0).cast("bigint"))
+        starts = F.reverse(F.transform(spans, lambda x: F.when(x["place"] == 0, x["start"].cast("bigint")).otherwise(far)))
+        sides = F.zip_with(_running(ends, 0, lambda m, x: F.greatest(m, x)),
+                           F.reverse(_running(starts, far, lambda m, x: F.least(m, x))),
+                           lambda before, after: F.struct(before.alias("before"), after.alias("after")))
+        marked = F.zip_with(spans, sides, lambda x, side: F.struct(
+            ((x["place"] == 1) & (side["before"] <= x["start"]) & (side["after"] >= x["end"])).alias("clear"),
+            F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")).alias("span")))
+        return F.transform(F.filter(marked, lambda x: x["clear"]), lambda x: x["span"])
+
+    return F.when((F.size(more) == 0) | (F.size(base) == 0), more).otherwise(_let(both, passes))
+
+
 def _window_span(part: Column, c: CharClass) -> Column:
     """(first, last): starts of the first and the last window of ``part`` whose
     entropy reaches the class's threshold; nulls if there are none."""
     w = c.window
-    terms = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(w + 2)])
+    terms = F.expr("array(" + ", ".join(f"{n * math.log2(n) if n else 0.0!r}D" for n in range(w + 2)) + ")")
     # entropy = log2(w) - sum / w, so the threshold is an upper bound of the sum
     most = w * (math.log2(w) - c.bits) + 1e-9
-    places = F.array(*[F.lit(c.alphabet.find(chr(b))) for b in range(128)])
+    places = F.expr("array(" + ", ".join(str(c.alphabet.find(chr(b))) for b in range(128)) + ")")
     symbols = F.transform(F.split(part, "", -1), lambda x: F.get(places, F.ascii(x)))
     term = lambda n: F.element_at(terms, n + 1)
 
@@ -166,32 +230,42 @@ def scan_secrets(docs: DataFrame, text: str = "text", *, classes: tuple[CharClas
         "__value": F.regexp_extract_all(whole, F.lit(ASSIGN), F.lit(2)),
         **{f"__{c.kind}": _located(whole, c.pattern) for c in classes}})
     long_enough = F.filter(
-        F.transform(F.col("__assign"), lambda x, i: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), F.length(F.get(F.col("__value"), i)).alias("value"))),
+        F.zip_with("__assign", "__value", lambda x, v: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.length(v).alias("value"))),
         lambda x: x["value"] >= ASSIGN_LENGTH)
-    # array_sort orders structs by start, then by the kind's place in the list
-    base = F.array_sort(F.concat(*[
+    # structs are ordered by start, then by the kind's place in the list
+    base = F.sort_array(F.concat(*[
         _placed(x, kind, i) for i, (kind, x)
         in enumerate(zip(KINDS, (long_enough, F.col("__access"), F.col("__hex")), strict=True))]))
     found = found.withColumn("base_spans", F.transform(base, lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-    more = F.filter(
-        F.concat(*[_entropy_spans(F.col(f"__{c.kind}"), c, allowed) for c in classes]),
-        lambda x: ~F.exists(F.col("base_spans"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    found = found.withColumn("secret_spans", F.array_sort(F.concat("base_spans", more)))
+    more = F.concat(*[_entropy_spans(F.col(f"__{c.kind}"), c, allowed) for c in classes])
+    found = found.withColumn("secret_spans", _let(more, lambda m: F.sort_array(
+        F.concat(F.col("base_spans"), _clear_of(F.col("base_spans"), m)))))
     return found.drop(*marks, "__value")
 
 
 def redact(text: str = "text", spans: str = "secret_spans", mark: str = "[SECRET]") -> Column:
     """The text with every span, overlapping ones together, replaced by ``mark``;
-    a null text stays null."""
+    a null text stays null. Each part is cut from blocks of ``CUT`` code points, which takes time
+    in proportion to the text, however many spans there are."""
     whole = F.col(text)
-    done = F.aggregate(
-        F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(
-            x["end"].alias("at"),
-            F.concat(acc["out"], F.when(x["start"] >= acc["at"], F.concat(
-                F.substring(whole, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
-            ).alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))))
-    return F.when(F.size(spans) == 0, whole).otherwise(done)
+
+    def part(blocks: Column, start: Column, end: Column) -> Column:
+        cut = lambda k: F.substring(F.get(blocks, k), F.greatest(start - k * CUT, F.lit(0)) + 1,
+                                    F.least(end - k * CUT, F.lit(CUT)) - F.greatest(start - k * CUT, F.lit(0)))
+        place = lambda at: F.floor(at / CUT).cast("int")
+        return F.when(end <= start, "").otherwise(
+            F.array_join(F.transform(F.sequence(place(start), place(end - 1)), cut), ""))
+
+    def rebuilt(both: Column) -> Column:
+        blocks, found = both["blocks"], both["spans"]
+        reach = _running(F.transform(found, lambda x: x["end"].cast("bigint")), 0, lambda m, x: F.greatest(m, x))
+        pieces = F.zip_with(found, reach, lambda x, at: F.when(x["start"] >= at, F.concat(
+            part(blocks, at.cast("int"), x["start"]), F.lit(mark))).otherwise(""))
+        tail = part(blocks, F.array_max(F.transform(found, lambda x: x["end"])), F.length(whole))
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    blocks = F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, whole).otherwise(
+        _let(F.struct(blocks.alias("blocks"), F.col(spans).alias("spans")), rebuilt))
