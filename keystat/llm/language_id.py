@@ -5,10 +5,12 @@ A text is lower-cased and cut into words of letters; the character n-grams
 rows. The mean of a text's rows goes through a linear softmax. Embeddings and
 softmax are trained together by stochastic gradient descent in numpy.
 
-Only the fit uses a sample: about ``SAMPLE`` labelled rows with the smallest hashes of their ids.
-A part of it is held back to calibrate: a temperature for the probabilities, and
+Only the fit uses a sample: the ``SAMPLE`` labelled rows, at most, with the smallest hashes of id,
+text and language; rows without an id or of one id are drawn like others. A fifth of it is held
+back to calibrate: a temperature for the probabilities, and
 the rejection threshold, below which fall at most ``REJECT`` of the held-back rows
-that were named rightly. Prediction reads whole texts. As the softmax is linear, a bucket's
+that were named rightly. Fewer than ``LEAST_HELD`` rows are all learned from: the temperature
+is 1 then and nothing with letters is rejected. Prediction reads whole texts. As the softmax is linear, a bucket's
 embedding times the weights is one row of class scores, so predicting sums those.
 
 Rows are kept one for one. A null text or one without letters is ``und`` with
@@ -36,6 +38,8 @@ SAMPLE = 3000
 EPOCHS = 12
 RATE = 0.5
 REJECT = 0.001
+#: Samples of fewer rows are too small to hold a fifth back.
+LEAST_HELD = 50
 UNDETERMINED = "und"
 #: Characters that are handled at once, about.
 RUN_CHARS = 1 << 18
@@ -158,7 +162,7 @@ def fit(sample: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel | Non
     for i, (_, buckets, counts) in enumerate(sample):
         x[i, buckets] = counts / counts.sum()
     y = np.array([languages.index(s[0]) for s in sample])
-    held = np.arange(len(y)) % 5 == 0 if len(y) >= 50 else np.zeros(len(y), bool)
+    held = np.arange(len(y)) % 5 == 0 if len(y) >= LEAST_HELD else np.zeros(len(y), bool)
     table, bias = _train(x, y, np.flatnonzero(~held), len(languages))
     logits = x[held] @ table + bias
     model = LanguageModel(languages, table.astype(np.float32), bias, calibrate(logits, y[held]), 0.0)
@@ -192,15 +196,17 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def train(docs: DataFrame, *, sample: int = SAMPLE) -> LanguageModel | None:
-    """Fit on about ``sample`` rows of (doc_id, text, lang) that have a language,
-    drawn by a hash of their ids."""
+    """Fit on the ``sample`` rows, at most, of (doc_id, text, lang) that have a language and a text and
+    the smallest hashes of all three."""
     ship_package(docs.sparkSession)
+    key = F.xxhash64(F.col("doc_id").cast("string"), "text", "lang")
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = labelled.count()
-    if not n:
+    # the bound is found on hashes alone; texts of the rows below it are read after, and rows with
+    # the hash at the bound are copies of one another, of which the limit leaves some
+    least = labelled.select(key.alias("key")).orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    if least is None:
         return None
-    share = min(1.0, sample / n)
-    drawn = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = labelled.where(key <= least).orderBy(key).limit(sample)
     bags = drawn.select("lang", "text").mapInArrow(
         _bags, "lang string, buckets array<long>, counts array<long>").toArrow().combine_chunks()
     if not len(bags):
