@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystat.llm.common import LETTER_WORD, LOWER, materialise, set_aside, text_runs, word_hashes, words
+from keystat.llm.common import (LETTER_WORD, LOWER, hand_back, materialise, ship_package, text_runs, word_hashes,
+                                words)
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -195,25 +196,34 @@ def _pass(block, everything: bool):
     return look_up
 
 
+def _items(benchmark: DataFrame, text: str, item: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """The distinct items (item, text), and the number of blocks that they are read in."""
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).distinct()
+    size = items.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    return items, int(size // block_bytes) + 1
+
+
+def _block(items: DataFrame, blocks: int, b: int):
+    """Block ``b`` of the items, broadcast."""
+    part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+    return items.sparkSession.sparkContext.broadcast(read_suffixes(part.toArrow()))
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id",
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``matches`` (longest verbatim matches: item,
     doc_start, item_start, n_words, in words), ``n_hit`` (words inside any match)
     and ``items`` (their distinct item ids, sorted). Input columns of these names
     are replaced; the text column stays."""
-    spark = docs.sparkSession
+    ship_package(docs.sparkSession)
     docs = docs.drop(*[c for c in ("n_words", "matches", "n_hit", "items") if c != text])
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).distinct()
-    size = items.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    blocks = int(size // block_bytes) + 1
+    items, blocks = _items(benchmark, text, item, block_bytes)
     whole = docs.withColumn("__text", F.col(text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema = (schema + ", " if schema else "") + f"n_words long, matches array<{MATCH}>"
 
     def one(b: int, frame: DataFrame, everything: bool) -> DataFrame:
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        block = spark.sparkContext.broadcast(read_suffixes(part.toArrow()))
-        return frame.mapInArrow(_pass(block, everything), schema)
+        return frame.mapInArrow(_pass(_block(items, blocks, b), everything), schema)
 
     if blocks == 1:
         found = one(0, whole, True)
@@ -243,7 +253,46 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", i
         "n_hit": hit, "items": F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"])))})
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that hold a window of an item."""
-    renamed, back = set_aside(docs, ("n_words", "matches", "n_hit", "items"))
-    return back(find_matches(renamed, benchmark, **options).where(F.col("n_hit") == 0))
+def _held(column: pa.Array, block: Suffixes) -> np.ndarray:
+    """Whether each text holds a window: each distinct window is looked up once, whatever items share it."""
+    _, rows, _, keys = _suffix_array(column, block)
+    hit = np.zeros(len(column), bool)
+    for w, wanted in block.keys.items():
+        prefix, wanted = keys.astype(f"S{4 * w}"), np.unique(wanted)
+        low, high = np.searchsorted(prefix, wanted, "left"), np.searchsorted(prefix, wanted, "right")
+        # places of the array that lie in some window's range
+        edge = np.zeros(len(rows) + 1, np.int64)
+        np.add.at(edge, low, 1)
+        np.add.at(edge, high, -1)
+        hit[rows[np.cumsum(edge[:-1]) > 0]] = True
+    return hit
+
+
+def _holds(block):
+    # only texts go to Python, shard by shard, and a flag for each comes back
+    @F.arrow_udf("boolean")
+    def holds(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held: list[pa.Array] = []
+        for text in texts:
+            held.append(text)
+            if sum(t.nbytes for t in held) >= SHARD_BYTES:
+                yield pa.array(_held(pa.concat_arrays(held), block.value))
+                held = []
+        if held:
+            yield pa.array(_held(pa.concat_arrays(held), block.value))
+        hand_back()
+
+    return holds.asNondeterministic()
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id",
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without those that hold a window of an item. Every column but the text stays in the
+    JVM; with several blocks, what one leaves is written before the next goes over it."""
+    ship_package(docs.sparkSession)
+    items, blocks = _items(benchmark, text, item, block_bytes)
+    for b in range(blocks):
+        found = docs.withColumn("__held", _holds(_block(items, blocks, b))(F.col(text)))
+        left = found.where(~F.col("__held")).select(*[F.col(f"`{c}`") for c in docs.columns])
+        docs = materialise(left, "clean") if b + 1 < blocks else left
+    return docs
