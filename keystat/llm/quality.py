@@ -7,8 +7,9 @@ occurs in, over the whole corpus, so terms that share documents get similar
 vectors. A document is the mean of its terms' vectors, words and shapes apart.
 
 A two-layer network in numpy (tanh, then logistic) is fitted on those features of
-at most ``SAMPLE`` labelled rows, drawn by a hash of their ids; a part is held back
-to find the temperature of its probabilities. Everything else covers all rows.
+at most ``SAMPLE`` labelled rows, those of the smallest hashes of id and label, and then of id,
+label and text where ids repeat; a fifth is held back to find the temperature of its
+probabilities (1 where there are fewer than ``LEAST_HELD`` rows). Everything else covers all rows.
 
 Rows are kept one for one. An empty or null text has a zero vector and is scored
 like any other; without labelled rows every score is 0.5. Repeated rows, long
@@ -32,9 +33,12 @@ ROWS = WORD_ROWS + SHAPE_ROWS
 DIMENSIONS = 48
 #: Places of a document's random vector that are not 0.
 NONZERO = 4
-#: The table of vectors is summed in so many slices.
+#: The table of vectors is summed in so many slices; each first in up to ``PARTS`` parts.
 SLICES = 48
+PARTS = 8
 SAMPLE = 4000
+#: Samples of fewer rows are too small to hold a fifth back.
+LEAST_HELD = 50
 HIDDEN = 24
 EPOCHS = 60
 RATE = 0.1
@@ -88,7 +92,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             any_row |= len(word) > 0
             text = np.repeat(np.arange(len(first) - 1), np.diff(first))
             # a text's key is the sum of its words' hashes: equal texts get equal vectors
-            total = np.concatenate([[0], np.cumsum(mix(word.astype(np.uint64)))]).astype(np.uint64)
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(word.astype(np.uint64)))])
             with np.errstate(over="ignore"):
                 keys = mix(total[first[1:]] - total[first[:-1]])
             places, signs = _random_vectors(keys)
@@ -102,22 +106,30 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["slice", "sums"])
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, sums in zip(batch.column("slice").to_pylist(), batch.column("sums").to_pylist(), strict=True):
-            values = np.frombuffer(sums, np.float32).astype(np.float64)
-            totals[part] = totals[part] + values if part in totals else values
-    if totals:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()), pa.array([v.tobytes() for v in totals.values()], pa.binary())],
-            names=["slice", "sums"])
+def _add(kind: type):
+    """Sums of each slice's rows, which come as numbers of ``kind`` and leave as doubles."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, sums in zip(batch.column("slice").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                values = np.frombuffer(sums, kind).astype(np.float64)
+                totals[part] = totals[part] + values if part in totals else values
+        if totals:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals), pa.int32()), pa.array([v.tobytes() for v in totals.values()], pa.binary())],
+                names=["slice", "sums"])
+
+    return add
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The table of term vectors, over all texts, each of length 1 (or 0)."""
-    parts = (docs.select("text").mapInArrow(_index, "slice int, sums binary")
-             .repartition("slice").mapInArrow(_add, "slice int, sums binary").collect())
+    schema = "slice int, sums binary"
+    tables = docs.select("text").mapInArrow(_index, schema).withColumn(
+        "part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+    # a task's table is 3.5 MB: with many tasks, a slice's sums are too much for one reducer
+    first = tables.repartition("slice", "part").select("slice", "sums").mapInArrow(_add(np.float32), schema)
+    parts = first.repartition("slice").mapInArrow(_add(np.float64), schema).collect()
     table = np.zeros((ROWS, DIMENSIONS))
     if parts:
         found = {r["slice"]: np.frombuffer(r["sums"]) for r in parts}
@@ -161,7 +173,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> QualityModel | None:
     """Momentum descent in batches on four fifths; the rest sets the temperature."""
     if not len(y):
         return None
-    held = np.arange(len(y)) % 5 == 0 if len(y) >= 50 else np.zeros(len(y), bool)
+    held = np.arange(len(y)) % 5 == 0 if len(y) >= LEAST_HELD else np.zeros(len(y), bool)
     xt, yt = x[~held].astype(np.float64), y[~held].astype(np.float64)
     rng = np.random.default_rng(5)
     mean, spread = xt.mean(axis=0), xt.std(axis=0) + 1e-3
@@ -207,12 +219,14 @@ def _features(shared):
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, *, sample: int = SAMPLE) -> QualityModel | None:
-    """Fit on at most ``sample`` rows of ``labels`` (doc_id, quality) with their texts."""
+    """Fit on at most ``sample`` texts with labels, of at most so many rows of ``labels`` (doc_id, quality)."""
     spark = docs.sparkSession
     drawn = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "quality").distinct()
              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
     shared = spark.sparkContext.broadcast(vectors)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "quality")
+    # an id may have many rows: the bound holds for the rows that meet a label
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = (met.orderBy(F.xxhash64("doc_id", "quality", "text")).limit(sample).select("text", "quality")
             .mapInArrow(_features(shared), "quality int, x binary").collect())
     rows = sorted((r["x"], r["quality"]) for r in rows)
     np.random.default_rng(3).shuffle(rows)
