@@ -211,6 +211,9 @@ def test_matches(llm_spark, block_bytes):
     benchmark = llm_spark.createDataFrame(items, "item_id string, text string").withColumn("matches", F.lit(1))
     docs = frame(llm_spark, texts).withColumn("items", F.lit("clash"))
     rows = dec.find_matches(docs, benchmark, block_bytes=block_bytes).orderBy("doc_id").collect()
+    left = dec.decontaminate(docs.withColumn("n_hit", F.lit("own")), benchmark, block_bytes=block_bytes)
+    assert left.columns == [*docs.columns, "n_hit"]
+    assert sorted(r["doc_id"] for r in left.collect()) == [r["doc_id"] for r in rows if not r["n_hit"]]
     want = plain_matches(texts, items)
     assert [(r["n_words"], r["n_hit"], r["items"]) for r in rows] == want
     left = dec.decontaminate(docs, benchmark, block_bytes=block_bytes)
@@ -228,3 +231,16 @@ def test_matches_of_empty_tables(llm_spark):
     rows = dec.find_matches(frame(llm_spark, ["a b"]), none).collect()
     assert [(r["n_words"], r["n_hit"], r["items"]) for r in rows] == [(2, 0, [])]
     assert dec.find_matches(frame(llm_spark, []), none).collect() == []
+
+
+def test_a_prompt_of_many_items_is_looked_up_once(llm_spark):
+    from keystat.llm import decontaminate as dec
+
+    prompt = "one two three four five six seven eight nine ten"
+    items = [(f"i{i}", f"{prompt} own{i}") for i in range(2000)]
+    benchmark = llm_spark.createDataFrame(items, "item_id string, text string")
+    docs = frame(llm_spark, [f"{prompt} d{i}" if i % 2 else f"d{i} {prompt[4:]}" for i in range(200)] + [None, ""])
+    left = dec.decontaminate(docs, benchmark).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in left) == [*range(1, 201, 2), 201, 202]
+    assert dec.decontaminate(docs, benchmark.limit(0)).count() == 202
+    assert dec.decontaminate(docs.limit(0), benchmark).collect() == []

@@ -40,6 +40,51 @@ def test_language_edge_rows(llm_spark):
     assert language_id.identify(odd.limit(0), model).collect() == []
 
 
+def test_samples_are_bounded_whatever_the_ids(llm_spark, monkeypatch):
+    # no ids, one id and repeated rows: no more rows than the sample says reach the fit
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda rows: seen.append(len(rows)))
+    texts = ["the cat and the dog", "der Hund und die Katze"] * 200
+    docs = frame(llm_spark, [f"{t} {i}" for i, t in enumerate(texts)], [None] * 400)
+    copies = frame(llm_spark, ["the same"] * 400, [1] * 400)
+    for d in (docs, copies, docs.union(copies), docs.withColumn("doc_id", F.lit(3))):
+        language_id.train(d, sample=60)
+    assert seen == [60] * 4
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((len(x), len(y))))
+    labels = llm_spark.createDataFrame([(1, 0), (1, 1)], "doc_id long, quality int")
+    quality.train(copies.union(docs), labels, quality.word_vectors(docs), sample=60)
+    assert seen[4:] == [(60, 60)]
+
+
+def test_scores_of_languages_by_plain_sums(llm_spark):
+    texts = ["the cat and the dog", "der Hund und die Katze", "le chat et le chien"] * 30
+    docs = frame(llm_spark, texts).withColumn("lang", F.element_at(F.array(*map(F.lit, ("en", "de", "fr"))),
+                                                                   ((F.col("doc_id") - 1) % 3 + 1).cast("int")))
+    model = language_id.train(docs)
+    asked = ["the chien", "KATZE dog 7", "x", "und le cat " * 700, "dog"]
+    for r in language_id.identify(frame(llm_spark, asked), model).collect():
+        buckets = language_id.subwords([r["text"].lower()])[0].tolist()
+        z = sum(model.table[b].astype(float) for b in buckets) / len(buckets) + model.bias
+        p = np.exp(z / model.temperature) / np.exp(z / model.temperature).sum()
+        assert r["lang_pred"] == model.languages[int(p.argmax())] and abs(r["score"] - p.max()) < 1e-5
+        assert r["accepted"] == (p.max() >= model.threshold)
+
+
+def test_term_vectors_by_plain_sums(llm_spark):
+    texts = ["a calm line", "a calm day", None, "", "Line! line!", "a calm line"] * 3
+    got, table_ = quality.word_vectors(frame(llm_spark, texts).repartition(5)), np.zeros((quality.ROWS, quality.DIMENSIONS))
+    for t in filter(None, texts):
+        data = np.frombuffer(t.encode(), np.uint8)
+        word, shape, _ = quality.terms(data, np.array([0, len(data)]))
+        key = quality.mix(np.array([sum(int(x) for x in quality.mix(word.astype(np.uint64))) % (1 << 64)], np.uint64))
+        (places,), (signs,) = quality._random_vectors(key)
+        for row in (*word, *shape):
+            for p, s in zip(places, signs, strict=True):
+                table_[row, p] += s
+    norm = np.linalg.norm(table_, axis=1, keepdims=True)
+    assert np.allclose(got, table_ / np.where(norm > 0, norm, 1), atol=1e-6) and got.any()
+
+
 def plain_subwords(text):
     import itertools
     words = ["".join(g) for k, g in itertools.groupby(text, str.isalpha) if k]

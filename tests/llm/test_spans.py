@@ -20,7 +20,7 @@ EDGE = [None, "", " ", "x" * 200_000, "mail a.b@c.de, b@c.de@d.ef 1.2.3.4.5 300.
 
 def plain_personal(x):
     found = [(m.start(), 0, m.end()) for m in
-             re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)] if len(x) < 5000 else []
+             re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)] if "@" in x else []
     found += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", x)
               if all(int(p) <= 255 for p in m[0].split("."))]
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", x):
@@ -164,3 +164,66 @@ def test_allow_list_and_redaction(llm_spark):
     rows = secrets.scan_secrets(frame(llm_spark, texts)).withColumn("clean", secrets.redact()).orderBy("doc_id").collect()
     assert [r["clean"] for r in rows] == [texts[0], texts[1], "key [SECRET] end", "[SECRET] and é [SECRET]", None,
                                           "plain words"]
+
+
+def test_queries_give_the_digests_of_plain_patterns(llm_spark):
+    import hashlib
+
+    from keystat.llm import queries
+    from keystat.llm.common import table
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in table(llm_spark, sf, "documents").select("doc_id", "text").collect()}
+    for query, plain, kinds in ((queries.op1_pii, lambda x: [(s, e, pii.KINDS[p]) for s, p, e in plain_personal(x)],
+                                 ("email", "ip", "card", "phone")),
+                                (queries.op2_secret_scan, plain_secrets, ("assign", "access", "hex"))):
+        rows = query(llm_spark, sf).collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+        for r in rows:
+            spans = plain(texts[r["doc_id"]])
+            marks = [f"{k}:{s}:{e}" for s, e, k in spans]
+            assert [r[f"n_{k}"] for k in kinds] == [sum(k == x[2] for x in spans) for k in kinds]
+            assert r["base_sha256"] == hashlib.sha256(",".join(marks).encode()).hexdigest()
+            assert set(marks) <= set(r["spans"].split(","))
+
+
+def test_running_values(llm_spark):
+    rng = random.Random(5)
+    rows = [([rng.randint(-50, 50) for _ in range(n)],) for n in (0, 1, 255, 256, 257, 700)]
+    got = llm_spark.createDataFrame(rows, "v array<bigint>").select(
+        "v", secrets._running(F.col("v"), 0, lambda a, x: a + x).alias("sums"),
+        secrets._running(F.col("v"), 0, lambda a, x: F.greatest(a, x), 2).alias("most")).collect()
+    for r in got:
+        assert r["sums"] == [sum(r["v"][:i]) for i in range(len(r["v"]))]
+        assert r["most"] == [max([0, *r["v"][:i]]) for i in range(len(r["v"]))]
+
+
+def test_many_secrets_in_one_text(llm_spark):
+    part = "token=abcdefgh1 é Zx81kQv92LmPq73RtYw64NbH "
+    for n in (1000, 16_000):
+        docs = frame(llm_spark, [part * n]).withColumn("text", F.concat("text", F.lit("end")))
+        r = secrets.scan_secrets(docs).select(
+            "base_spans", "secret_spans", secrets.redact().alias("clean")).first()
+        step = len(part)
+        assert [tuple(s)[:2] for s in r["base_spans"]] == [(i * step, i * step + 15) for i in range(n)]
+        assert [tuple(s)[:2] for s in r["secret_spans"]] == [
+            x for i in range(n) for x in ((i * step, i * step + 15), (i * step + 18, i * step + 42))]
+        assert r["clean"] == "[SECRET] é [SECRET] " * n + "end"
+
+
+def plain_redaction(text, spans):
+    out, at = "", 0
+    for s, e, _ in spans:  # overlapping spans are one mark, touching ones two
+        if e > at:
+            out += text[at:s] + "[SECRET]" if s >= at else ""
+            at = e
+    return out + text[at:]
+
+
+def test_redaction_across_blocks(llm_spark):
+    rng = random.Random(6)
+    parts = ["token=abcdefgh1", "🙂" * 3000, "é " * 2500, "secret: AKIA" + "A" * 20, "0f" * 20, "Zx81kQv92LmPq73RtYw64NbH", "x "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(60)]
+    rows = secrets.scan_secrets(frame(llm_spark, texts)).withColumn("clean", secrets.redact()).collect()
+    for r in rows:
+        assert r["clean"] == plain_redaction(r["text"], [tuple(s) for s in r["secret_spans"]])
