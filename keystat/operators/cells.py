@@ -75,19 +75,33 @@ def latest_movies(movies: DataFrame) -> DataFrame:
             .select("movie_id", F.col("m.title").alias("title"), F.col("m.genres").alias("genres")))
 
 
-def info_cells(movies: DataFrame) -> DataFrame:
-    """``info:title`` and ``info:genres`` per movie (one pass, no union)."""
-    m = latest_movies(movies)
+def _info_of_rows(movies: DataFrame) -> DataFrame:
     pairs = F.array(
         F.struct(F.lit(TITLE).alias("qualifier"), _text(F.col("title")).alias("value")),
         F.struct(F.lit(GENRES).alias("qualifier"), F.col("genres").alias("value")),
     )
-    return (m.select(F.col("movie_id").alias("row_key"), F.inline(pairs))
+    return (movies.select(F.col("movie_id").alias("row_key"), F.inline(pairs))
             .where(F.col("value").isNotNull())
             .select("row_key", F.lit(INFO).alias("family"), "qualifier", "value",
                     F.lit("").alias("version")))
 
 
+def info_cells(movies: DataFrame) -> DataFrame:
+    """``info:title`` and ``info:genres`` per movie (one pass, no union)."""
+    return _info_of_rows(latest_movies(movies))
+
+
+def raw_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame | None) -> DataFrame:
+    """The cells of all lines before newest-wins and the restriction to known movies: at least
+    those of :func:`build_cells`, in one pass without a shuffle, to measure them by."""
+    raw = _info_of_rows(movies)
+    if tags is not None:
+        raw = raw.unionByName(user_cells(tags, TAG, "tag"))
+    if ratings is not None:
+        raw = raw.unionByName(user_cells(ratings, RATING, "rating"))
+    return raw
+
+
 def user_cells(events: DataFrame, family: str, value_col: str, batch: str | None = None) -> DataFrame:
     """Tag or rating lines -> raw cells ``<family>:<user_id>`` = ``value|ts``
     (before newest-wins), with ``batch``, 0 where the lines have no such column, if one is named."""

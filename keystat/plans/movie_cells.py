@@ -19,9 +19,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from keystat.operators.cells import (CELL_COLUMNS, build_cells, merge_aligned, newest_cells,
-                                     upsert_cells)
+                                     raw_cells, upsert_cells)
 from keystat.session import checkpoint_dir, get_session
-from keystat.sources.cell_store import (bucket_count, bucketed_cells, buckets_for, folded_batches,
+from keystat.sources.cell_store import (bucket_count, bucketed_cells, buckets_of, folded_batches,
                                         qualified, read_cell_updates, read_cells, write_cells)
 from keystat.sources.csv_inputs import read_movie_inputs
 
@@ -41,7 +41,7 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
     movies, tags, ratings = read_movie_inputs(spark, input_dir, header=header)
     cells = build_cells(movies, tags, ratings)
     if not base:
-        write_cells(cells, output, buckets=buckets or buckets_for(spark, input_dir))
+        write_cells(cells, output, buckets=buckets or buckets_of(raw_cells(movies, tags, ratings)))
         return
     # The delta is read by the size checks and by the merge: checkpoint it
     # once into the shared checkpoint folder (lineage cut, survives the loss
@@ -57,8 +57,8 @@ def run(spark: SparkSession, input_dir: str, output: str, *, base: str | None =
         delta = newest_cells(pending.select(*CELL_COLUMNS, "batch").unionByName(
             delta.withColumn("batch", F.lit(1 << 62))), priority="batch")
     if n is None:  # a table without bucket layout: DataFrame-level upsert
-        write_cells(upsert_cells(read_cells(spark, base), delta), output,
-                    buckets=buckets or buckets_for(spark, base, input_dir), folded=folded)
+        stored = read_cells(spark, base)
+        write_cells(upsert_cells(stored, delta), output, buckets=buckets or buckets_of(stored, delta), folded=folded)
         return
     merged = merge_aligned(bucketed_cells(spark, base), delta, unique=True, buckets=n)
     write_cells(merged, output, buckets=n, aligned=True, folded=folded)
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--updates", help="directory of streamed update batches to fold in")
     ap.add_argument("--header", action="store_true")
     ap.add_argument("--buckets", type=int,
-                    help="bucket count of a new table (default: by the bytes of the inputs)")
+                    help="bucket count of a new table (default: by the measured bytes of the cells)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = get_session(args.master, "keystat-movie-cells")

@@ -13,9 +13,10 @@ cell of the same identity. Registered as a bucketed table, the base already
 *is* hash-partitioned by the identity, so the merge join shuffles only the
 delta into the base's buckets; the base, the large side, is read in place.
 Hashing all three key columns spreads one movie's cells over every bucket.
-``N`` is fixed when a table is first built - given, or the bytes of the inputs by
-``keystat.cells.bucketBytes`` (:func:`buckets_for`) - and carried to every later
-version.
+``N`` is fixed when a table is first built - given, or the measured bytes of the cells by
+``keystat.cells.bucketBytes`` (:func:`buckets_of`) - and carried to every later
+version. A task sorts one bucket, so the measure is of cells as a task holds them, not of
+files, which may be compressed or columnar.
 
 A build or an upsert always writes a *new* directory: Spark cannot safely
 overwrite a path it is reading, and a finished directory is an immutable
@@ -39,6 +40,7 @@ from pyspark.sql import types as T
 from keystat import schemas
 from keystat.operators.cells import (CELL_COLUMNS, CELL_KEY, fits_hash_build, merge_aligned,
                                      merge_cells, newest_cells)
+from keystat.operators.joins import key_set_bytes
 
 BUCKET_BYTES_CONF = "keystat.cells.bucketBytes"
 DEFAULT_BUCKET_BYTES = 256 << 20
@@ -61,13 +63,10 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString().rstrip("/")
 
 
-def buckets_for(spark: SparkSession, *paths: str) -> int:
-    """Bucket count of a table built from these inputs, by their bytes."""
-    size = 0
-    for path in paths:
-        p, fs = _hadoop_path(spark, path)
-        size += fs.getContentSummary(p).getLength()
-    return max(1, -(-size // int(spark.conf.get(BUCKET_BYTES_CONF, str(DEFAULT_BUCKET_BYTES)))))
+def buckets_of(*cells: DataFrame) -> int:
+    """Bucket count of a table of these cells, by their rows and text bytes (one aggregate each)."""
+    per_bucket = int(cells[0].sparkSession.conf.get(BUCKET_BYTES_CONF, str(DEFAULT_BUCKET_BYTES)))
+    return max(1, -(-sum(key_set_bytes(c, CELL_COLUMNS) for c in cells) // per_bucket))
 
 
 def _table_name() -> str:

@@ -16,7 +16,7 @@ from keystat.operators import stocks as S
 from keystat.operators.positions import with_positions
 from keystat.operators.wide import explode_wide, wide_view
 from keystat.sources import driver_tables as T
-from keystat.sources.cell_store import bucketed_cells, buckets_for, read_cells, write_cells
+from keystat.sources.cell_store import bucketed_cells, buckets_of, read_cells, write_cells
 from keystat.sources.range_table import key_ranges, lookup, write_ranges
 from keystat.sources.staged import staged, staging_path
 
@@ -28,11 +28,12 @@ def _inputs(spark, sf):
     return T.movies(spark, sf), T.tags(spark, sf), T.ratings(spark, sf)
 
 
-def _stored(spark, sf, cells) -> str:
-    """A bucketed table of the cells, its bucket count by the bytes of the table they come from."""
+def _stored(spark, movies, tags, ratings) -> tuple[str, int]:
+    """(path, bucket count) of a bucketed table of the cells, the count by the bytes of their lines' cells."""
     path = staging_path(spark, "cells")
-    write_cells(cells, path, buckets=buckets_for(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
-    return path
+    n = buckets_of(C.raw_cells(movies, tags, ratings))
+    write_cells(C.build_cells(movies, tags, ratings), path, buckets=n)
+    return path, n
 
 
 def stored_upsert(spark, sf):
@@ -40,9 +41,8 @@ def stored_upsert(spark, sf):
     movies, tags, _ = _inputs(spark, sf)
     ratings = T.ratings(spark, sf, "l_discount")
     late = F.col("l_discount") >= 0.05
-    base = _stored(spark, sf, C.build_cells(movies, tags, ratings.where(~late)))
+    base, n = _stored(spark, movies, tags, ratings.where(~late))
     delta = staged(C.build_cells(movies, None, ratings.where(late)), "delta")
-    n = buckets_for(spark, f"{sf.rstrip('/')}/lineitem.parquet")
     return C.merge_aligned(bucketed_cells(spark, base), delta, unique=True, buckets=n), n
 
 
@@ -56,7 +56,8 @@ def q_stored_upsert(spark, sf):
 
 def q_stored_rating_cells(spark, sf):
     """One family of a stored table, decoded."""
-    return C.rating_cells(read_cells(spark, _stored(spark, sf, C.build_cells(*_inputs(spark, sf))), [C.RATING]))
+    path, _ = _stored(spark, *_inputs(spark, sf))
+    return C.rating_cells(read_cells(spark, path, [C.RATING]))
 
 
 def q_stock_report_positions(spark, sf):

@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 
 from keystat import table_queries as Q
 from keystat.functions.binary_keys import key_long, key_texts, long_key, text_key
+from keystat.functions.records import quoted_line
 from keystat.operators import cells as C
 from keystat.operators import coverage as cov
 from keystat.operators.positions import with_group_positions, with_positions
 from keystat.operators.wide import explode_wide, wide_view
+from keystat.plans import movie_cells
 from keystat.sources import driver_tables as T
+from keystat.sources.cell_store import bucket_count, read_cells
 from keystat.sources.range_table import key_ranges, lookup, write_ranges
 
 
+def _movie_files(inputs, path: str) -> str:
+    """The inputs as compressed files of quoted lines."""
+    for name, df in zip(("movie.csv", "tag.csv", "rating"), inputs):
+        df.select(quoted_line(*[F.col(c) for c in df.columns]).alias("value")).write.option("compression", "gzip").text(f"{path}/{name}")
+    return path
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -151,6 +161,23 @@ def test_stored_upsert_leaves_the_base_unshuffled(spark):
     assert plan.count("Exchange hashpartitioning") == (1 if n > 1 else plan.count("Exchange hashpartitioning"))
 
 
+def test_buckets_follow_the_cells_not_the_files(spark, workdir):
+    inputs = T.movies(spark, SF_SMALL), T.tags(spark, SF_SMALL), T.ratings(spark, SF_SMALL)
+    per_bucket = 200 << 10
+    spark.conf.set("keystat.cells.bucketBytes", str(per_bucket))
+    try:
+        _, n = Q.stored_upsert(spark, SF_SMALL)
+        path, whole = Q._stored(spark, *inputs)
+        movie_cells.run(spark, _movie_files(inputs, f"{workdir}/in"), f"{workdir}/t")
+    finally:
+        spark.conf.unset("keystat.cells.bucketBytes")
+    assert n > 1 and bucket_count(spark, f"{workdir}/t") == whole
+    cells = read_cells(spark, path)
+    held = cells.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()
+    # compressed input files say little of what a task sorts: about 90 bytes a cell
+    assert len(held) == whole and max(r.n for r in held) * 90 < 1.5 * per_bucket
+
+
 def test_family_scan_pushes_its_filter(spark):
     plan = _plan(Q.q_stored_rating_cells(spark, SF_SMALL))
     assert "EqualTo(family,rating)" in plan.replace("In(family, [rating])", "EqualTo(family,rating)")
