@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from keystat.sources.staged import staged
 
 _SEQ_BITS = (1 << 33) - 1  # monotonically_increasing_id: the row's place in its partition
+#: Rows that one task sorts, about: more rows make more ranges.
+RANGE_ROWS = 1 << 20
 
 
 def with_positions(df: DataFrame, *order: str | Column, name: str = "position", ranges: int | None = None) -> DataFrame:
@@ -23,13 +25,15 @@ def with_positions(df: DataFrame, *order: str | Column, name: str = "position",
 
     Rows of equal keys are numbered in the order of their tie-breaker, a row number of
     the input fixed by a first write; it is part of the range key, so that a long run of equal
-    keys spreads over several ranges. ``ranges`` is ``spark.sql.shuffle.partitions`` by default.
+    keys spreads over several ranges. ``ranges`` is ``spark.sql.shuffle.partitions`` by default, and more
+    where those would hold over ``RANGE_ROWS`` rows.
     Nulls come first, as in an ascending sort; an empty table stays empty."""
     spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     # range partitioning samples its input, so the input is computed once, before
     fixed = staged(df.withColumn("_tie", F.monotonically_increasing_id()), "unordered")
+    if not ranges:  # rows are counted from the files' footers
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-fixed.count() // RANGE_ROWS))
     parts = (fixed.repartitionByRange(ranges, *keys, "_tie").sortWithinPartitions(*keys, "_tie")
              .drop("_tie").withColumns({"_range": F.spark_partition_id(),
                                         "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(_SEQ_BITS))}))

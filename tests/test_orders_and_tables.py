@@ -14,10 +14,12 @@ from keystat.functions.binary_keys import key_long, key_texts, long_key, text_ke
 from keystat.functions.records import quoted_line
 from keystat.operators import cells as C
 from keystat.operators import coverage as cov
+from keystat.operators import positions
 from keystat.operators.positions import with_group_positions, with_positions
 from keystat.operators.wide import explode_wide, wide_view
 from keystat.plans import movie_cells
 from keystat.sources import driver_tables as T
+from keystat.sources import range_table
 from keystat.sources.cell_store import bucket_count, read_cells
 from keystat.sources.range_table import key_ranges, lookup, write_ranges
 
@@ -88,6 +90,26 @@ def test_range_table(spark, workdir):
     assert "PartitionFilters: [range" in re.sub(r"isnotnull\(range#\d+\), ", "", _plan(once))
 
 
+def test_ranges_are_written_in_pieces_of_bounded_rows(spark, workdir, monkeypatch):
+    monkeypatch.setattr(range_table, "PIECE_ROWS", 100)
+    monkeypatch.setattr(positions, "RANGE_ROWS", 250)
+    rows = [(k or "", f"{v:05d}") for k, v in _rows()]
+    write_ranges(spark.createDataFrame(rows, "k string, q string"), f"{workdir}/t", ["k", "q"], ranges=3)
+    stored = spark.read.parquet(f"{workdir}/t")
+    files = stored.groupBy("range", F.input_file_name().alias("file")).agg(
+        F.count("*").alias("n"), F.min(F.struct("k", "q")).alias("a"), F.max(F.struct("k", "q")).alias("z")).collect()
+    assert len(files) == 30 and max(r.n for r in files) <= 100
+    ends = [tuple(x.encode() for x in e) for r in sorted(files, key=lambda r: tuple(r.a)) for e in (r.a, r.z)]
+    assert ends == sorted(ends)  # the files' key intervals are disjoint too
+    assert sorted((r.k, r.q) for r in stored.collect()) == sorted(rows)
+    ordered = sorted(rows, key=lambda r: (r[0].encode(), r[1]))
+    assert sorted((r.range, tuple(r.least), tuple(r.greatest), r["rows"]) for r in key_ranges(spark, f"{workdir}/t").collect()) == [
+        (i, ordered[1000 * i], ordered[1000 * i + 999], 1000) for i in range(3)]
+    # the numbering itself is dealt into more ranges than the session's shuffle partitions
+    placed = with_positions(spark.createDataFrame(rows, "k string, q string"), "k", "q")
+    assert placed.select(F.input_file_name()).distinct().count() > 8
+
+
 def test_lookups_read_only_their_ranges(spark, workdir):
     df = spark.range(1000).select(F.format_string("%05d", "id").alias("k"), F.col("id").cast("string").alias("q"))
     write_ranges(df, f"{workdir}/t", ["k"], ranges=10)
