@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, key_set_bytes, semi_join_spread
+from keystat.operators.joins import fits_broadcast, key_set_bytes, key_shares, semi_join_spread
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -56,14 +56,15 @@ def version_key(version: Column) -> Column:
         F.concat(F.lit("0"), version))
 
 
-def newest_cells(cells: DataFrame, priority: str | None = None) -> DataFrame:
+def newest_cells(cells: DataFrame, priority: str | None = None, dealt_by: str | None = None) -> DataFrame:
     """One row per cell identity: the newest version (:func:`version_key`),
-    then higher ``priority`` (if given), then the greater value."""
+    then higher ``priority`` (if given), then the greater value. ``dealt_by`` names a column that the
+    identity determines and by which the cells are dealt already."""
     order = [version_key(F.col("version")).alias("r"), F.col("version")]
     if priority:
         order.append(F.col(priority).alias("p"))
     order.append(F.col("value"))
-    return (cells.groupBy(*CELL_KEY)
+    return (cells.groupBy(*CELL_KEY, *([dealt_by] if dealt_by else []))
             .agg(F.max(F.struct(*order)).alias("w"))
             .select(*CELL_KEY, F.col("w.value").alias("value"), F.col("w.version").alias("version")))
 
@@ -120,9 +121,11 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
 
     The restriction is a left-semi join on ``row_key``
     (:mod:`keystat.operators.joins`): when the measured movie-key set fits the broadcast
-    threshold, a broadcast that drops unknown movies' lines as they are read; otherwise, after newest-wins, a
-    join salted by user id, so that a movie holding a large share of all cells is joined by
-    many tasks, not one. ``strategy="shuffle"`` takes the salted join without measuring.
+    threshold, a broadcast that drops unknown movies' lines as they are read; otherwise a join salted by
+    user id. If movies are even (:func:`keystat.operators.joins.key_shares`), the lines are dealt by movie once, joined,
+    and newest-wins runs where they are: all cells move once. If some movie holds a large share, newest-wins
+    comes first (hot cells combine map-side) and the join after it, by many tasks for that movie.
+    ``strategy="shuffle"`` takes the salted join without measuring the key set.
 
     ``batch`` names a column of the lines that numbers the batch they came in: at equal versions the
     later batch wins, as if each batch had been upserted in turn, in one pass over all."""
@@ -141,12 +144,15 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     priority = "batch" if batch else None
     if strategy == "auto" and fits_broadcast(known, "row_key"):
         return info.unionByName(newest_cells(raw.join(F.broadcast(known), "row_key", "left_semi"), priority))
+    # (the lines' keys are counted: a column-pruned pass, at least as many rows
+    # per movie as after newest-wins)
+    hot, even = key_shares(raw.select("row_key"), "row_key")
+    if even:
+        dealt = semi_join_spread(raw, known, "row_key", spread="qualifier", factors=hot, keep_salt=True)
+        return info.unionByName(newest_cells(dealt, priority, dealt_by="_salt"))
     # spread by user and the winning version (an aggregate output: the join
     # stays above newest-wins, see joins.semi_join_spread)
-    # (hot movies are counted on the raw cells' keys: a column-pruned pass,
-    # at least as many rows per movie as after newest-wins)
-    users = semi_join_spread(newest_cells(raw, priority), known, "row_key", spread=["qualifier", "version"],
-                             counts_source=raw.select("row_key"))
+    users = semi_join_spread(newest_cells(raw, priority), known, "row_key", spread=["qualifier", "version"], factors=hot)
     return info.unionByName(users)
 
 

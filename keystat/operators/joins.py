@@ -18,7 +18,7 @@ Three ways, chosen by measured sizes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keystat.sources.staged import staged
@@ -53,23 +53,38 @@ def fits_broadcast(keys: DataFrame, key: str | list[str]) -> bool:
     return limit >= 0 and key_set_bytes(keys, key) <= limit
 
 
-def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None,
+                    seen: Observation | None = None) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows of ``counts_source``, each with
     a salt factor ``ceil(rows / hot_rows)``.
 
     The per-key count is a partial + final aggregate (a hot key is one row
     per task before the shuffle). Every key over the limit is in it: at most one
-    for each ``hot_rows`` rows of the source, a few MB for 10^12 rows.
+    for each ``hot_rows`` rows of the source, a few MB for 10^12 rows. ``seen`` observes the rows of
+    the ``largest`` key and of all keys (``total``) in the same pass.
     """
     spark = counts_source.sparkSession
     hot_rows = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    return (counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > hot_rows)
+    counts = counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    if seen is not None:
+        counts = counts.observe(seen, F.max("n").alias("largest"), F.sum("n").alias("total"))
+    return (counts.where(F.col("n") > hot_rows)
             .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_factor")))
 
 
+def key_shares(counts_source: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """(the written hot keys with their factors, whether keys are even): even if none is hot and the
+    largest holds at most the share of one of ``spark.sql.shuffle.partitions`` tasks."""
+    spark, seen = counts_source.sparkSession, Observation()
+    hot = staged(hot_key_factors(counts_source, key, seen=seen), "hot-keys")
+    largest, total = (seen.get.get(k) or 0 for k in ("largest", "total"))
+    even = largest * int(spark.conf.get("spark.sql.shuffle.partitions")) <= total and hot.isEmpty()
+    return hot, even
+
+
 def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
-                     counts_source: DataFrame | None = None) -> DataFrame:
+                     counts_source: DataFrame | None = None, *, factors: DataFrame | None = None,
+                     keep_salt: bool = False) -> DataFrame:
     """Salted shuffle semi join: rows of ``big`` whose ``key`` is in
     ``keys[key]``, with every hot key's rows spread over several tasks.
 
@@ -85,10 +100,15 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     When ``big`` is an aggregate, including one of its aggregate outputs in
     ``spread`` keeps the optimizer from pushing the join below the
     aggregate, where the aggregate would depend on the join's partitioning.
+
+    ``factors`` are those of :func:`key_shares`, if they are known. ``keep_salt`` leaves the column ``_salt``,
+    by which and ``key`` the rows are dealt: an aggregate by both and other columns needs no exchange.
     """
     cols = [spread] if isinstance(spread, str) else list(spread)
     k = keys.select(key).where(F.col(key).isNotNull())
-    factors = F.broadcast(staged(hot_key_factors(counts_source if counts_source is not None else big, key), "hot-keys"))
+    if factors is None:
+        factors = staged(hot_key_factors(counts_source if counts_source is not None else big, key), "hot-keys")
+    factors = F.broadcast(factors)
     salted = (big.join(factors, key, "left")
               .withColumn("_salt", F.when(F.col("_factor").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_factor")).cast("int")))
@@ -96,7 +116,8 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     replicated = (k.join(factors, key, "left")
                   .select(key, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_factor"), F.lit(1)) - 1))
                           .alias("_salt")))
-    return salted.join(replicated, [key, "_salt"], "left_semi").drop("_salt")
+    joined = salted.join(replicated, [key, "_salt"], "left_semi")
+    return joined if keep_salt else joined.drop("_salt")
 
 
 def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],

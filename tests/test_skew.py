@@ -47,6 +47,25 @@ def _run(spark, conf):
     return rows, plan
 
 
+def test_even_movies_cells_move_once(spark):
+    ratings = T.ratings(spark, SF_CHECK).repartition(8)
+    inputs = T.movies(spark, SF_CHECK), T.tags(spark, SF_CHECK), ratings
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        even = C.build_cells(*inputs)
+        rows = sorted(tuple(r) for r in even.collect())
+        plan = even._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    initial = plan[plan.index("Initial Plan"):]
+    # the lines are dealt by movie, joined and resolved there; the rest are the movies' keys and info cells
+    exchanges = [line for line in initial.splitlines() if "Exchange hashpartitioning" in line]
+    assert "_salt" in "".join(exchanges) and not any("qualifier" in line for line in exchanges)
+    assert rows == sorted(tuple(r) for r in C.build_cells(*inputs).collect())
+    assert C.build_cells(T.movies(spark, SF_CHECK), None, ratings.limit(0), strategy="shuffle").where("family = 'rating'").count() == 0
+
+
 def test_hot_movie_is_split_by_salt_or_by_aqe(spark):
     hot = _hot_ratings(spark).where(F.col("movie_id") == "1").count()
     assert hot > 10000
