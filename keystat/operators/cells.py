@@ -14,8 +14,10 @@ A second write to the same cell replaces the first. Within one batch the
 newest ``version`` (the input's timestamp text, see :func:`version_key`) wins, ties going to the greater value; across batches (upsert) the
 newest version wins and, at equal version, the later batch. Within a batch
 this is a ``groupBy`` over the cell identity with a ``max`` of an ordering
-struct: a partial aggregate runs before the shuffle, so repeated puts of a
-hot cell are combined map-side. Across batches the same rule is applied by
+struct. Where no cell has more lines than one task should handle, a build deals its lines first and
+aggregates where they are: Spark sorts for this aggregate, and a partial one before the shuffle would sort
+all lines of an input split, of which few repeat. Otherwise that partial aggregate
+combines repeated puts of a hot cell map-side. Across batches the same rule is applied by
 one of three merges (:func:`merge_cells`, :func:`merge_aligned`), chosen so
 that the large base is not shuffled when it need not be.
 """
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, key_set_bytes, key_shares, semi_join_spread
+from keystat.operators.joins import fits_broadcast, hot_key_factors, key_set_bytes, key_shares, semi_join_spread
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -114,6 +116,14 @@ def user_cells(events: DataFrame, family: str, value_col: str, batch: str | None
         _text(F.col("ts")).alias("version"), *([number.alias("batch")] if batch else []))
 
 
+def _has_hot_cells(raw: DataFrame, hot: DataFrame) -> bool:
+    """Whether a cell has more lines than one task should handle; only those of ``hot`` movies can."""
+    if hot.isEmpty():
+        return False
+    lines = raw.join(F.broadcast(hot.select("row_key")), "row_key", "left_semi")
+    return not hot_key_factors(lines.select(F.struct(*CELL_KEY).alias("cell")), "cell").isEmpty()
+
+
 def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame | None, *,
                 strategy: str = "auto", batch: str | None = None) -> DataFrame:
     """All cells of a table build. Tags and ratings of movies absent from
@@ -124,7 +134,8 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     threshold, a broadcast that drops unknown movies' lines as they are read; otherwise a join salted by
     user id. If movies are even (:func:`keystat.operators.joins.key_shares`), the lines are dealt by movie once, joined,
     and newest-wins runs where they are: all cells move once. If some movie holds a large share, newest-wins
-    comes first (hot cells combine map-side) and the join after it, by many tasks for that movie.
+    comes first and the join after it, by many tasks for that movie.
+    Lines are dealt by cell, or by movie, before newest-wins unless a cell is hot; then it combines map-side.
     ``strategy="shuffle"`` takes the salted join without measuring the key set.
 
     ``batch`` names a column of the lines that numbers the batch they came in: at equal versions the
@@ -142,17 +153,23 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
         raw = raw.unionByName(p)
     known = movies.select(F.col("movie_id").alias("row_key"))
     priority = "batch" if batch else None
-    if strategy == "auto" and fits_broadcast(known, "row_key"):
-        return info.unionByName(newest_cells(raw.join(F.broadcast(known), "row_key", "left_semi"), priority))
     # (the lines' keys are counted: a column-pruned pass, at least as many rows
     # per movie as after newest-wins)
     hot, even = key_shares(raw.select("row_key"), "row_key")
-    if even:
+    combine = _has_hot_cells(raw, hot)
+
+    def newest(lines: DataFrame) -> DataFrame:
+        # (not by the family, which the optimizer folds away where there is one: the lines would move again)
+        return newest_cells(lines if combine else lines.repartition("row_key", "qualifier"), priority)
+
+    if strategy == "auto" and fits_broadcast(known, "row_key"):
+        return info.unionByName(newest(raw.join(F.broadcast(known), "row_key", "left_semi")))
+    if even:  # dealt by the join already, unless Spark broadcasts it
         dealt = semi_join_spread(raw, known, "row_key", spread="qualifier", factors=hot, keep_salt=True)
-        return info.unionByName(newest_cells(dealt, priority, dealt_by="_salt"))
+        return info.unionByName(newest_cells(dealt.repartition("row_key", "_salt"), priority, dealt_by="_salt"))
     # spread by user and the winning version (an aggregate output: the join
     # stays above newest-wins, see joins.semi_join_spread)
-    users = semi_join_spread(newest_cells(raw, priority), known, "row_key", spread=["qualifier", "version"], factors=hot)
+    users = semi_join_spread(newest(raw), known, "row_key", spread=["qualifier", "version"], factors=hot)
     return info.unionByName(users)
 
 

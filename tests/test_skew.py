@@ -84,3 +84,27 @@ def test_hot_movie_is_split_by_salt_or_by_aqe(spark):
     # 3. same cells either way, and the same as a plain semi join
     plain = C.build_cells(T.movies(spark, SF_CHECK), None, _hot_ratings(spark))
     assert aqe_rows == salted_rows == sorted(tuple(r) for r in plain.collect())
+
+
+def test_lines_are_dealt_before_newest_wins_unless_a_cell_is_hot(spark):
+    movies, ratings = T.movies(spark, SF_CHECK), T.ratings(spark, SF_CHECK).repartition(8)
+    versions = F.sequence(F.lit(1), F.lit(900)).cast("array<string>")
+    repeated = ratings.where(F.col("movie_id") == "1").limit(1).withColumn("ts", F.explode(versions))
+    old = spark.conf.get("keystat.skew.hotKeyRows", None)
+
+    def sorted_in_splits(ratings):  # newest-wins of lines below their exchange
+        cells = C.build_cells(movies, None, ratings).where("family = 'rating'")
+        tree = cells._jdf.queryExecution().executedPlan().toString().splitlines()
+        dealt = next(i for i, line in enumerate(tree) if "Exchange hashpartitioning(row_key" in line and "qualifier" in line)
+        return any("Aggregate" in line for line in tree[dealt:]), sorted(map(tuple, cells.collect()))
+
+    try:
+        spark.conf.set("keystat.skew.hotKeyRows", "500")
+        combined, rows = sorted_in_splits(ratings.unionByName(repeated))
+        even, _ = sorted_in_splits(ratings)
+        spark.conf.set("keystat.skew.hotKeyRows", "1000000")
+        dealt, same = sorted_in_splits(ratings.unionByName(repeated))
+    finally:
+        spark.conf.unset("keystat.skew.hotKeyRows") if old is None else spark.conf.set("keystat.skew.hotKeyRows", old)
+    assert combined and not even and not dealt
+    assert rows == same and any(version == "900" for *_, version in rows)
