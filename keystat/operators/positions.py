@@ -7,9 +7,10 @@ its place in its range plus the rows of all ranges before. Only the ranges' coun
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keystat.sources.staged import staged
@@ -45,24 +46,46 @@ def with_positions(df: DataFrame, *order: str | Column, name: str = "position",
             .withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_range", "_place", "_before"))
 
 
-#: Rows of one group are joined with its numbers in runs of so many places.
+#: Groups of more rows are numbered globally and joined with their numbers in runs of so many places.
 RUN = 1 << 20
 
 
-def with_group_positions(df: DataFrame, group: list[str], order: list[str], *, name: str = "position",
-                         size: str = "group_rows") -> DataFrame:
-    """``df`` with each row's place (from 1) in its group, in the order of ``order``, and the group's rows.
+def group_position_parts(df: DataFrame, group: list[str], order: list[str], *, name: str = "position",
+                         size: str = "group_rows") -> list[DataFrame]:
+    """``df`` with each row's place (from 1) in its group, in the order of ``order``, and the group's rows,
+    as frames that share no group.
+
+    Groups of up to ``RUN`` rows are numbered by a window: their rows move once and stay dealt by ``group``.
+    Places of larger groups come from one global numbering by (group, order), so a hot group is spread over many
+    ranges; those groups' first places are joined by (group, run of ``RUN`` places): a key of that join has
+    at most ``RUN`` rows, whatever the group's size. Equal rows are numbered as in :func:`with_positions`."""
+    # the tie-breakers are fixed once written
+    fixed = staged(df.withColumn("_tie", F.monotonically_increasing_id()), "ungrouped")
+    hot = staged(fixed.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > RUN).drop("_n"), "hot-groups")
+
+    def places(rows: DataFrame) -> DataFrame:
+        own = Window.partitionBy(*group)
+        return rows.select(*df.columns, F.row_number().over(own.orderBy(*order, "_tie")).cast("long").alias(name),
+                           F.count("*").over(own).alias(size))
+
+    if hot.isEmpty():
+        return [places(fixed)]
 
-    Places come from one global numbering by (group, order), so a hot group is spread over many
-    ranges; the groups' first places are joined by (group, run of ``RUN`` places): a key of that join has
-    at most ``RUN`` rows, whatever the group's size."""
-    placed = with_positions(df, *group, *order, name="_global")
+    def same(p: str, g: str) -> Column:
+        return reduce(Column.__and__, [F.col(f"{p}.{c}").eqNullSafe(F.col(f"{g}.{c}")) for c in group])
+
+    f, h = fixed.alias("f"), F.broadcast(hot).alias("h")  # at most a group for each RUN rows
+    placed = with_positions(f.join(h, same("f", "h"), "left_semi").drop("_tie"), *group, *order, name="_global")
     firsts = placed.groupBy(*group).agg(F.min("_global").alias("_first"), F.count("*").alias(size))
     runs = firsts.withColumn("_run", F.explode(F.sequence(
         F.expr(f"_first div {RUN}"), F.expr(f"(_first + `{size}` - 1) div {RUN}"))))
     p, g = placed.withColumn("_run", F.expr(f"_global div {RUN}")).alias("p"), runs.alias("g")
-    same = F.col("p._run") == F.col("g._run")
-    for c in group:
-        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"g.{c}"))
-    return p.join(g, same).select(
+    large = p.join(g, same("p", "g") & (F.col("p._run") == F.col("g._run"))).select(
         *[F.col(f"p.{c}") for c in df.columns], (F.col("_global") - F.col("_first") + 1).alias(name), F.col(f"g.{size}"))
+    return [places(f.join(h, same("f", "h"), "left_anti")), large]
+
+
+def with_group_positions(df: DataFrame, group: list[str], order: list[str], *, name: str = "position",
+                         size: str = "group_rows") -> DataFrame:
+    """The rows of :func:`group_position_parts` as one frame."""
+    return reduce(DataFrame.unionByName, group_position_parts(df, group, order, name=name, size=size))

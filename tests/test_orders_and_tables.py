@@ -73,6 +73,36 @@ def test_group_positions(spark):
         assert r.group_rows == len(groups[r.k]) and sorted(groups[r.k])[r.position - 1] == r.v
 
 
+def test_only_large_groups_are_numbered_globally(spark, monkeypatch):
+    rows = _rows()
+    df = spark.createDataFrame(rows, "k string, v int")
+    groups: dict = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+
+    def right(got):
+        return len(got) == len(rows) and all(
+            r.group_rows == len(groups[r.k]) and sorted(groups[r.k])[r.position - 1] == r.v for r in got)
+
+    # rows move once: dealt by their group, numbered there, and gathered without another exchange
+    placed = with_group_positions(df, ["k"], ["v"])
+    plan = _plan(placed.groupBy("k", F.expr("(position - 1) div 10")).agg(F.collect_list("v")))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange range" not in plan and "Join" not in plan
+    assert right(placed.collect())
+    sizes = sorted(map(len, groups.values()))
+    for run in (sizes[-1] - 1, 1):  # the largest group alone, nearly all groups
+        monkeypatch.setattr(positions, "RUN", run)
+        assert right(with_group_positions(df, ["k"], ["v"]).collect())
+    cells = df.select(F.col("k").alias("row_key"), F.lit("tag").alias("family"),
+                      F.monotonically_increasing_id().cast("string").alias("qualifier"), F.col("v").cast("string").alias("value"))
+    monkeypatch.setattr(positions, "RUN", sizes[-1] - 1)
+    wide = wide_view(cells, chunk_rows=10)
+    assert max(r.n_users for r in wide.collect()) == 10
+    back = explode_wide(wide).select("movie_id", "value").collect()
+    assert sorted((r.movie_id, int(r.value)) for r in back if r.movie_id is not None) == sorted(r for r in rows if r[0] is not None)
+    assert len(back) == len(rows)
+
+
 def test_range_table(spark, workdir):
     rows = _rows()
     rows = [(k or "", f"{v:05d}") for k, v in rows]
