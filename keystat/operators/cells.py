@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystat.operators.joins import fits_broadcast, hot_key_factors, key_set_bytes, key_shares, semi_join_spread
+from keystat.operators.joins import dealt, fits_broadcast, hot_key_factors, key_set_bytes, key_shares, semi_join_spread
 
 # Family and qualifier names of the cell table.
 INFO = "info"
@@ -136,6 +136,7 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     and newest-wins runs where they are: all cells move once. If some movie holds a large share, newest-wins
     comes first and the join after it, by many tasks for that movie.
     Lines are dealt by cell, or by movie, before newest-wins unless a cell is hot; then it combines map-side.
+    They go to as many tasks as their measured number needs, however few ``spark.sql.shuffle.partitions`` are.
     ``strategy="shuffle"`` takes the salted join without measuring the key set.
 
     ``batch`` names a column of the lines that numbers the batch they came in: at equal versions the
@@ -155,21 +156,21 @@ def build_cells(movies: DataFrame, tags: DataFrame | None, ratings: DataFrame |
     priority = "batch" if batch else None
     # (the lines' keys are counted: a column-pruned pass, at least as many rows
     # per movie as after newest-wins)
-    hot, even = key_shares(raw.select("row_key"), "row_key")
+    hot, even, tasks = key_shares(raw.select("row_key"), "row_key")
     combine = _has_hot_cells(raw, hot)
 
     def newest(lines: DataFrame) -> DataFrame:
         # (not by the family, which the optimizer folds away where there is one: the lines would move again)
-        return newest_cells(lines if combine else lines.repartition("row_key", "qualifier"), priority)
+        return newest_cells(lines if combine else dealt(lines, tasks, "row_key", "qualifier"), priority)
 
     if strategy == "auto" and fits_broadcast(known, "row_key"):
         return info.unionByName(newest(raw.join(F.broadcast(known), "row_key", "left_semi")))
     if even:  # dealt by the join already, unless Spark broadcasts it
-        dealt = semi_join_spread(raw, known, "row_key", spread="qualifier", factors=hot, keep_salt=True)
-        return info.unionByName(newest_cells(dealt.repartition("row_key", "_salt"), priority, dealt_by="_salt"))
+        joined = semi_join_spread(raw, known, "row_key", spread="qualifier", factors=hot, tasks=tasks, keep_salt=True)
+        return info.unionByName(newest_cells(dealt(joined, tasks, "row_key", "_salt"), priority, dealt_by="_salt"))
     # spread by user and the winning version (an aggregate output: the join
     # stays above newest-wins, see joins.semi_join_spread)
-    users = semi_join_spread(newest(raw), known, "row_key", spread=["qualifier", "version"], factors=hot)
+    users = semi_join_spread(newest(raw), known, "row_key", spread=["qualifier", "version"], factors=hot, tasks=tasks)
     return info.unionByName(users)
 
 

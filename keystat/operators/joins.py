@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from keystat.sources.staged import staged
 
 # A key is hot above this many rows (about one task's worth of work); its
-# salt factor is rows / HOT_ROWS rounded up.
+# salt factor is rows / HOT_ROWS rounded up. Rows are dealt to at least as many tasks as hold so many each.
 HOT_ROWS_CONF = "keystat.skew.hotKeyRows"
 DEFAULT_HOT_ROWS = 2_000_000
 # Bytes a broadcast hash relation spends per key row beyond the key text
@@ -53,6 +53,10 @@ def fits_broadcast(keys: DataFrame, key: str | list[str]) -> bool:
     return limit >= 0 and key_set_bytes(keys, key) <= limit
 
 
+def hot_key_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+
+
 def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = None,
                     seen: Observation | None = None) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows of ``counts_source``, each with
@@ -63,8 +67,7 @@ def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = N
     for each ``hot_rows`` rows of the source, a few MB for 10^12 rows. ``seen`` observes the rows of
     the ``largest`` key and of all keys (``total``) in the same pass.
     """
-    spark = counts_source.sparkSession
-    hot_rows = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    hot_rows = hot_rows or hot_key_rows(counts_source.sparkSession)
     counts = counts_source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     if seen is not None:
         counts = counts.observe(seen, F.max("n").alias("largest"), F.sum("n").alias("total"))
@@ -72,19 +75,26 @@ def hot_key_factors(counts_source: DataFrame, key: str, hot_rows: int | None = N
             .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_factor")))
 
 
-def key_shares(counts_source: DataFrame, key: str) -> tuple[DataFrame, bool]:
-    """(the written hot keys with their factors, whether keys are even): even if none is hot and the
-    largest holds at most the share of one of ``spark.sql.shuffle.partitions`` tasks."""
+def key_shares(counts_source: DataFrame, key: str) -> tuple[DataFrame, bool, int | None]:
+    """(the written hot keys with their factors, whether keys are even, tasks): even if none is hot and the
+    largest holds at most the share of one of ``spark.sql.shuffle.partitions`` tasks; ``tasks`` is how many
+    the rows need if those would hold more rows each than one should handle, else None."""
     spark, seen = counts_source.sparkSession, Observation()
     hot = staged(hot_key_factors(counts_source, key, seen=seen), "hot-keys")
     largest, total = (seen.get.get(k) or 0 for k in ("largest", "total"))
-    even = largest * int(spark.conf.get("spark.sql.shuffle.partitions")) <= total and hot.isEmpty()
-    return hot, even
+    parts, tasks = int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // hot_key_rows(spark))
+    even = largest * parts <= total and hot.isEmpty()
+    return hot, even, tasks if tasks > parts else None
+
+
+def dealt(rows: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys`` to ``tasks`` tasks; if None, to those Spark chooses."""
+    return rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)
 
 
 def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | list[str],
                      counts_source: DataFrame | None = None, *, factors: DataFrame | None = None,
-                     keep_salt: bool = False) -> DataFrame:
+                     tasks: int | None = None, keep_salt: bool = False) -> DataFrame:
     """Salted shuffle semi join: rows of ``big`` whose ``key`` is in
     ``keys[key]``, with every hot key's rows spread over several tasks.
 
@@ -101,7 +111,7 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
     ``spread`` keeps the optimizer from pushing the join below the
     aggregate, where the aggregate would depend on the join's partitioning.
 
-    ``factors`` are those of :func:`key_shares`, if they are known. ``keep_salt`` leaves the column ``_salt``,
+    ``factors`` and ``tasks`` are those of :func:`key_shares`, if they are known. ``keep_salt`` leaves the column ``_salt``,
     by which and ``key`` the rows are dealt: an aggregate by both and other columns needs no exchange.
     """
     cols = [spread] if isinstance(spread, str) else list(spread)
@@ -113,6 +123,8 @@ def semi_join_spread(big: DataFrame, keys: DataFrame, key: str, spread: str | li
               .withColumn("_salt", F.when(F.col("_factor").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_factor")).cast("int")))
               .drop("_factor"))
+    if tasks:
+        salted = dealt(salted, tasks, key, "_salt")
     replicated = (k.join(factors, key, "left")
                   .select(key, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_factor"), F.lit(1)) - 1))
                           .alias("_salt")))

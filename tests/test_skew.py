@@ -108,3 +108,29 @@ def test_lines_are_dealt_before_newest_wins_unless_a_cell_is_hot(spark):
         spark.conf.unset("keystat.skew.hotKeyRows") if old is None else spark.conf.set("keystat.skew.hotKeyRows", old)
     assert combined and not even and not dealt
     assert rows == same and any(version == "900" for *_, version in rows)
+
+
+def test_lines_go_to_as_many_tasks_as_their_number_needs(spark):
+    inputs = T.movies(spark, SF_CHECK), None, T.ratings(spark, SF_CHECK).repartition(8)
+    n, parts = inputs[2].count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit, conf = n // (5 * parts), {}
+    same = sorted(map(tuple, C.build_cells(*inputs).collect()))
+    try:
+        # broadcast keys, even movies, and a movie with a large share
+        for threshold, ratings in (("10m", inputs[2]), ("-1", inputs[2]), ("-1", _hot_ratings(spark))):
+            conf |= {"spark.sql.autoBroadcastJoinThreshold": threshold, "keystat.skew.hotKeyRows": str(limit),
+                     "spark.sql.adaptive.skewJoin.enabled": "false"}
+            old = {k: spark.conf.get(k, None) for k in conf}
+            for k, v in conf.items():
+                spark.conf.set(k, v)
+            cells = C.build_cells(T.movies(spark, SF_CHECK), None, ratings)
+            users = cells.where("family = 'rating'")
+            largest = users.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            assert largest <= (2.5 * limit if ratings is inputs[2] else n // parts)  # several of a movie's shares may meet
+            if ratings is inputs[2]:
+                assert sorted(map(tuple, cells.collect())) == same
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
