@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keystat.session import checkpoint_dir
@@ -69,6 +69,13 @@ def materialise(df: DataFrame, name: str, *, row_group_bytes: int | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, flag: Column | None = None) -> tuple[DataFrame, int]:
+    """``df`` as :func:`materialise` gives it, and its number of rows (with a true ``flag``), seen as they are written."""
+    seen = Observation()
+    written = materialise(df.observe(seen, F.count_if(F.lit(True) if flag is None else flag).alias("n")), name)
+    return written, seen.get.get("n") or 0
+
+
 def set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``docs`` with columns of these names renamed, and what selects the columns of
     ``docs`` again, under their own names, from a frame made of it."""

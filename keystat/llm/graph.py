@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystat.llm.common import materialise
+from keystat.llm.common import counted, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,9 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("least")))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "least").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("further"))
-        moved = materialise(
+        moved, changed = counted(
             lower.join(jump, "next").select("node", F.least("next", "further").alias("label"),
-                                            (F.least("next", "further") < F.col("label")).alias("moved")), "labels")
+                                            (F.least("next", "further") < F.col("label")).alias("moved")), "labels", F.col("moved"))
         labels = moved.select("node", "label")
-        if not moved.where("moved").limit(1).count():
+        if not changed:
             return labels

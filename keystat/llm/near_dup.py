@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keystat.llm.common import LOWER, SPACED_WORD, gram_hashes, handing_back, materialise, mix, ship_package, text_runs, word_hashes, words
+from keystat.llm.common import (LOWER, SPACED_WORD, counted, gram_hashes, handing_back, materialise, mix, ship_package, text_runs,
+                                word_hashes, words)
 from keystat.llm.graph import components
 
 SHINGLE = 5
@@ -158,7 +159,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
     met = pairs.join(side("b"), "b").join(side("a"), "a")
     overlap = F.size(F.array_intersect("a_set", "b_set"))
-    return met.select("a", "b", overlap.cast("long").alias("overlap"),
+    return met.select(*pairs.columns, overlap.cast("long").alias("overlap"),
                       _enough(overlap, F.size("a_set"), F.size("b_set"), threshold).alias("linked"))
 
 
@@ -205,56 +206,66 @@ def _hubs(tried: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 def link(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
-    """(node, label) of the linked members, by rounds of stars; None without links."""
-    links = done = tested = None
-    labels = members.select("node").distinct().withColumn("label", F.col("node"))
-    members = members.withColumns({"hub": F.lit(None).cast("long"), "x": F.lit(None).cast("long")})
+    """(node, label) of the linked members, by rounds of stars; None without links.
+
+    A bucket whose members that were no centre yet are of one component stays so: labels only
+    merge. Each round goes on with the members of the others."""
+    labels = done = None
+    nodes, nothing = members.select("node"), F.lit(None).cast("long")
+    members = members.withColumns({"label": F.col("node"), "hub": nothing, "x": nothing, "tested": F.lit(False)})
     n_centres, size = 1, members.count()
     while True:
-        now = members.join(labels, "node")
-        rest = now if tested is None else now.join(tested, ["bucket", "node"], "left_anti")
-        undecided = (rest.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        undecided = (members.where(~F.col("tested")).groupBy("bucket")
+                     .agg(F.min("label").alias("least"), F.max("label").alias("most"))
                      .where(F.col("least") < F.col("most")).select("bucket"))
+        now, n = counted(members.join(undecided, "bucket"), "open")
+        if not n:
+            return labels
         best = Window.partitionBy("bucket").orderBy((F.col("s") / F.col("n")).desc(), F.col("n").desc(), "node")
         centres = materialise(
-            rest.join(undecided, "bucket").withColumn("place", F.row_number().over(best))
+            now.where(~F.col("tested")).withColumn("place", F.row_number().over(best))
             .where(F.col("place") <= n_centres).drop("place"), "centres")
-        if not centres.limit(1).count():
-            return labels if links is not None else None
-        done_here = centres.select("bucket", "node")
-        tested = done_here if tested is None else tested.unionByName(done_here)
         columns = ["node", "label", "n", "s", "hub", "x"]
         once = F.lit(True)
+        met, stars = now, centres
         if n_centres > 1:
             # a pair is made in the first undecided bucket that it shares, not in all
-            now = now.join(undecided, "bucket")
             shared = now.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
-            now, centres = now.join(shared, "node"), centres.join(shared, "node")
+            met, stars = now.join(shared, "node"), centres.join(shared, "node")
             columns.append("buckets")
             once = F.array_min(F.array_intersect("buckets", "centre_buckets")) == F.col("bucket")
-        star = centres.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in columns])
+        star = stars.select("bucket", *[F.col(c).alias(f"centre_{c}") for c in columns])
         most = F.least("s", "centre_s", F.when(
             F.col("hub") == F.col("centre_hub"),
             F.least("x", "centre_x") + F.least(F.col("s") - F.col("x"), F.col("centre_s") - F.col("centre_x"))))
-        pairs = (now.join(star, "bucket")
+        pairs = (met.join(star, "bucket")
                  .where((F.col("label") != F.col("centre_label"))
                         & _enough(most, F.col("n"), F.col("centre_n"), threshold) & once)
-                 .select(F.least("node", "centre_node").alias("a"), F.greatest("node", "centre_node").alias("b"))
+                 .select(F.least("node", "centre_node").alias("a"), F.greatest("node", "centre_node").alias("b"),
+                         F.least("label", "centre_label").alias("label_a"), F.greatest("label", "centre_label").alias("label_b"))
                  .distinct())
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        tried = materialise(_confirmed(pairs, sets, threshold), "links")
+        pairs, made = counted(pairs, "pairs")
+        ends = pairs.select("a", "b")
+        done = ends if done is None else done.unionByName(ends)
+        tried, found = counted(_confirmed(pairs, sets, threshold), "links", F.col("linked"))
+        # whom the round has tested, how near each node is to the centre of most, and the new labels
+        was_centre = centres.select("bucket", "node", F.lit(True).alias("was_centre"))
+        members = (now.join(was_centre, ["bucket", "node"], "left")
+                   .withColumn("tested", F.col("tested") | F.coalesce("was_centre", F.lit(False))).drop("was_centre"))
         if n_centres == 1:
-            members = materialise(members.drop("hub", "x").join(_hubs(tried, centres), "node", "left"), "members")
-        found = tried.where("linked").select("a", "b")
-        if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            labels = materialise(
-                members.select("node").distinct().join(components(links), "node", "left")
-                .select("node", F.coalesce("label", "node").alias("label")), "labels")
-        if pairs.count() <= size:
+            members = members.drop("hub", "x").join(_hubs(tried, centres), "node", "left")
+        if found:
+            merged = components(tried.where("linked").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).select(
+                F.col("node").alias("label"), F.col("label").alias("least"))
+            lower = F.coalesce("least", "label").alias("label")
+            members = members.join(merged, "label", "left").select(*members.drop("label").columns, lower)
+            if labels is None:
+                labels = nodes.distinct().withColumn("label", F.col("node"))
+            labels = materialise(labels.join(merged, "label", "left").select("node", lower), "labels")
+        members = materialise(members, "members")
+        if made <= size:
             n_centres *= GROWTH
 
 
@@ -291,7 +302,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame
     rows = sketches.select("doc_id", "n", "key").join(reps, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), (~alone).alias("real"))
-    if repeated.limit(1).count():
+    if not repeated.isEmpty():
         rows = _texts_of_one_id(materialise(rows, "rows"), repeated)
     return rows.drop("real").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -316,7 +327,7 @@ def drop_near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> Data
     repeated = materialise(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
                            .select("doc_id"), "repeated")
     kept = docs.join(dropped, "doc_id", "left_anti")
-    if not repeated.limit(1).count():
+    if repeated.isEmpty():
         return kept.select(*docs.columns)
     return (kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
             .unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)))

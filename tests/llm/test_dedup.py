@@ -121,6 +121,27 @@ def test_repeated_ids_beside_other_classes(llm_spark, seed):
     assert left == Counter({i for p, (i, _) in enumerate(rows) if label[p] == i})
 
 
+def test_decided_buckets_leave_the_rounds(llm_spark, monkeypatch):
+    texts = near_texts(3, families=6)
+    texts += [f"{t} {i}" for i, t in enumerate(near_texts(4, families=40, size=1)[:40]) for _ in range(2)]
+    rounds, counted = [], near_dup.counted
+
+    def seen(df, name, *flag):
+        written, n = counted(df, name, *flag)
+        if name == "open":
+            rounds.append((n, {r["bucket"] for r in written.collect()}))
+        return written, n
+
+    monkeypatch.setattr(near_dup, "counted", seen)
+    ids, sets = list(range(len(texts))), [shingles(t) for t in texts]
+    want = plain_components(ids, sets)
+    got = near_dup.near_duplicates(frame(llm_spark, texts, ids)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert len(rounds) > 2 and rounds[-1][0] == 0
+    for (n, buckets), (later, still) in zip(rounds, rounds[1:], strict=False):
+        assert later < n and still < buckets
+
+
 def test_densified_bins_estimate_similarity():
     rng = np.random.default_rng(4)
     shared, own = rng.integers(0, 1 << 62, 340).astype(np.uint64), rng.integers(0, 1 << 62, 60).astype(np.uint64)
