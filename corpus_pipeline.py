@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from keystat.llm import language_id as languages
 from keystat.llm import pieces
-from keystat.llm.common import materialise, set_aside, ship_package, table
+from keystat.llm.common import hand_back, materialise, set_aside, ship_package, table
 from keystat.llm.decontaminate import decontaminate as drop_contaminated
 from keystat.llm.near_dup import drop_near_duplicates
 from keystat.llm.secrets import redact, scan_secrets
@@ -27,6 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled rows as the registered query does."""
     ship_package(spark)
     model = languages.train(docs.where(languages.remainder(F.col("doc_id"), 3) != 1))
+    hand_back()  # what the driver fitted with
     renamed, back = set_aside(docs, ("lang_pred", "score", "accepted"))
     return back(languages.identify(renamed, model).where("accepted"))
 

@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keystat.llm.common import (LOWER, SPACED_WORD, counted, gram_hashes, handing_back, materialise, mix, ship_package, text_runs,
-                                word_hashes, words)
+from keystat.llm.common import (LOWER, SPACED_WORD, counted, gram_hashes, hand_back, handing_back, materialise, mix, ship_package,
+                                text_runs, word_hashes, words)
 from keystat.llm.graph import components
 
 SHINGLE = 5
@@ -177,6 +177,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     they are: a bitmap of fixed size, of the wanted ids, tells each task whose sets to make, and what it marks
     too many (and the further rows of a repeated id) falls away by an exact join."""
     marks = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select("doc_id")))
+    hand_back()
     made = docs.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(
         lambda batches: _full_sets(batches, marks), "key binary, shingles array<long>")
     made = materialise(made.withColumn("row", F.monotonically_increasing_id()), "made")
