@@ -40,6 +40,8 @@ RATE = 0.5
 REJECT = 0.001
 #: Samples of fewer rows are too small to hold a fifth back.
 LEAST_HELD = 50
+#: Of the rows held back, so many are scored at once.
+HELD_ROWS = 64
 UNDETERMINED = "und"
 #: Characters that are handled at once, about.
 RUN_CHARS = 1 << 18
@@ -108,14 +110,27 @@ class LanguageModel:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def _train(x: np.ndarray, y: np.ndarray, own: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class scores of the buckets, and the bias, from the ``own`` rows of bucket shares."""
+Bag = tuple[str, np.ndarray, np.ndarray]  # language, buckets, counts
+
+
+def _shares(bags: list[Bag], rows: np.ndarray) -> np.ndarray:
+    """The rows' bucket shares, one column a bucket. Made for a few rows at a time: for a whole sample they
+    would take the driver 100 MB."""
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for i, row in enumerate(rows.tolist()):
+        _, buckets, counts = bags[row]
+        x[i, buckets] = counts / counts.sum()
+    return x
+
+
+def _train(bags: list[Bag], y: np.ndarray, own: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class scores of the buckets, and the bias, from the ``own`` rows of the sample."""
     rng = np.random.default_rng(7)
-    emb = rng.normal(0, 0.1, (x.shape[1], DIMENSIONS)).astype(np.float32)
+    emb = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out = np.zeros((DIMENSIONS, classes), np.float32)
     bias = np.zeros(classes, np.float32)
     weight = len(own) / (classes * np.maximum(np.bincount(y[own], minlength=classes), 1))
-    scale = np.float32(x.shape[1] ** 0.5)  # shares are small: their embeddings learn faster
+    scale = np.float32(BUCKETS ** 0.5)  # shares are small: their embeddings learn faster
     batch, steps, step = 16, EPOCHS * max(1, -(-len(own) // 16)), 0
     for _ in range(EPOCHS):
         order = rng.permutation(own)
@@ -123,7 +138,7 @@ def _train(x: np.ndarray, y: np.ndarray, own: np.ndarray, classes: int) -> tuple
             rows = order[a:a + batch]
             rate = np.float32(RATE * (1 - step / steps))
             step += 1
-            xb = x[rows]
+            xb = _shares(bags, rows)
             hidden = xb @ emb
             logits = hidden @ out + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -152,22 +167,22 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> float:
     return min((float(t) for t in np.geomspace(0.05, 5, 60)), key=loss) if len(y) else 1.0
 
 
-def fit(sample: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel | None:
+def fit(sample: list[Bag]) -> LanguageModel | None:
     """A model from (language, buckets, counts) rows; None without any."""
     sample = [s for s in sample if len(s[1])]
     languages = sorted({s[0] for s in sample})
     if not languages:
         return None
-    x = np.zeros((len(sample), BUCKETS), np.float32)
-    for i, (_, buckets, counts) in enumerate(sample):
-        x[i, buckets] = counts / counts.sum()
     y = np.array([languages.index(s[0]) for s in sample])
     held = np.arange(len(y)) % 5 == 0 if len(y) >= LEAST_HELD else np.zeros(len(y), bool)
-    table, bias = _train(x, y, np.flatnonzero(~held), len(languages))
-    logits = x[held] @ table + bias
-    model = LanguageModel(languages, table.astype(np.float32), bias, calibrate(logits, y[held]), 0.0)
+    table, bias = _train(sample, y, np.flatnonzero(~held), len(languages))
+    tests = np.flatnonzero(held)
+    sums = np.zeros((len(tests), len(languages)), np.float32)
+    for a in range(0, len(tests), HELD_ROWS):
+        sums[a:a + HELD_ROWS] = _shares(sample, tests[a:a + HELD_ROWS]) @ table
+    model = LanguageModel(languages, table.astype(np.float32), bias, calibrate(sums + bias, y[held]), 0.0)
     if held.any():
-        p = model.probabilities(x[held] @ table, np.ones(held.sum()))
+        p = model.probabilities(sums, np.ones(held.sum()))
         right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]])
         if len(right):
             model.threshold = float(min(0.5, right[int(REJECT * len(right))]))
@@ -186,7 +201,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts.append(c)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang").slice(row, len(texts)),
-                 pa.array(ids, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))],
+                 pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
                 names=["lang", "buckets", "counts"])
 
 
@@ -208,7 +223,7 @@ def train(docs: DataFrame, *, sample: int = SAMPLE) -> LanguageModel | None:
         return None
     drawn = labelled.where(key <= least).orderBy(key).limit(sample)
     bags = drawn.select("lang", "text").mapInArrow(
-        _bags, "lang string, buckets array<long>, counts array<long>").toArrow().combine_chunks()
+        _bags, "lang string, buckets array<int>, counts array<int>").toArrow().combine_chunks()
     if not len(bags):
         return None
     cut = lambda c: np.split(c.values.to_numpy(), c.offsets.to_numpy()[1:-1])

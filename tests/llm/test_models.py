@@ -313,3 +313,20 @@ def test_ends_of_units_lose_no_segmentation():
         parts = own.encode(text, 3)
         assert [round(s, 6) for s, _ in whole] == [round(s, 6) for s, _ in parts]
         assert all(own.decode(ids) == text for _, ids in parts)
+
+
+def test_language_fit_is_small_in_memory():
+    """The driver fits beside Spark: the sample stays a list of bags, no dense matrix of all of it."""
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    bags = [("ab"[i % 2], np.unique(rng.integers(i % 2 * 4000, i % 2 * 4000 + 4192, 60)).astype(np.int32)) for i in range(1000)]
+    bags = [(lang, buckets, np.ones(len(buckets), np.int32)) for lang, buckets in bags]
+    tracemalloc.start()
+    try:
+        model = language_id.fit(bags)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20  # 1,000 rows of all buckets take 33 MB
+    sums = language_id._shares(bags, np.arange(1000)) @ model.table
+    assert [model.languages[i] for i in sums.argmax(axis=1)] == [b[0] for b in bags]
