@@ -31,7 +31,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, count
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -97,8 +97,9 @@ class Pieces:
         self.starts = np.cumsum(self.sizes) - self.sizes
         # spaces and what follows up to the next space or such a sign, line feeds apart
         signs = "".join(re.escape(c) for c in _SIGNS if c not in after_letter)
-        ended = f" *[^ \\n{_LETTERS}]*[{_LETTERS}]+(?=[{signs}])|" if signs else ""
-        self.unit = re.compile(ended + r" *[^ \n]+| +|\n")
+        # (no shorter run of letters, of others or of spaces could match: nothing is tried again)
+        ended = f"[^ \\n{_LETTERS}]*+[{_LETTERS}]++(?=[{signs}])|" if signs else ""
+        self.unit = re.compile(" *+(?:" + ended + r"[^ \n]++)| ++|\n")
         self.units = _Remembered(self.viterbi)
         self.table = _Table(self.trie)
         self.searches = _Remembered(lambda key: self.nbest(*key), lambda key: len(key[0]))
@@ -191,9 +192,14 @@ class Pieces:
         held = self.units
         if len(held) + len(units) > REMEMBERED // 2:
             held.turn()
-        fresh, before = units - held.keys(), held.before
-        held.update([(u, before[u]) for u in fresh if u in before])
-        held.update(self.table.viterbi([u for u in fresh if u not in before and len(u) <= LEARNED_LENGTH]))
+        before, new = held.before, []
+        for u in [u for u in units if u not in held]:
+            found = before.get(u)
+            if found is not None:
+                held[u] = found
+            elif len(u) <= LEARNED_LENGTH:
+                new.append(u)
+        held.update(self.table.viterbi(new))
 
     def encode_all(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes]]]:
         """:meth:`encode` of each text."""
@@ -213,13 +219,12 @@ class Pieces:
         if not text:
             return []
         units = units or self.unit.findall(" " + text)
-        known = [self.units[u] for u in units]
-        scores, parts, losses = zip(*known, strict=True)
+        scores, parts, losses = zip(*map(self.units.__getitem__, units), strict=True)
         total, whole = sum(scores), b"".join(parts)
         if n == 1:
             return [(total, whole)]
         searched = {place: self.searches[units[place], n]
-                    for loss, place in heapq.nsmallest(n - 1, zip(losses, count())) if loss < float("inf")}
+                    for loss, place in _least(losses, n - 1) if loss < float("inf")}
         loss = sorted((found[0][0] - found[r][0], place, r) for place, found in searched.items()
                       for r in range(1, len(found)))
         out = []
@@ -344,6 +349,17 @@ class _Table:
                         zip(best[np.arange(n), sizes].tolist(), paths, loss.tolist(), strict=True), strict=True))
 
 
+def _least(losses: tuple[float, ...], n: int) -> list[tuple[float, int]]:
+    """The ``n`` least with their places, the first places among equal ones."""
+    left, found = list(losses), []
+    for _ in range(min(n, len(left))):
+        least = min(left)
+        place = left.index(least)
+        found.append((least, place))
+        left[place] = float("inf")
+    return found
+
+
 def _least_sums(loss: list[tuple[float, int, int]], n: int) -> list[tuple[float, tuple]]:
     """The ``n`` least sums over subsets of the losses with one choice for each
     place: (sum, ((place, choice), ...)), the empty subset first."""

@@ -330,3 +330,29 @@ def test_language_fit_is_small_in_memory():
     assert peak < 8 << 20  # 1,000 rows of all buckets take 33 MB
     sums = language_id._shares(bags, np.arange(1000)) @ model.table
     assert [model.languages[i] for i in sums.argmax(axis=1)] == [b[0] for b in bags]
+
+
+def test_units_and_least_losses():
+    """The faster cuts and choices of op8 give what the plain ones do."""
+    import heapq
+    import re
+    import sentencepiece
+    with open(pieces.MODEL, "rb") as f:
+        proto = f.read()
+    model = pieces.Pieces(proto)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    ordinary = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
+                if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    letters, signs = pieces._LETTERS, pieces._SIGNS
+    after = {b for p in ordinary for a, b in zip(p, p[1:]) if a in letters}
+    ends = "".join(re.escape(c) for c in signs if c not in after)
+    plain = re.compile(rf" *[^ \n{letters}]*[{letters}]+(?=[{ends}])| *[^ \n]+| +|\n")
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab  \n.,;é1(\"'x\t-_") for _ in range(rng.randrange(40)))
+        units = model.unit.findall(text)
+        assert units == plain.findall(text) and "".join(units) == text
+        losses = tuple(rng.choice([0.0, 0.5, 1.0, 2.0, float("inf")]) for _ in range(rng.randrange(6)))
+        for n in (1, 2, 4):
+            plain_least = heapq.nsmallest(n, zip(losses, range(len(losses))))
+            assert [x for x in pieces._least(losses, n) if x[0] < float("inf")] == [x for x in plain_least if x[0] < float("inf")]
