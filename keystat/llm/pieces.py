@@ -92,9 +92,7 @@ class Pieces:
                 step = node.setdefault(c, [{}, -1, 0.0])  # what follows, the piece that ends here, its score
                 node = step[0]
             step[1:] = i, model.get_score(i)
-        self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
-        self.sizes = np.array([len(x) for x in self.surface], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.surfaces = pa.array(self.surface, pa.large_binary())
         # spaces and what follows up to the next space or such a sign, line feeds apart
         signs = "".join(re.escape(c) for c in _SIGNS if c not in after_letter)
         # (no shorter run of letters, of others or of spaces could match: nothing is tried again)
@@ -237,11 +235,11 @@ class Pieces:
 
     def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[bytes, list[int]]:
         """The texts of many segmentations (each with the space put before it), and where each starts."""
-        sizes = self.sizes[ids]
-        ends = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(sizes, out=ends[1:])
-        place = np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])
-        return self.flat[place].tobytes(), ends[offsets].tolist()
+        if not len(ids):
+            return b"", [0] * len(offsets)
+        _, ends, data = self.surfaces.take(pa.array(ids)).buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1)
+        return (data.to_pybytes() if data is not None else b"")[:ends[-1]], ends[offsets].tolist()
 
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.surface.__getitem__, np.frombuffer(ids, "<i4").tolist()))
@@ -310,26 +308,31 @@ class _Table:
         good = np.flatnonzero(((chars > 0) == inside).all(axis=1))
         chars, sizes = chars[good], sizes[good]
         n = len(good)
-        best = np.full((n, longest + 1), -np.inf)
-        second, start_of = best.copy(), np.zeros((n, longest + 1), np.int16)
-        piece_of = np.zeros((n, longest + 1), np.int32)
-        best[:, 0] = 0.0
+        # by places, then units: what is read and written at once lies together
+        best = np.full((longest + 1, n), -np.inf)
+        second, start_of = best.copy(), np.zeros((longest + 1, n), np.int16)
+        piece_of = np.zeros((longest + 1, n), np.int32)
+        best[0] = 0.0
+        chars, following, width = np.ascontiguousarray(chars.T), self.next.ravel(), np.int32(self.next.shape[1])
         for start in range(longest):
             rows = np.flatnonzero(sizes > start)
             node = np.ones(len(rows), np.int32)
+            before = best[start]
             for end in range(start, longest):
-                node = self.next[node, chars[rows, end]]
+                node = following[node * width + chars[end][rows]]
                 alive = np.flatnonzero(node)
                 if not len(alive):
                     break
-                rows, node = rows[alive], node[alive]
-                hit = np.flatnonzero(self.piece[node] >= 0)
-                r, piece = rows[hit], self.piece[node[hit]]
-                score, old = best[r, start] + self.score[node[hit]], best[r, end + 1]
+                rows, node = rows[alive], node[alive].astype(np.int32)
+                piece = self.piece[node]
+                hit = np.flatnonzero(piece >= 0)
+                r, piece = rows[hit], piece[hit]
+                best_at, second_at = best[end + 1], second[end + 1]
+                score, old = before[r] + self.score[node[hit]], best_at[r]
                 better = score > old
-                second[r, end + 1] = np.where(better, old, np.maximum(second[r, end + 1], score))
+                second_at[r] = np.where(better, old, np.maximum(second_at[r], score))
                 r, piece, score = r[better], piece[better], score[better]
-                best[r, end + 1], start_of[r, end + 1], piece_of[r, end + 1] = score, start, piece
+                best_at[r], start_of[end + 1][r], piece_of[end + 1][r] = score, start, piece
         # back from the ends, all at once
         path = np.full((n, longest), -1, np.int32)
         loss, at, rows = np.full(n, np.inf), sizes.copy(), np.arange(n)
@@ -338,15 +341,15 @@ class _Table:
             if not len(rows):
                 break
             place = at[rows]
-            loss[rows] = np.minimum(loss[rows], best[rows, place] - second[rows, place])
-            path[rows, longest - 1 - step] = piece_of[rows, place]
-            at[rows] = start_of[rows, place]
+            loss[rows] = np.minimum(loss[rows], best[place, rows] - second[place, rows])
+            path[rows, longest - 1 - step] = piece_of[place, rows]
+            at[rows] = start_of[place, rows]
         used = path >= 0
         ids = path[used].astype("<i4").tobytes()
         ends = np.cumsum(used.sum(axis=1) * 4).tolist()
         paths = [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         return dict(zip([units[i] for i in good.tolist()],
-                        zip(best[np.arange(n), sizes].tolist(), paths, loss.tolist(), strict=True), strict=True))
+                        zip(best[sizes, np.arange(n)].tolist(), paths, loss.tolist(), strict=True), strict=True))
 
 
 def _least(losses: tuple[float, ...], n: int) -> list[tuple[float, int]]:
